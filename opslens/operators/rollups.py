@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opslens.functions.intervals import first_interval
 from opslens.functions.quantiles import exact_quantiles
-from opslens.functions.scalars import grid_floor, is_absent, ratio, share_of, within_half_open
+from opslens.functions.scalars import grid_floor, half_up, is_absent, ratio, share_of, within_half_open
 
 
 # Saturation weights, noise bands, noise classes, seasonal curve and coherence floors.
@@ -138,7 +138,7 @@ def service_kpi(facts: DataFrame, step_seconds: int = 60) -> DataFrame:
     return q.select(
         "ts", "region", "txn_type", F.round(n / float(step_seconds), 4).alias("request_rate"),
         F.round(F.col("_errors") / n, 4).alias("error_rate"), F.round("_p95", 2).alias("p95_ms"), F.round("_p99", 2).alias("p99_ms"),
-        F.round(F.least(F.lit(1.0), load), 4).alias("saturation"),
+        half_up(F.least(F.lit(1.0), load), 4).alias("saturation"),
     )
 
 

@@ -11,6 +11,7 @@ from opslens.functions.quantiles import exact_quantiles
 from opslens.functions.scalars import grid_floor, is_absent, ntz
 from opslens.operators import joins, rollups, shape, windows
 from opslens.plans import report, roles
+from opslens.plans.io_catalog import IO
 
 TYPES, EVENTS, FOCUS = roles.FOCUS_TYPES, shape.OUTCOME_EVENTS, roles.FOCUS_REGION
 DAY = "2024-01-12"
@@ -179,4 +180,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(BATCH)
+    return BATCH | IO

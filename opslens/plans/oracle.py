@@ -269,7 +269,7 @@ QUERIES = {
         SELECT date_trunc('minute', start_ts) AS ts, region, txn_type, count(*) AS n, count(*) FILTER (status = 'timeout') AS e, count(*) FILTER (retry_count > 0) AS r,
                {NEAREST.format(p=0.95)} AS p95, {NEAREST.format(p=0.99)} AS p99 FROM facts GROUP BY ALL)
       SELECT ts, region, txn_type, round(n / 60.0::DOUBLE, 4) AS request_rate, round(e / n::DOUBLE, 4) AS error_rate, round(p95, 2) AS p95_ms, round(p99, 2) AS p99_ms,
-             round(least(1.0::DOUBLE, 0.15::DOUBLE + 0.7::DOUBLE * (r / n::DOUBLE) + 1.0::DOUBLE * (e / n::DOUBLE) + 0.25::DOUBLE * least(1.0::DOUBLE, p95 / 2500.0::DOUBLE)), 4) AS saturation FROM g""",
+             floor(least(1.0::DOUBLE, 0.15::DOUBLE + 0.7::DOUBLE * (r / n::DOUBLE) + 1.0::DOUBLE * (e / n::DOUBLE) + 0.25::DOUBLE * least(1.0::DOUBLE, p95 / 2500.0::DOUBLE)) * 10000 + 0.5::DOUBLE) / 10000 AS saturation FROM g""",
     "incident_coherence": "," + COHERENCE + " SELECT * FROM coh, rtt",
     "confounder_separability": "," + SEPARABILITY + " SELECT * FROM sep_cpu, sep_net",
     "host_peak": "SELECT region, host, max(cpu) AS cpu_max FROM hosts GROUP BY ALL",
@@ -334,6 +334,81 @@ QUERIES = {
       b AS (SELECT region, quantile_cont(latency_ms, 0.95) AS base FROM facts WHERE start_ts < TIMESTAMP '2024-01-10 12:20:00' GROUP BY region),
       r AS (SELECT region, min(ts) FILTER (ts >= TIMESTAMP '2024-01-15 18:15:00' AND p95 <= 0.5::DOUBLE * base) AS recovered_at FROM h JOIN b USING (region) GROUP BY region)
       SELECT region, recovered_at, date_diff('microsecond', TIMESTAMP '2024-01-15 18:15:00', recovered_at) / 6e7::DOUBLE AS minutes_after_fix FROM r""",
+    # sources, sinks and views
+    "ingest_csv_typed": """SELECT txn_id AS transaction_id, event, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, level, CAST(customer_id AS VARCHAR) AS customer_id,
+        coalesce(CAST(dependency_latency_ms AS VARCHAR), '') AS dependency_latency_ms, coalesce(circuit_id, '') AS circuit_id FROM logs""",
+    "ingest_directory": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS rows FROM {t}"
+        for n, t in [("txn_facts", "facts"), ("app_logs", "logs"), ("trace_spans", "spans"), ("tso_calls", "calls"),
+                     ("network_circuit_metrics", "circuit_metrics"), ("infra_host_metrics", "hosts"), ("network_events", "net_events"),
+                     ("service_metrics", "(SELECT DISTINCT date_trunc('minute', start_ts), region, txn_type FROM facts)")]),
+    "derive_ingest_columns": "SELECT txn_id AS transaction_id, event, ts, lat AS end_to_end_latency_ms_f64 FROM logs",
+    "read_ground_truth": """SELECT call_id, true_txn AS true_id, ref AS emitted_id, noise_type,
+        CAST(floor(date_diff('microsecond', txn_end_ts, call_ts) / 6e7) AS BIGINT) AS delay_minutes FROM calls""",
+    "csv_stream_ingest": "SELECT txn_id AS transaction_id, event, ts, ts::DATE AS day, lat AS end_to_end_latency_ms_f64 FROM logs",
+    "sink_partitioned_table": "SELECT txn_id, event_no, event, region, ts, ts::DATE AS day, end_to_end_latency_ms FROM logs",
+    "sink_csv_header": """SELECT txn_id AS transaction_id, CASE WHEN status <> 'timeout' THEN 'true' ELSE 'false' END AS success,
+        CASE WHEN status <> 'timeout' THEN '' WHEN dep_region IS NOT NULL THEN 'DEP_TIMEOUT' ELSE 'ORCH_TIMEOUT' END AS error_code,
+        end_ts AS end_dt, round(latency_ms, 2) AS end_to_end_latency_ms FROM facts""",
+    "sink_json_report": "," + SHARDS + """, sec AS (SELECT * FROM (
+        SELECT 'impacted_slice_volume' AS section, 1 AS row_no, unnest(['median_rpm', 'p95_rpm', 'max_rpm']) AS key,
+               unnest([CAST(round(quantile_cont(n, 0.5), 4) AS VARCHAR), CAST(round(quantile_cont(n, 0.95), 4) AS VARCHAR), CAST(CAST(max(n) AS BIGINT) AS VARCHAR)]) AS value
+        FROM (SELECT count(*)::DOUBLE AS n FROM logs WHERE event = 'received' AND region = 'ASIA' AND txn_type IN ('type_0', 'type_1') GROUP BY date_trunc('minute', ts))
+        UNION ALL SELECT 'dataset_bounds', 1, unnest(['min_day', 'max_day']), unnest([CAST(min(ts::DATE) AS VARCHAR), CAST(max(ts::DATE) AS VARCHAR)]) FROM logs
+        UNION ALL SELECT 'fix_verification', row_number() OVER (ORDER BY phase), unnest(['phase', 'p95_ms', 'p99_ms', 'timeout_rate', 'n']),
+               unnest([phase, CAST(p95 AS VARCHAR), CAST(p99 AS VARCHAR), CAST(tr AS VARCHAR), CAST(n AS VARCHAR)]) FROM (
+          SELECT CASE WHEN ts < TIMESTAMP '2024-01-15 18:15:00' THEN 'pre_fix' ELSE 'post_fix' END AS phase, round(quantile_cont(lat, 0.95), 4) AS p95,
+                 round(quantile_cont(lat, 0.99), 4) AS p99, round(count(*) FILTER (event = 'timeout') / count(*)::DOUBLE, 4) AS tr, count(*) AS n
+          FROM outcomes WHERE region = 'ASIA' GROUP BY 1)
+        UNION ALL SELECT 'app_log_region_distribution', row_number() OVER (ORDER BY region), unnest(['region', 'rows']), unnest([region, CAST(n AS VARCHAR)])
+        FROM (SELECT region, count(*) AS n FROM logs GROUP BY region)
+        UNION ALL SELECT 'view_creation', row_number() OVER (ORDER BY region), unnest(['region', 'expected_shards', 'non_empty_shards', 'rows']),
+               unnest([region, CAST(e AS VARCHAR), CAST(f AS VARCHAR), CAST(n AS VARCHAR)]) FROM (
+          SELECT region, count(*) AS e, count(*) FILTER (rows > 0) AS f, CAST(sum(rows) AS BIGINT) AS n FROM shards GROUP BY region)
+        UNION ALL SELECT 'tso_missing', 1, unnest(['missing_rate', 'total']), unnest([CAST(round(count(*) FILTER (ref = '') / count(*)::DOUBLE, 4) AS VARCHAR), CAST(count(*) AS VARCHAR)]) FROM calls
+        UNION ALL SELECT 'tso_nonexistent', 1, 'nonexistent_rate', CAST(fp_rate_non_empty AS VARCHAR) FROM rates
+        UNION ALL SELECT 'tso_customer_mismatch', 1, 'mismatch_rate', CAST(wrong_link_rate_joined AS VARCHAR) FROM rates
+        UNION ALL SELECT 'tso_confusion_matrix', 1, unnest(['tp', 'fn', 'fp', 'wrong_link', 'fn_rate', 'fp_rate_non_empty', 'wrong_link_rate_joined', 'tp_rate']),
+               unnest([CAST(tp AS VARCHAR), CAST(fn AS VARCHAR), CAST(fp AS VARCHAR), CAST(wrong_link AS VARCHAR), CAST(fn_rate AS VARCHAR), CAST(fp_rate_non_empty AS VARCHAR),
+                       CAST(wrong_link_rate_joined AS VARCHAR), CAST(tp_rate AS VARCHAR)]) FROM rates
+        UNION ALL SELECT 'incident_p95_multiplier', row_number() OVER (ORDER BY region), unnest(['region', 'p95_baseline', 'p95_incident', 'p95_multiplier']),
+               unnest([region, CAST(round(b, 4) AS VARCHAR), CAST(round(d, 4) AS VARCHAR), CAST(round(d / b, 2) AS VARCHAR)]) FROM (
+          SELECT region, quantile_cont(lat, 0.95) FILTER (ts < TIMESTAMP '2024-01-10 12:20:00') AS b,
+                 quantile_cont(lat, 0.95) FILTER (ts >= TIMESTAMP '2024-01-10 12:20:00' AND ts < TIMESTAMP '2024-01-15 18:10:00') AS d FROM outcomes GROUP BY region)
+        UNION ALL SELECT 'top_circuit_uplift', row_number() OVER (ORDER BY circuit_id), unnest(['circuit_id', 'src', 'dst', 'p95_baseline', 'p95_incident', 'p95_multiplier']),
+               unnest([circuit_id, 'ASIA', 'EUROPE', CAST(round(b, 4) AS VARCHAR), CAST(round(d, 4) AS VARCHAR), CAST(round(d / b, 2) AS VARCHAR)]) FROM (
+          SELECT circuit_id, quantile_cont(value, 0.95) FILTER (ts < TIMESTAMP '1998-06-01') AS b,
+                 quantile_cont(value, 0.95) FILTER (ts >= TIMESTAMP '1998-06-01' AND ts < TIMESTAMP '2000-01-01') AS d
+          FROM circuit_metrics WHERE src = 'ASIA' AND dst = 'EUROPE' GROUP BY circuit_id ORDER BY round(d / b, 2) DESC NULLS LAST, circuit_id LIMIT 5)))
+      SELECT section, CAST(row_no AS INT) AS row_no, key, value FROM sec""",
+    "view_alias": "SELECT region, count(*) AS rows FROM logs GROUP BY region",
+    "view_region_shards": "SELECT region, count(*) AS rows FROM logs GROUP BY region",
+    "view_daily_shards": "," + SHARDS + " SELECT region, day, rows FROM shards",
+    "shard_inventory": "," + SHARDS + """ SELECT region, count(*) AS expected_shards, count(*) FILTER (rows > 0) AS non_empty_shards,
+        CAST(sum(rows) AS BIGINT) AS rows FROM shards GROUP BY region""",
+    "table_presence_rows": """SELECT 'service_metrics' AS table_name, true AS present, count(*) AS rows FROM (SELECT DISTINCT date_trunc('minute', start_ts), region, txn_type FROM facts)
+        UNION ALL SELECT 'network_events', true, count(*) FROM net_events UNION ALL SELECT 'txn_facts', true, count(*) FROM facts
+        UNION ALL SELECT 'circuit_inventory', false, 0""",
+    # streams
+    "stream_service_kpi": """, m AS (SELECT max(start_ts) - INTERVAL 10 MINUTE AS w FROM facts)
+      SELECT * FROM (
+        SELECT date_trunc('minute', start_ts) AS ts, region, txn_type, count(*) AS n, count(*) FILTER (status = 'timeout') AS errors,
+               count(*) FILTER (retry_count > 0) AS retries, quantile_disc(latency_ms, 0.95) AS p95_ms FROM facts GROUP BY ALL)
+      WHERE ts + INTERVAL 1 MINUTE <= (SELECT w FROM m)""",
+    "stream_call_link": """SELECT call_id, txn_id, CAST(floor(date_diff('microsecond', f.end_ts, call_ts) / 6e7) AS BIGINT) AS delay_min FROM calls c JOIN facts f
+        ON c.ref = f.txn_id AND c.customer_id = f.customer_id AND call_ts BETWEEN f.end_ts AND f.end_ts + INTERVAL 2 HOUR""",
+    "stream_dedup": "SELECT call_id, region, call_ts, noise_type FROM calls",
+    "stream_noise_counters": "SELECT region, noise_type, count(*) AS calls FROM calls GROUP BY ALL",
+    "stream_sliding_lookback": """, m AS (SELECT max(start_ts) - INTERVAL 10 MINUTE AS w FROM facts)
+      SELECT ts, region, count(*) AS n FROM (SELECT region, time_bucket(INTERVAL 10 MINUTE, start_ts) - to_minutes(CAST(10 * i AS INT)) AS ts FROM facts, range(12) t(i))
+      GROUP BY ALL HAVING ts + INTERVAL 2 HOUR <= (SELECT w FROM m)""",
+    "stream_burst_sessions": """, b AS (SELECT * FROM samples WHERE value > 60),
+      s AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM b WINDOW w AS (PARTITION BY circuit_id ORDER BY ts)),
+      g AS (SELECT *, sum(fresh) OVER (PARTITION BY circuit_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM s)
+      SELECT circuit_id, min(ts) AS start_ts, max(ts) + INTERVAL 6 HOUR AS end_ts, count(*) AS n, max(value) AS peak FROM g GROUP BY circuit_id, id
+      HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM b)""",
+    "stream_late_rows": """, s AS (SELECT call_ts, max(call_ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS peak FROM calls)
+      SELECT count(*) FILTER (call_ts >= peak - INTERVAL 30 MINUTE OR peak IS NULL) AS on_time, count(*) FILTER (call_ts < peak - INTERVAL 30 MINUTE) AS late FROM s""",
     # sets
     "distinct_received_txn": "SELECT DISTINCT txn_id AS transaction_id FROM logs WHERE event = 'received'",
     "txn_set_diff": """, a AS (SELECT DISTINCT ref AS id FROM calls WHERE ref <> ''), b AS (SELECT DISTINCT txn_id AS id FROM logs)

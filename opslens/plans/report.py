@@ -25,6 +25,10 @@ def report_rows(sections: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _parser(schema):
+    return lambda body: F.from_json(body, schema)
+
+
 def write_json_report(sections: Mapping[str, DataFrame], out: str) -> DataFrame:
     """Write one nested document, one array per section, and return it as (section, row_no, key, value) rows.
 
@@ -36,9 +40,7 @@ def write_json_report(sections: Mapping[str, DataFrame], out: str) -> DataFrame:
     doc = rows.groupBy().agg(*[
         F.array_sort(F.collect_list(F.when(F.col("section") == n, F.col("body")))).alias(n) for n in names
     ])
-    typed = doc.select(*[
-        F.transform(n, lambda b, s=sections[n].schema: F.from_json(b, s)).alias(n) for n in names
-    ])
+    typed = doc.select(*[F.transform(n, _parser(sections[n].schema)).alias(n) for n in names])
     typed.coalesce(1).write.json(out, ignoreNullFields=False)
     back = spark.read.schema(typed.schema).json(out)
     parts = []
