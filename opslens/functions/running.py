@@ -3,13 +3,14 @@
 A plain window puts all rows of a key into one task. Here rows are range
 partitioned by (key, order), so a hot key spans many slices of even size. The
 slices are frozen in the shared folder. Each slice computes its local running
-values, one small row per (slice, key) carries its totals, and the totals of
-earlier slices are added back.
+values, one small row per (slice, key) carries its totals, and the totals of the
+other slices are added back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,6 +19,35 @@ from pyspark.sql import functions as F
 from opslens.session import frozen
 
 
+@dataclass(frozen=True)
+class _Kind:
+    """How one running value is computed in a slice, summed up per slice, carried, and combined."""
+
+    forward: bool
+    inclusive: bool
+    fold: Callable[[Column], Column]
+    total: Callable[[Column, Column], Column]
+    combine: Callable[[Column, Column], Column]
+
+
+def _latest(c: Column) -> Column:
+    return F.last(c, ignorenulls=True)
+
+
+def _only_known(c: Column, at: Column) -> Column:
+    return F.when(c.isNotNull(), at)
+
+
+_KINDS = {
+    "sums": _Kind(True, True, F.sum, lambda c, at: F.sum(c), lambda w, c: w + F.coalesce(c, F.lit(0))),
+    "max_before": _Kind(True, False, F.max, lambda c, at: F.max(c), lambda w, c: F.greatest(w, c)),
+    "last": _Kind(True, True, _latest, lambda c, at: F.max_by(c, _only_known(c, at)), F.coalesce),
+    "last_before": _Kind(True, False, _latest, lambda c, at: F.max_by(c, _only_known(c, at)), F.coalesce),
+    "next": _Kind(False, True, _latest, lambda c, at: F.min_by(c, _only_known(c, at)), F.coalesce),
+    "next_after": _Kind(False, False, _latest, lambda c, at: F.min_by(c, _only_known(c, at)), F.coalesce),
+}
+
+
 def sliced(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Frozen range partitions of ``df`` with their number in ``_slice``; ``order`` must be unique per key."""
     ranged = df.repartitionByRange(*part, *order)
@@ -28,78 +58,39 @@ def running(
     df: DataFrame,
     part: Sequence[str],
     order: Sequence[str],
-    sums: Mapping[str, Column] | None = None,
-    max_before: Mapping[str, Column] | None = None,
-    last: Mapping[str, Column] | None = None,
-    lag: Mapping[str, Column] | None = None,
-    lead: Mapping[str, Column] | None = None,
-    presliced: bool = False,
+    keep_slices: bool = False,
+    **specs: Mapping[str, Column],
 ) -> DataFrame:
-    """Add running columns.
+    """Add running columns, given as ``kind={name: column}``; ``df`` keeps its columns.
 
-    sums: inclusive running sum. max_before: maximum over strictly earlier rows.
-    last: latest non-null value up to this row. lag / lead: neighbouring row's
-    value (non-null on every row). ``df`` keeps its columns.
+    sums: running sum up to this row. max_before: maximum over earlier rows.
+    last / next: nearest non-null value at or before / at or after this row.
+    last_before / next_after: the same without this row.
+    A ``df`` that still has ``_slice`` (``keep_slices``) is not sliced again.
     """
     part, order = list(part), list(order)
-    sums, max_before, last, lag, lead = (dict(m or {}) for m in (sums, max_before, last, lag, lead))
-    base = df if presliced else sliced(df, part, order)
-    inputs = {f"_i_{n}": c for m in (sums, max_before, last, lag, lead) for n, c in m.items()}
-    base = base.withColumns(inputs) if inputs else base
+    unknown = set(specs) - set(_KINDS)
+    if unknown:
+        raise ValueError(f"unknown running kind: {', '.join(sorted(unknown))}")
+    items = [(name, _KINDS[kind], col) for kind, cols in specs.items() for name, col in cols.items()]
+    base = df if "_slice" in df.columns else sliced(df, part, order)
+    base = base.withColumns({f"_i_{n}": c for n, _, c in items})
     key = ["_slice", *part]
+    up, down = [F.col(c).asc() for c in order], [F.col(c).desc() for c in order]
 
-    whole = W.partitionBy(*key).orderBy(*order)
-    upto = whole.rowsBetween(W.unboundedPreceding, 0)
-    before = whole.rowsBetween(W.unboundedPreceding, -1)
-    local: dict[str, Column] = {}
-    for n in sums:
-        local[f"_w_{n}"] = F.sum(f"_i_{n}").over(upto)
-    for n in max_before:
-        local[f"_w_{n}"] = F.max(f"_i_{n}").over(before)
-    for n in last:
-        local[f"_w_{n}"] = F.last(f"_i_{n}", ignorenulls=True).over(upto)
-    for n in lag:
-        local[f"_w_{n}"] = F.lag(f"_i_{n}").over(whole)
-    for n in lead:
-        local[f"_w_{n}"] = F.lead(f"_i_{n}").over(whole)
-    rows = base.withColumns(local)
+    def frame(by, ordering, inclusive):
+        return W.partitionBy(*by).orderBy(*ordering).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
 
+    rows = base.withColumns({
+        f"_w_{n}": k.fold(F.col(f"_i_{n}")).over(frame(key, up if k.forward else down, k.inclusive)) for n, k, _ in items
+    })
     at = F.struct(*order)
-    totals = []
-    for n in sums:
-        totals.append(F.sum(f"_i_{n}").alias(f"_t_{n}"))
-    for n in max_before:
-        totals.append(F.max(f"_i_{n}").alias(f"_t_{n}"))
-    for n in last:
-        totals.append(F.max_by(f"_i_{n}", F.when(F.col(f"_i_{n}").isNotNull(), at)).alias(f"_t_{n}"))
-    for n in lag:
-        totals.append(F.max_by(f"_i_{n}", at).alias(f"_t_{n}"))
-    for n in lead:
-        totals.append(F.min_by(f"_i_{n}", at).alias(f"_t_{n}"))
-    per_slice = base.groupBy(*key).agg(*totals)
-    earlier_slices = W.partitionBy(*part) if part else W.partitionBy(F.lit(1))
-    earlier_slices = earlier_slices.orderBy("_slice")
-    earlier = earlier_slices.rowsBetween(W.unboundedPreceding, -1)
-    carry: list[Column] = []
-    for n in sums:
-        carry.append(F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}"))
-    for n in max_before:
-        carry.append(F.max(f"_t_{n}").over(earlier).alias(f"_c_{n}"))
-    for n in last:
-        carry.append(F.last(f"_t_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}"))
-    for n in lag:
-        carry.append(F.lag(f"_t_{n}").over(earlier_slices).alias(f"_c_{n}"))
-    for n in lead:
-        carry.append(F.lead(f"_t_{n}").over(earlier_slices).alias(f"_c_{n}"))
-    carried = per_slice.select(*key, *carry)
-
+    per_slice = base.groupBy(*key).agg(*[k.total(F.col(f"_i_{n}"), at).alias(f"_t_{n}") for n, k, _ in items])
+    by = part or [F.lit(1)]
+    slices_up, slices_down = [F.col("_slice").asc()], [F.col("_slice").desc()]
+    carried = per_slice.select(*key, *[
+        k.fold(F.col(f"_t_{n}")).over(frame(by, slices_up if k.forward else slices_down, False)).alias(f"_c_{n}") for n, k, _ in items
+    ])
     joined = rows.join(carried, key, "left")
-    out: dict[str, Column] = {}
-    for n in sums:
-        out[n] = F.col(f"_w_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
-    for n in max_before:
-        out[n] = F.greatest(f"_w_{n}", f"_c_{n}")
-    for n in [*last, *lag, *lead]:
-        out[n] = F.coalesce(F.col(f"_w_{n}"), F.col(f"_c_{n}"))
-    helpers = [c for c in joined.columns if c.startswith(("_i_", "_w_", "_c_"))]
-    return joined.withColumns(out).drop(*helpers, "_slice")
+    kept = [c for c in df.columns if c != "_slice"] + (["_slice"] if keep_slices else [])
+    return joined.select(*kept, *[k.combine(F.col(f"_w_{n}"), F.col(f"_c_{n}")).alias(n) for n, k, _ in items])

@@ -86,62 +86,55 @@ def decoy_candidates(
     the nearest is the last transaction in time order, or the last one of another customer.
     """
     second = 1_000_000
+    calls = frozen(calls.select("call_id", "region", "customer_id", "seq", micros("call_ts").alias("call_t")))
     points = txns.select(
-        "region", "customer_id", "seq", F.col("txn_id").alias("id"), micros("end_ts").alias("t"), F.lit(1).alias("k"),
-    ).withColumns({"nt": -F.col("t"), "nseq": -F.col("seq")})
-    me = F.struct("t", "id", F.col("customer_id").alias("c"))
-    points = running(points, ["region"], ["t", "seq"], lag={"prior": me}, lead={"next": me})
-    points = frozen(points)
-
-    # offset, order against points at the same instant (0 before, 2 after), signs for both counts, tag
+        "region", "customer_id", "seq", F.col("txn_id").alias("id"), micros("end_ts").alias("t"), F.lit(1).alias("k")
+    )
+    # offset (s), order against points at the same instant (0 before, 2 after), signs in both counts, tag
     edges = [
         (-horizon, 0, -1, 0, ""), (horizon, 2, 1, 0, ""), (-far, 0, 0, -1, ""), (-near, 2, 0, 1, "past"),
-        (near, 0, 0, -1, ""), (far, 2, 0, 1, ""), (0, 2, 0, 0, "past_any"),
+        (near, 0, 0, -1, "ahead"), (far, 2, 0, 1, ""), (0, 2, 0, 0, "past_any"), (0, 0, 0, 0, "ahead_any"),
     ]
-    ahead = [(near, 2, 0, 0, "ahead"), (0, 2, 0, 0, "ahead_any")]
-
-    def probes(rows):
-        items = [
-            F.struct(F.lit(o * second).alias("o"), F.lit(k).alias("k"), F.lit(a).alias("sa"), F.lit(b).alias("sp"), F.lit(g).alias("tag"))
-            for o, k, a, b, g in rows
-        ]
-        return calls.select(
-            "call_id", "region", "customer_id", "seq", micros("call_ts").alias("call_t"), F.explode(F.array(*items)).alias("e")
-        ).select(
-            "call_id", "region", "customer_id", "seq", "call_t", (F.col("call_t") + F.col("e.o")).alias("t"),
-            "e.k", "e.sa", "e.sp", "e.tag",
-        ).withColumns({"nt": -F.col("t"), "nseq": -F.col("seq")})
-
+    items = F.array(*[
+        F.struct(F.lit(o * second).alias("o"), F.lit(k).alias("k"), F.lit(a).alias("sa"), F.lit(b).alias("sp"), F.lit(g).alias("tag"))
+        for o, k, a, b, g in edges
+    ])
+    probes = calls.withColumn("e", F.explode(items)).select(
+        "call_id", "region", "customer_id", "seq", "call_t", (F.col("call_t") + F.col("e.o")).alias("t"), "e.k", "e.sa", "e.sp", "e.tag"
+    )
     is_point = F.col("k") == 1
     one = F.when(is_point, 1).otherwise(0)
-
-    def with_last(rows, neighbour, order):
-        both = points.drop("next" if neighbour == "prior" else "prior").unionByName(rows, allowMissingColumns=True)
-        changed = is_point & (F.col(neighbour)["c"] != F.col("customer_id"))
-        return running(
-            both, ["region"], order, sums={"n": one},
-            last={"r1": F.when(is_point, me), "r2": F.when(changed, F.col(neighbour))},
-        ).where(~is_point)
-
-    past = with_last(probes(edges), "prior", ["t", "k", "seq"])
-    future = with_last(probes(ahead), "next", ["nt", "k", "nseq"])
+    me = F.when(is_point, F.struct("t", "id", F.col("customer_id").alias("c")))
+    order = ["t", "k", "seq"]
+    stacked = points.unionByName(probes, allowMissingColumns=True)
+
+    # p1/n1: nearest point on either side; p2/n2: nearest one of another customer than p1/n1
+    seen = running(
+        stacked, ["region"], order, keep_slices=True, sums={"n": one}, last={"p1": me}, next={"n1": me},
+        last_before={"prior": me}, next_after={"later": me},
+    )
+    changed_past, changed_next = F.col("prior.c") != F.col("customer_id"), F.col("later.c") != F.col("customer_id")
+    seen = running(
+        seen, ["region"], order, last={"p2": F.when(is_point & changed_past, F.col("prior"))},
+        next={"n2": F.when(is_point & changed_next, F.col("later"))},
+    ).where(~is_point)
     own = running(
-        points.drop("prior", "next").unionByName(probes([e for e in edges if e[4] != "past_any"]), allowMissingColumns=True),
-        ["region", "customer_id"], ["t", "k", "seq"], sums={"n": one},
+        points.select("region", "customer_id", "seq", "t", "k").unionByName(probes.where("sa <> 0 OR sp <> 0"), allowMissingColumns=True),
+        ["region", "customer_id"], order, sums={"n": one},
     ).where(~is_point)
 
-    other = F.when(F.col("r1.c") != F.col("customer_id"), F.col("r1")).otherwise(F.col("r2"))
-    rows = (
-        past.select("call_id", "call_t", "sa", "sp", "n", "tag", other.alias("o"))
-        .unionByName(future.select("call_id", "call_t", F.lit(0).alias("sa"), F.lit(0).alias("sp"), F.lit(0).cast("bigint").alias("n"), "tag", other.alias("o")))
-        .unionByName(own.select("call_id", "call_t", (-F.col("sa")).alias("sa"), (-F.col("sp")).alias("sp"), "n", F.lit("").alias("tag")), allowMissingColumns=True)
+    def not_own(first, second_):
+        return F.when(F.col(f"{first}.c") != F.col("customer_id"), F.col(first)).otherwise(F.col(second_))
+
+    nearest = F.when(F.col("tag").startswith("past"), not_own("p1", "p2")).when(F.col("tag").startswith("ahead"), not_own("n1", "n2"))
+    rows = seen.select("call_id", "call_t", "sa", "sp", "n", "tag", nearest.alias("o")).unionByName(
+        own.select("call_id", (-F.col("sa")).alias("sa"), (-F.col("sp")).alias("sp"), "n"), allowMissingColumns=True
     )
     gap = F.abs(F.col("call_t") - F.col("o.t"))
-    found = F.struct(gap.alias("gap"), F.col("o.id").alias("id"))
 
     def best(tags, limit):
         ok = F.col("tag").isin(*tags) & (gap <= limit * second)
-        return F.min(F.when(ok, found))
+        return F.min(F.when(ok, F.struct(gap.alias("gap"), F.col("o.id").alias("id"))))
 
     return rows.groupBy("call_id").agg(
         F.sum(F.col("sa") * F.col("n")).alias("candidates"), F.sum(F.col("sp") * F.col("n")).alias("preferred"),

@@ -11,6 +11,7 @@ from opslens.functions.intervals import first_interval
 from opslens.functions.scalars import half_up, plus_micros, text_or_empty
 
 # Event names, level names, offsets (ms), span shares and codes of the telemetry format.
+OPENING_EVENTS = ("received", "queued", "orchestrated")
 OUTCOME_EVENTS = ("completed", "timeout")
 QUEUED_AFTER_MS = 10
 ORCHESTRATED_AFTER_MS = 40
@@ -109,82 +110,74 @@ def txn_key_build_parse(facts: DataFrame) -> DataFrame:
 
 
 def lifecycle_explode(facts: DataFrame) -> DataFrame:
-    """One transaction to its ordered log rows, in one map-side pass."""
+    """One transaction to its ordered log rows, in one map-side pass.
+
+    Rows 1-3 open the transaction, then each attempt gives one row (two with a
+    cross-region call), then the outcome, then a manual retry after a timeout. Each
+    column is a plain expression over the row number, so unused ones are pruned and
+    the pass stays inside generated code.
+    """
     coded = status_normalise(facts)
-    base = plus_micros("start_ts", F.col("skew_ms") * 1000)
-    cross = F.col("dep_region").isNotNull()
-    timeout = F.col("status") == "timeout"
-    none = F.lit(None)
-
-    outcome = {k: F.col(k) for k in ("http_status", "error_code", "message")}
-
-    def row(event, service, ts, level, attempt=none, dep=none, latency=none, end=None):
-        text = end or {"http_status": F.lit(""), "error_code": F.lit(""), "message": F.lit(EVENT_MESSAGES.get(event))}
-        return F.struct(
-            (F.lit(event) if isinstance(event, str) else event).alias("event"),
-            (F.lit(service) if isinstance(service, str) else service).alias("service"),
-            ts.alias("ts"), (F.lit(level) if isinstance(level, str) else level).alias("level"),
-            attempt.cast("int").alias("attempt"), dep.cast("bigint").alias("dependency_latency_ms"),
-            latency.cast("double").alias("end_to_end_latency_ms"), *[c.alias(n) for n, c in text.items()],
-        )
-
-    opening = F.array(
-        row("received", "api", base, "INFO"),
-        row("queued", "api", plus_micros(base, QUEUED_AFTER_MS * 1000), "INFO"),
-        row("orchestrated", "orchestrator", plus_micros(base, ORCHESTRATED_AFTER_MS * 1000), "INFO"),
+    cross, timeout = F.col("dep_region").isNotNull(), F.col("status") == "timeout"
+    per = F.when(cross, 2).otherwise(1)
+    outcome_no = len(OPENING_EVENTS) + per * (F.col("retry_count") + 1) + 1
+    numbered = coded.withColumn("_outcome", outcome_no).withColumn(
+        "event_no", F.explode(F.sequence(F.lit(1), F.col("_outcome") + F.when(timeout, 1).otherwise(0)))
+    )
+    no, in_try = F.col("event_no"), F.col("event_no") - len(OPENING_EVENTS) - 1
+    trying = (no > len(OPENING_EVENTS)) & (no < F.col("_outcome"))
+    calling = trying & cross & (in_try % 2 == 0)
+    at_end, after_end = no == F.col("_outcome"), no > F.col("_outcome")
+    rows = numbered.withColumn("attempt", F.when(trying, F.floor(in_try / per).cast("int")))
+
+    attempt_ms = ORCHESTRATED_AFTER_MS + FIRST_ATTEMPT_AFTER_MS + F.col("attempt") * ATTEMPT_SPACING_MS
+    work = F.floor(F.coalesce(F.col("dep_latency_ms"), F.lit(float(LOCAL_WORK_MS))) * 1000)
+    offset = (
+        F.when(no == 1, 0).when(no == 2, QUEUED_AFTER_MS * 1000).when(no == 3, ORCHESTRATED_AFTER_MS * 1000)
+        .when(calling, attempt_ms * 1000).when(trying, attempt_ms * 1000 + work)
+        .when(at_end, 0).otherwise(MANUAL_RETRY_AFTER_MS * 1000)
     )
-    start_ms = ORCHESTRATED_AFTER_MS + FIRST_ATTEMPT_AFTER_MS
-
-    def attempt_rows(a):
-        at = plus_micros(base, (F.lit(start_ms) + a * ATTEMPT_SPACING_MS) * 1000)
-        work = F.floor(F.coalesce(F.col("dep_latency_ms"), F.lit(float(LOCAL_WORK_MS))) * 1000)
-        worker = row(
-            "worker_progress", F.when(a == F.col("retry_count"), "worker").otherwise("worker-retry"),
-            plus_micros(at, work), "INFO", a,
-        )
-        call = row(
-            "dependency_call", "orchestrator", at, F.when(F.col("impacted_by_primary"), "WARN").otherwise("INFO"),
-            a, F.floor("dep_latency_ms"),
-        )
-        return F.when(cross, F.array(call, worker)).otherwise(F.array(worker))
-
-    attempts = F.flatten(F.transform(F.sequence(F.lit(0), F.col("retry_count")), attempt_rows))
-    done = plus_micros("end_ts", F.col("skew_ms") * 1000)
-    closing = F.array(row(
-        F.when(timeout, "timeout").otherwise("completed"), "api", done, F.when(timeout, "ERROR").otherwise("INFO"),
-        none, F.floor("dep_latency_ms"), F.round("latency_ms", 2), outcome,
-    ))
-    manual = F.when(
-        timeout, F.array(row("retry", "api", plus_micros(done, MANUAL_RETRY_AFTER_MS * 1000), "WARN"))
+    origin = F.when(at_end | after_end, F.col("end_ts")).otherwise(F.col("start_ts"))
+    event = (
+        F.when(no == 1, OPENING_EVENTS[0]).when(no == 2, OPENING_EVENTS[1]).when(no == 3, OPENING_EVENTS[2])
+        .when(calling, "dependency_call").when(trying, "worker_progress").when(at_end, F.col("event")).otherwise("retry")
     )
-    steps = F.concat(opening, attempts, closing, F.coalesce(manual, F.slice(opening, 1, 0)))
+    service = (
+        F.when(trying & ~calling, F.when(F.col("attempt") == F.col("retry_count"), "worker").otherwise("worker-retry"))
+        .when((no == 3) | calling, "orchestrator").otherwise("api")
+    )
+    level = (
+        F.when(at_end, F.col("level")).when(after_end, "WARN")
+        .when(calling & F.col("impacted_by_primary"), "WARN").otherwise("INFO")
+    )
+    note = F.coalesce(*[F.when(event == e, m) for e, m in EVENT_MESSAGES.items()])
     ids = ["txn_id", "seq", "customer_id", "region", "txn_type", "circuit_id", "dep_region"]
-    return coded.select(*ids, F.posexplode(steps).alias("pos", "row")).select(
-        *ids, (F.col("pos") + 1).alias("event_no"), "row.*"
+    return rows.select(
+        *ids, "event_no", event.alias("event"), service.alias("service"),
+        plus_micros(origin, offset + F.col("skew_ms") * 1000).alias("ts"), level.alias("level"), "attempt",
+        F.when(calling | at_end, F.floor("dep_latency_ms")).alias("dependency_latency_ms"),
+        F.when(at_end, F.round("latency_ms", 2)).alias("end_to_end_latency_ms"),
+        *[F.when(at_end, F.col(c)).otherwise("").alias(c) for c in ("http_status", "error_code")],
+        F.when(at_end, F.col("message")).otherwise(note).alias("message"),
     )
 
 
 def span_explode(facts: DataFrame) -> DataFrame:
     """One transaction to three spans, plus one for a cross-region call."""
-    state = F.when(F.col("status") == "timeout", "error").otherwise("ok")
-    latency = F.col("latency_ms")
-
-    def span(no, parent, service, ms, status, circuit):
-        return F.struct(
-            F.lit(no).alias("span_no"), F.lit(parent).cast("int").alias("parent_no"), F.lit(service).alias("service"),
-            half_up(ms, 2).alias("duration_ms"), status.alias("status"), circuit.alias("circuit_id"),
-        )
-
-    spans = F.array(
-        span(1, None, "api", latency, state, F.lit("")),
-        span(2, 1, "orchestrator", latency * ORCHESTRATOR_SHARE, F.lit("ok"), F.lit("")),
-        span(3, 2, "worker", latency * WORKER_SHARE, state, F.lit("")),
-        span(4, 2, "inventory-client", F.col("dep_latency_ms"), state, text_or_empty("circuit_id")),
+    cross = F.col("dep_region").isNotNull()
+    numbered = facts.withColumn("span_no", F.explode(F.sequence(F.lit(1), F.when(cross, 4).otherwise(3))))
+    no, latency = F.col("span_no"), F.col("latency_ms")
+    ms = (
+        F.when(no == 1, latency).when(no == 2, latency * ORCHESTRATOR_SHARE).when(no == 3, latency * WORKER_SHARE)
+        .otherwise(F.col("dep_latency_ms"))
+    )
+    service = F.when(no == 1, "api").when(no == 2, "orchestrator").when(no == 3, "worker").otherwise("inventory-client")
+    return numbered.select(
+        F.col("txn_id").alias("trace_id"), "txn_id", "region", F.col("start_ts").alias("ts"), "span_no",
+        F.when(no == 2, 1).when(no > 2, 2).alias("parent_no"), service.alias("service"), half_up(ms, 2).alias("duration_ms"),
+        F.when((F.col("status") == "timeout") & (no != 2), "error").otherwise("ok").alias("status"),
+        F.when(no == 4, text_or_empty("circuit_id")).otherwise("").alias("circuit_id"),
     )
-    kept = F.filter(spans, lambda s: (s["span_no"] < 4) | F.col("dep_region").isNotNull())
-    return facts.select(
-        F.col("txn_id").alias("trace_id"), F.col("txn_id"), "region", F.col("start_ts").alias("ts"), F.explode(kept).alias("s")
-    ).select("trace_id", "txn_id", "region", "ts", "s.*")
 
 
 def txn_rebuild(logs: DataFrame) -> DataFrame:

@@ -43,9 +43,10 @@ def spike_islands(metrics: DataFrame, key: str, order: Sequence[str], k: float)
 
     Within a burst no calm row intervenes, so the running count of calm rows names the burst.
     """
+    metrics = frozen(metrics.select(key, "ts", "value", *[c for c in order if c not in ("ts", "value")]))
     medians = exact_quantiles(metrics, [key], "value", {"_median": 0.5})
     rows = metrics.join(broadcast_if_small(frozen(medians)), key)
-    rows = rows.select(key, "ts", "value", *[c for c in order if c not in ("ts", "value")], (F.col("value") > k * F.col("_median")).alias("_high"))
+    rows = rows.withColumn("_high", F.col("value") > k * F.col("_median")).drop("_median")
     numbered = running(rows, [key], order, sums={"_calm": F.when(F.col("_high"), 0).otherwise(1)})
     return numbered.where("_high").groupBy(key, "_calm").agg(
         F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("n"), F.max("value").alias("peak")
@@ -98,7 +99,8 @@ def lookback_count(facts: DataFrame, region: str, ts: str, ended: str, horizon_s
 def attempt_sequence(logs: DataFrame) -> DataFrame:
     tries = logs.where(F.col("event") == "worker_progress").select("txn_id", "ts", F.col("attempt").alias("_a"))
     rows = running(
-        tries, ["txn_id"], ["ts", "_a"], sums={"attempt": F.lit(1)}, lag={"_prev": F.col("ts")}, lead={"_next": F.col("ts")}
+        tries, ["txn_id"], ["ts", "_a"], sums={"attempt": F.lit(1)}, last_before={"_prev": F.col("ts")},
+        next_after={"_next": F.col("ts")},
     )
     return rows.select(
         "txn_id", "attempt", ((micros("ts") - micros("_prev")) / F.lit(1000.0)).alias("gap_ms"), F.col("_next").isNull().alias("is_last")

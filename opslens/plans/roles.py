@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opslens.functions.scalars import plus_micros
 from opslens.operators import shape
@@ -31,8 +32,15 @@ CONFOUNDERS = (
 )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A Parquet table; its schema is inferred once per path."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def region_of(spark: SparkSession, sf_dir: str) -> DataFrame:
