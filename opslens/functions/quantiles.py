@@ -47,11 +47,11 @@ def exact_quantiles(
     bounds = frozen(df.groupBy(*keys).agg(sketch.alias("_edge"), *[c.alias(n) for n, c in extra.items()]))
 
     rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    lookup = bounds.select(*keys, "_edge")
-    if not keys:
-        rows = _join(rows.withColumn("_one", F.lit(1)), lookup.withColumn("_one", F.lit(1)), ["_one"]).drop("_one")
-    else:
-        rows = _join(rows, lookup, keys)
+    if keys:
+        rows = _join(rows, bounds.select(*keys, "_edge"), keys)
+    else:  # one group: its enclosures are a handful of numbers
+        enclosing = bounds.select("_edge").first()[0] or [None] * len(edges)
+        rows = rows.withColumn("_edge", F.array(*[F.lit(e).cast("double") for e in enclosing]))
 
     v = F.col("_v")
     lo = [F.col("_edge")[2 * i] for i in range(len(names))]
@@ -101,16 +101,14 @@ def exact_quantiles(
         picks.append(F.max(pos).alias(f"_pos{i}"))
         low, high, at = F.col(f"_l{i}"), F.col(f"_h{i}"), F.col(f"_pos{i}")
         missed = F.raise_error(F.lit("quantile rank fell outside its enclosure; raise accuracy"))
-        out = F.when(low.isNull() | high.isNull(), missed.cast("double")).otherwise(
-            low + (high - low) * (at - F.floor(at)) if how == "linear" else low
-        )
+        value_at = low + (high - low) * (at - F.floor(at)) if how == "linear" else low
+        out = F.when(at.isNull(), F.lit(None)).when(low.isNull() | high.isNull(), missed.cast("double")).otherwise(value_at)
         finals.append(out.alias(name))
     solved = ranked.groupBy(*keys).agg(*picks).select(*keys, *finals)
     kept = bounds.select(*keys, *extra)
     if not keys:
-        return solved if not extra else (
-            kept.withColumn("_one", F.lit(1)).join(solved.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
-        )
+        both = kept.unionByName(solved, allowMissingColumns=True) if extra else solved
+        return both.agg(*[F.max(c).alias(c) for c in [*extra, *names]])
     return kept.join(solved, keys, "left")
 
 

@@ -109,14 +109,11 @@ def decoy_candidates(
     stacked = points.unionByName(probes, allowMissingColumns=True)
 
     # p1/n1: nearest point on either side; p2/n2: nearest one of another customer than p1/n1
-    seen = running(
-        stacked, ["region"], order, keep_slices=True, sums={"n": one}, last={"p1": me}, next={"n1": me},
-        last_before={"prior": me}, next_after={"later": me},
-    )
+    seen = frozen(running(stacked, ["region"], order, keep_slices=True, last_before={"prior": me}, next_after={"later": me}))
     changed_past, changed_next = F.col("prior.c") != F.col("customer_id"), F.col("later.c") != F.col("customer_id")
     seen = running(
-        seen, ["region"], order, last={"p2": F.when(is_point & changed_past, F.col("prior"))},
-        next={"n2": F.when(is_point & changed_next, F.col("later"))},
+        seen, ["region"], order, sums={"n": one}, last={"p1": me, "p2": F.when(is_point & changed_past, F.col("prior"))},
+        next={"n1": me, "n2": F.when(is_point & changed_next, F.col("later"))},
     ).where(~is_point)
     own = running(
         points.select("region", "customer_id", "seq", "t", "k").unionByName(probes.where("sa <> 0 OR sp <> 0"), allowMissingColumns=True),
