@@ -20,6 +20,7 @@ from opslens.session import frozen, within
 
 ACCURACY = 10_000
 MAX_BROADCAST_GROUPS = 100_000
+HOT_SHARE = 1000
 SALTS = 64
 
 
@@ -44,11 +45,13 @@ def exact_quantiles(
     for p in probs.values():
         edges += [max(0.0, p - slack), min(1.0, p + slack)]
     sketch = F.percentile_approx(F.col(value), edges, accuracy)
-    bounds = frozen(df.groupBy(*keys).agg(sketch.alias("_edge"), *[c.alias(n) for n, c in extra.items()]))
+    bounds = frozen(df.groupBy(*keys).agg(
+        F.count(value).alias("_size"), sketch.alias("_edge"), *[c.alias(n) for n, c in extra.items()]
+    ))
 
     rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     if keys:
-        rows = _join(rows, bounds.select(*keys, "_edge"), keys)
+        rows = _join(rows, bounds.select(*keys, "_edge", "_size"), keys)
     else:  # one group: its enclosures are a handful of numbers
         enclosing = bounds.select("_edge").first()[0] or [None] * len(edges)
         rows = rows.withColumn("_edge", F.array(*[F.lit(e).cast("double") for e in enclosing]))
@@ -113,9 +116,17 @@ def exact_quantiles(
 
 
 def _join(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach one lookup row per key: broadcast if its size was checked, else with salted keys."""
+    """Attach one lookup row per key: broadcast if its size was checked, else a shuffle with salted hot keys.
+
+    A key is hot if it holds more than 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are;
+    only these are broadcast as a set and spread over salts.
+    """
     if within(lookup, MAX_BROADCAST_GROUPS):
-        return rows.join(F.broadcast(lookup), keys)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
-    return salted.join(lookup.withColumn("_salt", salts), [*keys, "_salt"]).drop("_salt")
+        return rows.join(F.broadcast(lookup.drop("_size")), keys)
+    total = lookup.agg(F.sum("_size")).first()[0] or 0
+    is_hot = F.col("_size") * HOT_SHARE > total
+    hot = F.broadcast(lookup.where(is_hot).select(*keys, F.lit(True).alias("_hot")))
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = rows.join(hot, keys, "left").withColumn("_salt", spread).drop("_hot")
+    copies = F.explode(F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0)))
+    return salted.join(lookup.withColumn("_salt", copies).drop("_size"), [*keys, "_salt"]).drop("_salt")

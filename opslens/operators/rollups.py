@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from opslens.functions.intervals import first_interval
 from opslens.functions.quantiles import exact_quantiles
+from opslens.session import frozen
 from opslens.functions.scalars import grid_floor, half_up, is_absent, ratio, share_of, within_half_open
 
 
@@ -111,7 +112,7 @@ def incident_multiplier(df: DataFrame, start: Column, end: Column) -> DataFrame:
 
 def top_circuit_uplift(metrics: DataFrame, src: str, dst: str, start: Column, end: Column, k: int = 5) -> DataFrame:
     """The ``k`` circuits of one route with the largest rise; ties go to the lower circuit id."""
-    route = metrics.where((F.col("src") == src) & (F.col("dst") == dst))
+    route = frozen(metrics.where((F.col("src") == src) & (F.col("dst") == dst)).select("circuit_id", "ts", "value"))
     q = before_and_during(route, ["circuit_id"], "ts", "value", start, end)
     named = q.select("circuit_id", F.lit(src).alias("src"), F.lit(dst).alias("dst"), "p95_baseline", "p95_incident", "p95_multiplier")
     return named.orderBy(F.col("p95_multiplier").desc_nulls_last(), "circuit_id").limit(k)

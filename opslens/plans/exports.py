@@ -44,7 +44,7 @@ def trace_spans(s: SparkSession, d: str) -> DataFrame:
 
 
 def network_circuit_metrics(s: SparkSession, d: str) -> DataFrame:
-    return roles.circuit_metrics(s, d).select(
+    return roles.circuit_samples(s, d).select(
         iso_seconds("ts").alias("timestamp"), F.col("src").alias("src_region"), F.col("dst").alias("dst_region"), "circuit_id",
         F.col("value").alias("rtt_ms"), *[F.lit(0.0).alias(c) for c in ("packet_loss_pct", "retransmits_per_s", "throughput_mbps")],
     )

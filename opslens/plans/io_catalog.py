@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opslens.functions.scalars import ntz
 from opslens.operators import joins, rollups, shape, views
 from opslens.plans import exports, report, roles
-from opslens.session import scratch_path, staged
+from opslens.session import frozen, scratch_path
 from opslens.sources import csv_tables, sinks, truth
 from opslens.sources.schemas import FILE_PREFIX, TABLES
 from opslens.streaming import streams
@@ -84,7 +84,10 @@ def sink_csv_header(s, d):
 
 
 def report_sections(s, d) -> dict[str, DataFrame]:
-    logs, calls = roles.logs(s, d), roles.calls(s, d)
+    """All sections read the same two tables, so these are written once and then scanned by column."""
+    logs = frozen(roles.logs(s, d).select("txn_id", "customer_id", "region", "txn_type", "event", "ts", "end_to_end_latency_ms"))
+    calls = frozen(roles.calls(s, d).select("call_id", "customer_id", "ref"))
+    start, end = ntz(roles.INCIDENT_START), ntz(roles.INCIDENT_END)
     focus = shape.impacted_slice(logs, roles.FOCUS_REGION, roles.FOCUS_TYPES, shape.OUTCOME_EVENTS)
     received = shape.impacted_slice(logs, roles.FOCUS_REGION, roles.FOCUS_TYPES, ["received"])
     return {
@@ -97,14 +100,6 @@ def report_sections(s, d) -> dict[str, DataFrame]:
         "tso_nonexistent": joins.link_nonexistent_rate(calls, logs),
         "tso_customer_mismatch": joins.link_mismatch_rate(calls, logs),
         "tso_confusion_matrix": joins.link_confusion_matrix(calls, logs),
-    }
-
-
-def full_report_sections(s, d) -> dict[str, DataFrame]:
-    """The report sections plus the two incident rankings."""
-    logs = roles.logs(s, d)
-    start, end = ntz(roles.INCIDENT_START), ntz(roles.INCIDENT_END)
-    return report_sections(s, d) | {
         "incident_p95_multiplier": rollups.incident_multiplier(
             rollups.impacted(logs, roles.FOCUS_TYPES, shape.OUTCOME_EVENTS), start, end),
         "top_circuit_uplift": rollups.top_circuit_uplift(
@@ -113,7 +108,7 @@ def full_report_sections(s, d) -> dict[str, DataFrame]:
 
 
 def sink_json_report(s, d):
-    return report.write_json_report(full_report_sections(s, d), scratch_path(s, "report"))
+    return report.write_json_report(report_sections(s, d), scratch_path(s, "report"))
 
 
 def view_alias(s, d):

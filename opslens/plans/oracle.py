@@ -340,7 +340,7 @@ QUERIES = {
     "ingest_directory": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS rows FROM {t}"
         for n, t in [("txn_facts", "facts"), ("app_logs", "logs"), ("trace_spans", "spans"), ("tso_calls", "calls"),
-                     ("network_circuit_metrics", "circuit_metrics"), ("infra_host_metrics", "hosts"), ("network_events", "net_events"),
+                     ("network_circuit_metrics", "samples"), ("infra_host_metrics", "hosts"), ("network_events", "net_events"),
                      ("service_metrics", "(SELECT DISTINCT date_trunc('minute', start_ts), region, txn_type FROM facts)")]),
     "derive_ingest_columns": "SELECT txn_id AS transaction_id, event, ts, lat AS end_to_end_latency_ms_f64 FROM logs",
     "read_ground_truth": """SELECT call_id, true_txn AS true_id, ref AS emitted_id, noise_type,

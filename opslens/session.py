@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 _own_dirs: dict[str, str] = {}
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int, parallelism: int = 8) -> int:
+    """Shuffle partitions that keep one partition near 128 MB; AQE merges those that turn out small."""
+    return max(parallelism, -(-input_bytes // PARTITION_BYTES))
+
+
 def open_session(app: str = "opslens", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators assume; ``conf`` overrides any of them."""
+    """A session with the settings the operators assume; ``conf`` overrides any of them (``a__b`` for ``a.b``)."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -50,8 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder, in one folder per application so that it can be cleared as a whole."""
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

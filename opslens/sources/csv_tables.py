@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from opslens.functions.scalars import number_or_zero
 from opslens.sources.schemas import FILE_PREFIX, TABLES, TableSpec
+from opslens.sources.sinks import bloom_options, by_day_and_key
 
 
 def _text_schema(columns: list[str]) -> T.StructType:
@@ -93,6 +94,7 @@ def ingest_directory(
 
     A name without a declared schema is an error before anything is written. With
     ``insert_only`` each table must exist; else it is created below ``location``.
+    Tables are partitioned by ``day`` and each file is sorted by the table's key.
     """
     names = tables_in(spark, folder, prefix)
     for n in names:
@@ -102,15 +104,28 @@ def ingest_directory(
             raise ValueError(f"missing table (insert-only mode): {database}.{n}")
     counts = []
     for n in names:
-        df = read_table(spark, f"{folder.rstrip('/')}/{prefix}{n}.csv", n)
+        df = with_day(read_table(spark, f"{folder.rstrip('/')}/{prefix}{n}.csv", n), n)
         target = f"{database}.{n}"
         if not spark.catalog.tableExists(target):
-            spark.catalog.createTable(target, path=f"{location.rstrip('/')}/{n}", source="parquet", schema=df.schema)
-        df.select(*spark.table(target).columns).write.insertInto(target)
+            create_table(spark, df.schema, n, target, f"{location.rstrip('/')}/{n}")
+        by_day_and_key(df, "day", spec_of(n).sort_keys).select(*spark.table(target).columns).write.insertInto(target)
         counts.append(spark.table(target).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")))
     return reduce(DataFrame.unionByName, counts)
 
 
+def with_day(df: DataFrame, table: str) -> DataFrame:
+    """Add the day of the table's leading time column."""
+    return df.withColumn("day", F.to_date(next(iter(spec_of(table).times.values()))))
+
+
+def create_table(spark: SparkSession, schema: T.StructType, table: str, target: str, path: str) -> None:
+    """An empty table partitioned by day with bloom filters on its ids."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    options = ", ".join(f"'{k}' = '{v}'" for k, v in bloom_options(spec_of(table).bloom).items())
+    with_options = f"OPTIONS ({options})" if options else ""
+    spark.sql(f"CREATE TABLE {target} ({columns}) USING parquet {with_options} PARTITIONED BY (day) LOCATION '{path}'")
+
+
 def csv_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
     """The same typed and derived columns as files arrive; file columns must be in declared order."""
     declared = _schema(spec_of(table).columns)

@@ -19,14 +19,20 @@ def sink_partitioned_table(
     Rows are range partitioned by day and key, so a large day is written by many
     tasks and each file holds a narrow key range that min/max statistics can skip.
     """
-    order = [day_col, *sort_keys]
-    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(day_col)
-    for c in bloom_cols:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.fpp#{c}", "0.01")
-    writer.parquet(out)
+    writer = by_day_and_key(df, day_col, sort_keys).write.mode(mode).partitionBy(day_col)
+    writer.options(**bloom_options(bloom_cols)).parquet(out)
     return df.sparkSession.read.parquet(out)
 
 
+def by_day_and_key(df: DataFrame, day_col: str, sort_keys: Sequence[str]) -> DataFrame:
+    order = [day_col, *sort_keys]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def bloom_options(cols: Sequence[str]) -> dict[str, str]:
+    return {k: v for c in cols for k, v in ((f"parquet.bloom.filter.enabled#{c}", "true"), (f"parquet.bloom.filter.fpp#{c}", "0.01"))}
+
+
 def sink_csv_header(df: DataFrame, out: str) -> None:
     """Headered CSV with empty fields for absent values."""
     df.write.option("header", True).option("emptyValue", "").option("nullValue", "").option("escape", '"').csv(out)

@@ -112,3 +112,12 @@ def test_views(spark, sf_dir):
     assert spark.table("v_logs_asia").select("region").distinct().count() == 1
     got = views.table_presence_rows(spark, ["v_logs_asia", "no_such_table"]).collect()
     assert (got[0].present, got[1].present, got[1].rows) == (True, False, 0) and got[0].rows > 0
+
+
+def test_ingested_tables_are_partitioned_by_day(spark, sf_dir):
+    io_catalog.ingest_directory(spark, sf_dir).collect()
+    database = max((d.name for d in spark.catalog.listDatabases() if d.name.startswith("ops_")))
+    table = spark.table(f"{database}.app_logs")
+    plan = table.where("day = DATE '2024-01-12'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert table.where("day <> to_date(ts)").count() == 0
