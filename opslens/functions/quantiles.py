@@ -11,6 +11,8 @@ fixed small share (``8 / accuracy``) of a large group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -57,36 +59,28 @@ def exact_quantiles(
         rows = rows.withColumn("_edge", F.array(*[F.lit(e).cast("double") for e in enclosing]))
 
     v = F.col("_v")
-    lo = [F.col("_edge")[2 * i] for i in range(len(names))]
-    hi = [F.col("_edge")[2 * i + 1] for i in range(len(names))]
-    inside = [(v >= a) & (v <= b) for a, b in zip(lo, hi)]
-    any_inside = inside[0]
-    for c in inside[1:]:
-        any_inside = any_inside | c
-    counted = rows.select(
-        *keys, v, F.when(any_inside, v).alias("_x"),
-        *[F.struct(a.alias("a"), b.alias("b")).alias(f"_e{i}") for i, (a, b) in enumerate(zip(lo, hi))],
-    ).groupBy(*keys, "_x").agg(
+    at = range(len(names))
+    rows = rows.select(
+        *keys, v, *[F.col("_edge")[2 * i].alias(f"_lo{i}") for i in at], *[F.col("_edge")[2 * i + 1].alias(f"_hi{i}") for i in at]
+    )
+    inside = [(v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}")) for i in at]
+    counted = rows.withColumn("_x", F.when(reduce(or_, inside), v)).groupBy(*keys, "_x").agg(
         F.count(F.lit(1)).alias("_c"),
-        *[F.count_if(v < F.col(f"_e{i}.a")).alias(f"_lt{i}") for i in range(len(names))],
-        *[F.max(F.when(v < F.col(f"_e{i}.a"), v)).alias(f"_under{i}") for i in range(len(names))],
-        *[F.min(F.when(v > F.col(f"_e{i}.b"), v)).alias(f"_over{i}") for i in range(len(names))],
-        *[F.first(f"_e{i}").alias(f"_e{i}") for i in range(len(names))],
+        *[F.count_if(v < F.col(f"_lo{i}")).alias(f"_lt{i}") for i in at],
+        *[F.count_if(inside[i]).alias(f"_in{i}") for i in at],
+        *[F.max(F.when(v < F.col(f"_lo{i}"), v)).alias(f"_under{i}") for i in at],
+        *[F.min(F.when(v > F.col(f"_hi{i}"), v)).alias(f"_over{i}") for i in at],
     )
 
     whole = W.partitionBy(*[F.col(k) for k in keys]) if keys else W.partitionBy(F.lit(1))
     upto = whole.orderBy(F.col("_x").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted
     x = F.col("_x")
-    for i in range(len(names)):
-        here = F.when((x >= F.col(f"_e{i}.a")) & (x <= F.col(f"_e{i}.b")), F.col("_c")).otherwise(F.lit(0))
-        ranked = ranked.withColumn(f"_in{i}", here)
-    ranked = ranked.select(
+    ranked = counted.select(
         "*",
         F.sum("_c").over(whole).alias("_rows"),
-        *[F.sum(f"_lt{i}").over(whole).alias(f"_base{i}") for i in range(len(names))],
-        *[F.sum(f"_in{i}").over(upto).alias(f"_cum{i}") for i in range(len(names))],
-        *[F.sum(f"_in{i}").over(whole).alias(f"_all{i}") for i in range(len(names))],
+        *[F.sum(f"_lt{i}").over(whole).alias(f"_base{i}") for i in at],
+        *[F.sum(f"_in{i}").over(upto).alias(f"_cum{i}") for i in at],
+        *[F.sum(f"_in{i}").over(whole).alias(f"_all{i}") for i in at],
     )
 
     n = F.col("_rows")
@@ -102,10 +96,10 @@ def exact_quantiles(
             above = F.min(F.when(rank == F.col(f"_base{i}") + F.col(f"_all{i}"), F.col(f"_over{i}")))
             picks.append(F.coalesce(found, below, above).alias(f"_{tag}{i}"))
         picks.append(F.max(pos).alias(f"_pos{i}"))
-        low, high, at = F.col(f"_l{i}"), F.col(f"_h{i}"), F.col(f"_pos{i}")
+        low, high, pos = F.col(f"_l{i}"), F.col(f"_h{i}"), F.col(f"_pos{i}")
         missed = F.raise_error(F.lit("quantile rank fell outside its enclosure; raise accuracy"))
-        value_at = low + (high - low) * (at - F.floor(at)) if how == "linear" else low
-        out = F.when(at.isNull(), F.lit(None)).when(low.isNull() | high.isNull(), missed.cast("double")).otherwise(value_at)
+        value_at = low + (high - low) * (pos - F.floor(pos)) if how == "linear" else low
+        out = F.when(pos.isNull(), F.lit(None)).when(low.isNull() | high.isNull(), missed.cast("double")).otherwise(value_at)
         finals.append(out.alias(name))
     solved = ranked.groupBy(*keys).agg(*picks).select(*keys, *finals)
     kept = bounds.select(*keys, *extra)
