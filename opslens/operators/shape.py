@@ -150,7 +150,11 @@ def lifecycle_explode(facts: DataFrame) -> DataFrame:
         F.when(at_end, F.col("level")).when(after_end, "WARN")
         .when(calling & F.col("impacted_by_primary"), "WARN").otherwise("INFO")
     )
-    note = F.coalesce(*[F.when(event == e, m) for e, m in EVENT_MESSAGES.items()])
+    said = EVENT_MESSAGES
+    message = (
+        F.when(no == 1, said["received"]).when(no == 2, said["queued"]).when(no == 3, said["orchestrated"])
+        .when(calling, said["dependency_call"]).when(trying, said["worker_progress"]).when(at_end, F.col("message")).otherwise(said["retry"])
+    )
     ids = ["txn_id", "seq", "customer_id", "region", "txn_type", "circuit_id", "dep_region"]
     return rows.select(
         *ids, "event_no", event.alias("event"), service.alias("service"),
@@ -158,7 +162,7 @@ def lifecycle_explode(facts: DataFrame) -> DataFrame:
         F.when(calling | at_end, F.floor("dep_latency_ms")).alias("dependency_latency_ms"),
         F.when(at_end, F.round("latency_ms", 2)).alias("end_to_end_latency_ms"),
         *[F.when(at_end, F.col(c)).otherwise("").alias(c) for c in ("http_status", "error_code")],
-        F.when(at_end, F.col("message")).otherwise(note).alias("message"),
+        message.alias("message"),
     )
 
 

@@ -53,17 +53,29 @@ def daily_views(
     return names
 
 
+def rows_through_views(spark: SparkSession, names: dict, columns: Sequence[str]) -> DataFrame:
+    """Rows read through each view, 0 for an empty one; ``names`` maps a shard's labels to its view.
+
+    One statement over all views, then one aggregate, so the plan is analysed once and the scans share a stage.
+    """
+    def quoted(key):
+        values = key if isinstance(key, tuple) else (key,)
+        return ["'" + v.replace("'", "''") + "'" for v in values]
+
+    through = [
+        f"SELECT {', '.join(f'{v} AS {c}' for v, c in zip(quoted(k), columns))}, 1 AS n FROM `{view}`" for k, view in names.items()
+    ]
+    every = ", ".join(f"({', '.join(quoted(k))}, 0)" for k in names)
+    shards = f"SELECT * FROM VALUES {every} AS t({', '.join(columns)}, n)"
+    return spark.sql(" UNION ALL ".join([*through, shards])).groupBy(*columns).agg(F.sum("n").alias("rows"))
+
+
 def rows_through_region_views(spark: SparkSession, names: dict[str, str]) -> DataFrame:
-    counts = [spark.table(v).agg(F.lit(r).alias("region"), F.count(F.lit(1)).alias("rows")) for r, v in names.items()]
-    return reduce(DataFrame.unionByName, counts)
+    return rows_through_views(spark, names, ["region"])
 
 
 def rows_through_daily_views(spark: SparkSession, names: dict[tuple[str, str], str]) -> DataFrame:
-    counts = [
-        spark.table(v).agg(F.lit(r).alias("region"), F.lit(day).cast("date").alias("day"), F.count(F.lit(1)).alias("rows"))
-        for (r, day), v in names.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return rows_through_views(spark, names, ["region", "day"]).withColumn("day", F.col("day").cast("date"))
 
 
 def shard_inventory(df: DataFrame, region_col: str = "region", day_col: str = "day") -> DataFrame:
