@@ -45,7 +45,7 @@ def shard_p95_timeout(s, d):
 
 
 def time_spine(s, d):
-    slots = roles.host_metrics(s, d).groupBy("region", grid_floor("ts", 300).alias("ts")).agg(F.round(F.avg("cpu"), 4).alias("value"))
+    slots = roles.host_metrics(s, d).groupBy("region", grid_floor("ts", 300).alias("ts")).agg(F.max("cpu").alias("value"))
     regions = roles.read(s, d, "region").select(F.col("r_name").alias("region"))
     return shape.time_spine_densify(slots, regions, "region", "ts", "value", "2024-01-01 00:00:00", "2024-01-31 00:00:00", 300)
 

@@ -186,7 +186,7 @@ QUERIES = {
         CAST(CASE WHEN dep_region IS NULL THEN 0 ELSE retry_count + 1 END AS BIGINT) AS dep_calls,
         CASE WHEN status = 'timeout' THEN 'timeout' ELSE 'completed' END AS final_event, round(latency_ms, 2) AS latency_ms,
         done < b AS out_of_order FROM lbase""",
-    "time_spine_densify": """SELECT region, t.ts, round(coalesce(avg(cpu), 0), 4) AS value
+    "time_spine_densify": """SELECT region, t.ts, coalesce(max(cpu), 0) AS value
         FROM (SELECT DISTINCT region FROM hosts) CROSS JOIN generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:55:00', INTERVAL 5 MINUTE) t(ts)
         LEFT JOIN (SELECT region, time_bucket(INTERVAL 5 MINUTE, ts) AS ts, cpu FROM hosts) h USING (region, ts) GROUP BY ALL""",
     "route_matrix": """SELECT a.r_name AS src, b.r_name AS dst, count(f.seq) AS calls FROM region a JOIN region b ON a.r_name <> b.r_name
