@@ -144,7 +144,8 @@ def decoy_candidates(
 
 def circuit_consistency(facts: DataFrame, circuits: DataFrame) -> DataFrame:
     """Cross-region transactions with a missing, unknown or mismatching circuit; none if all is well."""
-    known = circuits.select("circuit_id", F.col("src").alias("c_src"), F.col("dst").alias("c_dst"))
+    route = F.min(F.struct("src", "dst")).alias("route")
+    known = circuits.groupBy("circuit_id").agg(route).select("circuit_id", F.col("route.src").alias("c_src"), F.col("route.dst").alias("c_dst"))
     known = broadcast_if_small(frozen(known))
     cross = facts.where(F.col("dep_region").isNotNull()).select("txn_id", "circuit_id", "region", "dep_region")
     keyed = cross.withColumn("_key", F.coalesce("circuit_id", "txn_id"))
@@ -173,7 +174,7 @@ def span_referential_check(spans: DataFrame, calls: DataFrame, facts: DataFrame)
 
 
 def call_delay(calls: DataFrame, facts: DataFrame, edges: Sequence[int]) -> DataFrame:
-    ended = facts.select(F.col("txn_id").alias("true_txn"), "end_ts")
+    ended = facts.groupBy(F.col("txn_id").alias("true_txn")).agg(F.min("end_ts").alias("end_ts"))
     minutes = F.greatest(F.lit(0), F.floor(seconds_between("call_ts", "end_ts") / 60))
     bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col("delay")))
     return calls.select("true_txn", "call_ts").join(ended, "true_txn").select(minutes.alias("delay")).groupBy(
@@ -198,11 +199,15 @@ def truth_scoring(classified: DataFrame) -> DataFrame:
     return scored.withColumns({"precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn)})
 
 
+def _root_times(spans: DataFrame) -> DataFrame:
+    """One start per trace, so that repeated spans do not multiply in a join."""
+    return spans.where(F.col("parent_no").isNull()).groupBy(F.col("trace_id").alias("txn_id")).agg(F.min("ts").alias("span_ts"))
+
+
 def clock_skew(logs: DataFrame, spans: DataFrame) -> DataFrame:
-    received = logs.where(F.col("event") == "received").select(F.col("txn_id").alias("trace_id"), "region", F.col("ts").alias("log_ts"))
-    roots = spans.where(F.col("parent_no").isNull()).select("trace_id", F.col("ts").alias("span_ts"))
+    received = logs.where(F.col("event") == "received").select("txn_id", "region", F.col("ts").alias("log_ts"))
     skew = (micros("log_ts") - micros("span_ts")) / F.lit(1000.0)
-    return received.join(roots, "trace_id").select("region", skew.alias("skew")).groupBy("region").agg(
+    return received.join(_root_times(spans), "txn_id").select("region", skew.alias("skew")).groupBy("region").agg(
         F.count(F.lit(1)).alias("n"), F.min("skew").alias("min_ms"), F.round(F.avg("skew"), 4).alias("mean_ms"),
         F.max("skew").alias("max_ms"),
     )
@@ -210,9 +215,8 @@ def clock_skew(logs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def skew_corrected_logs(logs: DataFrame, spans: DataFrame) -> DataFrame:
     """logs + corrected_ts: each transaction's log rows moved onto the clock of its root span."""
-    received = logs.where(F.col("event") == "received").select("txn_id", F.col("ts").alias("log_ts"))
-    roots = spans.where(F.col("parent_no").isNull()).select(F.col("trace_id").alias("txn_id"), F.col("ts").alias("span_ts"))
-    shift = received.join(roots, "txn_id").select("txn_id", (micros("span_ts") - micros("log_ts")).alias("shift"))
+    received = logs.where(F.col("event") == "received").groupBy("txn_id").agg(F.min("ts").alias("log_ts"))
+    shift = received.join(_root_times(spans), "txn_id").select("txn_id", (micros("span_ts") - micros("log_ts")).alias("shift"))
     moved = F.timestamp_add("MICROSECOND", F.coalesce("shift", F.lit(0).cast("bigint")), F.col("ts"))
     return logs.join(shift, "txn_id", "left").withColumn("corrected_ts", moved).drop("shift")
 
@@ -223,8 +227,8 @@ def span_tree(spans: DataFrame) -> DataFrame:
     children = cols.where("parent_no IS NOT NULL").groupBy("trace_id", F.col("parent_no").alias("span_no")).agg(
         F.sum("duration_ms").alias("child_ms")
     )
-    parents = cols.select(
-        "trace_id", F.col("span_no").alias("parent_no"), F.col("duration_ms").alias("parent_ms"), F.col("parent_no").alias("grand_no")
+    parents = cols.groupBy("trace_id", F.col("span_no").alias("parent_no")).agg(
+        F.max("duration_ms").alias("parent_ms"), F.max(F.col("parent_no")).alias("grand_no")
     )
     joined = cols.join(children, ["trace_id", "span_no"], "left").join(parents, ["trace_id", "parent_no"], "left")
     child = F.coalesce("child_ms", F.lit(0.0))

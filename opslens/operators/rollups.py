@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from opslens.functions.intervals import first_interval
 from opslens.functions.quantiles import exact_quantiles
-from opslens.session import frozen
 from opslens.functions.scalars import grid_floor, half_up, is_absent, ratio, share_of, within_half_open
+from opslens.session import frozen
 
 
 # Saturation weights, noise bands, noise classes, seasonal curve and coherence floors.
@@ -190,7 +190,7 @@ def host_peak_in_windows(hosts: DataFrame, windows: DataFrame) -> DataFrame:
 
 def call_stats(calls: DataFrame, flagged: DataFrame) -> DataFrame:
     """Counts per noise class; classes without calls show 0."""
-    primary = flagged.select(F.col("txn_id").alias("true_txn"), "impacted_by_primary")
+    primary = flagged.groupBy(F.col("txn_id").alias("true_txn")).agg(F.max("impacted_by_primary").alias("impacted_by_primary"))
     joined = calls.select("true_txn", "noise_type", "ref").join(primary, "true_txn", "left")
     counts = joined.groupBy("noise_type").agg(
         n_rows().alias("calls"), F.count_if(~is_absent("ref")).alias("non_empty"),

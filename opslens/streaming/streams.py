@@ -65,17 +65,32 @@ def stream_service_kpi(facts: DataFrame, step: str = "1 minute", lateness: str =
     return windowed.select(F.col("window.start").alias("ts"), "region", "txn_type", "n", "errors", "retries", "p95_ms")
 
 
-def stream_call_link(calls: DataFrame, txns: DataFrame, horizon: str = "2 hours", lateness: str = "10 minutes") -> DataFrame:
-    """Calls joined to the transaction they name, if the same customer's and ended within the horizon."""
-    c = calls.where(F.col("ref") != "").select("call_id", "ref", "customer_id", "call_ts").withWatermark("call_ts", lateness)
-    t = txns.select("txn_id", F.col("customer_id").alias("txn_customer"), "end_ts").withWatermark("end_ts", lateness)
-    on = F.expr(f"ref = txn_id AND customer_id = txn_customer AND call_ts >= end_ts AND call_ts <= end_ts + INTERVAL {horizon}")
+def stream_call_link(
+    calls: DataFrame, txns: DataFrame, horizon: str = "2 hours", lateness: str = "10 minutes", salts: int = 4
+) -> DataFrame:
+    """Calls joined to the transaction they name, if the same customer's and ended within the horizon.
+
+    Calls of one hot transaction are spread over ``salts`` copies of it; the copies live only as long as the horizon.
+    """
+    salt = F.pmod(F.xxhash64("call_id"), F.lit(salts)).cast("int").alias("c_salt")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("t_salt")
+    c = calls.where(F.col("ref") != "").select("call_id", "ref", "customer_id", "call_ts", salt).withWatermark("call_ts", lateness)
+    t = txns.select("txn_id", F.col("customer_id").alias("txn_customer"), "end_ts", copies).withWatermark("end_ts", lateness)
+    on = F.expr(
+        f"ref = txn_id AND customer_id = txn_customer AND c_salt = t_salt AND call_ts >= end_ts AND call_ts <= end_ts + INTERVAL {horizon}"
+    )
     delay = F.floor((micros("call_ts") - micros("end_ts")) / 60_000_000)
     return c.join(t, on).select("call_id", "txn_id", delay.alias("delay_min"))
 
 
-def stream_dedup(calls: DataFrame, keys: Sequence[str], ts: str = "call_ts", lateness: str = "10 minutes") -> DataFrame:
-    return calls.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedup(calls: DataFrame, keys: Sequence[str], ts: str = "call_ts", lateness: str = "10 minutes", salts: int = 64) -> DataFrame:
+    """One row per key within the watermark.
+
+    Copies of a hot key are first reduced within the input splits' salts, so that at most
+    ``salts`` of them meet in one task.
+    """
+    salted = calls.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))).withWatermark(ts, lateness)
+    return salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_noise_counters(calls: DataFrame) -> DataFrame:
@@ -104,7 +119,8 @@ def stream_sliding_lookback(
 def stream_burst_sessions(
     metrics: DataFrame, key: str, gap: str, threshold: float, lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Degraded rows closer than ``gap`` form one session."""
+    """Degraded rows closer than ``gap`` form one session; each input task merges its own rows first."""
+    metrics.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     high = metrics.where(F.col("value") > threshold).withWatermark("ts", lateness)
     sessions = high.groupBy(F.session_window("ts", gap), key).agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("peak"))
     return sessions.select(key, F.col("session_window.start").alias("start_ts"), F.col("session_window.end").alias("end_ts"), "n", "peak")
