@@ -22,13 +22,14 @@ def _schema(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl)
 
 
-def ingest_csv_typed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def ingest_csv_typed(spark: SparkSession, path: str, ddl: str, line_breaks: bool = False) -> DataFrame:
     """A headered CSV as the declared columns, matched by header name.
 
     Columns the file lacks are an error, extra ones are ignored. Absent text stays ''.
+    ``line_breaks`` allows them inside quoted text, at the price of unsplit files.
     """
     declared = _schema(ddl)
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks).csv(path)
     return _typed(raw, declared)
 
 

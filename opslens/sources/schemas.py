@@ -60,6 +60,7 @@ TABLES = {
         {"start_ts": "start_dt", "end_ts": "end_dt"}, (), ("origin_region", "txn_type", "start_dt", "transaction_id"),
     ),
 }
+# Fixed value: prefix of the table files.
 FILE_PREFIX = "clickhouse-"
 
 TRUTH_SCHEMA = """
