@@ -20,8 +20,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Fits the language filters on the documents and drops those in no learned language: null text, texts without a
     letter, and texts of which hardly any n-gram is known. A null lang is kept as it is."""
     model = langid.fit(docs)
-    cols = docs.columns
-    return langid.predict(docs, model).filter(~langid.rejected()).select(*cols)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return langid.predict(rows, model).filter(~langid.rejected()).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,14 +38,12 @@ def with_copies(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """
     keys = decided.groupBy("_d", "_k").agg(F.sum("rows").alias("_m"), F.sum("copies").alias("_c"))
     keys = frozen(keys.filter("_c > 0"))
-    cols = docs.columns
-    at = row_key()
-    joined = docs.select(*(docs[c] for c in cols), *at).join(keys, ["_d", "_k"])
+    joined = docs.select(F.struct(*docs.columns).alias("_row"), *row_key()).join(keys, ["_d", "_k"])
     if not keys.filter("_m > 1").isEmpty():
         joined = joined.filter("_m = 1").unionByName(joined.filter("_m > 1").dropDuplicates(["_d", "_k"]))
     if not keys.filter("_c > 1").isEmpty():
         joined = joined.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_c"))))
-    return joined.select(*cols)
+    return joined.select("_row.*")
 
 
 def runs(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -114,6 +114,19 @@ def _unpack(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _pack_counts(n: np.ndarray) -> bytes:
+    """Counts in a byte each; those from 255 on follow in four bytes each."""
+    small = np.minimum(n, 255).astype(np.uint8)
+    return np.array([len(n)], "<u8").tobytes() + small.tobytes() + n[small == 255].astype("<u4").tobytes()
+
+
+def _unpack_counts(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw, "<u8", 1)[0])
+    counts = np.frombuffer(raw, np.uint8, n, 8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw, "<u4", offset=8 + n)
+    return counts
+
+
 def _ask(log2_buckets: int):
     """Of a chunk: for each bucket, its words and pairs with their counts in the chunk's training texts."""
 
@@ -122,10 +135,10 @@ def _ask(log2_buckets: int):
         train = ~np.asarray(rows.column("held_out"))[g.of]
         parts = {}
         for name, kind, at in (("word", g.words, g.word_at), ("pair", g.pairs, g.pair_at)):
-            n = np.bincount(at, weights=train, minlength=len(kind)).astype("<u4")
+            n = np.bincount(at, weights=train, minlength=len(kind)).astype(np.int64)
             cut = g.slices(kind, log2_buckets)
             parts[name] = [_pack(kind[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-            parts[name + "_n"] = [n[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+            parts[name + "_n"] = [_pack_counts(n[a:b]) for a, b in zip(cut[:-1], cut[1:])]
         size = 1 << log2_buckets
         return pa.table({
             "chunk": pa.array([rows.column("chunk")[0].as_py()] * size, pa.int64()), "bucket": pa.array(range(size), pa.int64()),
@@ -139,11 +152,11 @@ def _answer(rows: pa.Table) -> pa.Table:
     out = {"chunk": rows.column("chunk").combine_chunks(), "bucket": rows.column("bucket").combine_chunks()}
     for name in ("word", "pair"):
         asked = [_unpack(x) for x in rows.column(name).to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows.column(name + "_n").to_pylist()])
+        counts = np.concatenate([_unpack_counts(x) for x in rows.column(name + "_n").to_pylist()])
         distinct, at = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(distinct)) if len(at) else np.empty(0)
-        found = np.split(np.minimum(total, 2**32 - 1).astype("<u4")[at], np.cumsum([len(a) for a in asked])[:-1])
-        out[name + "_n"] = pa.array([f.tobytes() for f in found], pa.binary())
+        found = np.split(np.minimum(total, 2**32 - 1).astype(np.int64)[at], np.cumsum([len(a) for a in asked])[:-1])
+        out[name + "_n"] = pa.array([_pack_counts(f) for f in found], pa.binary())
         if name == "word":
             out["known"] = pa.array([int((total > 0).sum())] * len(asked), pa.int64())
             out["total"] = pa.array([int(total.sum())] * len(asked), pa.int64())
@@ -157,8 +170,8 @@ def _score(log2_buckets: int):
         if not rows.num_rows:
             return OUT.empty_table()
         answers = answers.sort_by("bucket")
-        word_n = np.concatenate([np.frombuffer(x, "<u4") for x in answers.column("word_n").to_pylist()]).astype(float)
-        pair_n = np.concatenate([np.frombuffer(x, "<u4") for x in answers.column("pair_n").to_pylist()]).astype(float)
+        word_n = np.concatenate([_unpack_counts(x) for x in answers.column("word_n").to_pylist()]).astype(float)
+        pair_n = np.concatenate([_unpack_counts(x) for x in answers.column("pair_n").to_pylist()]).astype(float)
         v, n = sum(answers.column("known").to_pylist()), sum(answers.column("total").to_pylist())
         g = _Grams(rows.column("text").to_pylist(), log2_buckets)
         docs = rows.num_rows
