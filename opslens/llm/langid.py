@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from opslens.llm.common import chunked, runs
 from opslens.session import frozen
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 SPACE = np.uint32(32)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _letters: list[np.ndarray] = []
@@ -166,7 +166,7 @@ def fit(
     sample = rows.filter(draw < share).select(number.alias("lang"), F.col("text").cast("binary").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "text", 4 * BATCH_BYTES):
+        for batch in runs(batches, "text", 16 * BATCH_BYTES):
             of = np.asarray(batch.column("lang"))
             texts = batch.column("text").to_pylist()
             for at in np.unique(of):

@@ -25,7 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SCHEDULES = (((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.5), (0.5, 1.2), (1.0, 0.1)), ((0.0, 0.1), (0.5, 0.8), (1.0, 1.5)))
 
 #: Documents of a source that one task puts in order, about.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2000
 
 
 def words(text: Column) -> Column:

@@ -42,7 +42,7 @@ def op4_best_fit(spark, sf_dir):
 
 def op5_curriculum(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("positions", F.lit(1)).alias("position"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op6_language(spark, sf_dir):
@@ -85,5 +85,60 @@ def queries() -> dict:
     }
 
 
+_A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_OP2 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+n AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS l FROM v),
+pairs AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM n p JOIN n q
+  ON p.vec_id <> q.vec_id AND list_inner_product(p.x, q.x) / (p.l * q.l) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS k FROM pairs GROUP BY a)
+SELECT e.vec_id, COALESCE(d.k, 0) AS n_links, low.component_id, e.vec_id = low.component_id AS kept
+FROM embeddings e JOIN low ON low.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
+
+_OP3 = f"""
+WITH r AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN ''
+                                ELSE regexp_replace(substr(url, strpos(url, '://') + 3), '(?s)[?#].*$', '') END AS rest FROM pages),
+p AS (SELECT page_id, translate(split_part(rest, '/', 1), {_A_Z}) AS host,
+             CASE WHEN strpos(rest, '/') > 0 THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path FROM r),
+j AS (SELECT *, CASE
+    WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/' END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM j
+"""
+
+_OP5 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM s),
+g AS (SELECT *, [5, 2, 1][nth % 3 + 1] AS weight FROM w),
+o AS (SELECT *, row_number() OVER (ORDER BY source_size / weight, nth) AS pos FROM g),
+f AS (SELECT *, 1.5::DOUBLE * CAST(sum(source_size) OVER () AS BIGINT)
+                - 2.0::DOUBLE * CAST(COALESCE(sum(source_size) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
+             CAST(sum(weight) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS open_weight FROM o),
+c AS (SELECT *, 2.0::DOUBLE * source_size * open_weight <= weight * rest AS is_full FROM f),
+l AS (SELECT min(pos) AS first_at FROM c WHERE NOT is_full),
+t AS (SELECT c.source, c.source_size, CASE WHEN c.is_full OR v.pos IS NULL THEN 2.0::DOUBLE * c.source_size ELSE c.weight * v.rest / v.open_weight END AS target
+      FROM c CROSS JOIN l LEFT JOIN c v ON v.pos = l.first_at),
+b AS (SELECT *, COALESCE(sum(size) OVER (PARTITION BY source ORDER BY md5(COALESCE(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle FROM d)
+SELECT doc_id, size, source_size, target,
+       CAST(size * ((size > 0 AND middle <= target)::INT + (size > 0 AND source_size + middle <= target)::INT) AS BIGINT) AS taken
+FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Those that SQL can express: no vocabulary, no XXH64, no parser, and no approximate search."""
+    return {"op2_pruned_graph": _OP2, "op3_url_rules": _OP3, "op5_curriculum": _OP5}

@@ -20,7 +20,7 @@ import public_tokenizers
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Parts of text whose ids a worker keeps, about 200 bytes each; longer parts are not kept.
-KEPT, KEPT_CHARS = 600_000, 40
+KEPT, KEPT_CHARS = 300_000, 40
 
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
