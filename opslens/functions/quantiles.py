@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from opslens.functions.scalars import join_null_safe
 from opslens.session import frozen, within
 
 ACCURACY = 10_000
@@ -106,7 +107,7 @@ def exact_quantiles(
     if not keys:
         both = kept.unionByName(solved, allowMissingColumns=True) if extra else solved
         return both.agg(*[F.max(c).alias(c) for c in [*extra, *names]])
-    return kept.join(solved, keys, "left")
+    return join_null_safe(kept, solved, keys, "left")
 
 
 def _join(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,11 +117,13 @@ def _join(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
     only these are broadcast as a set and spread over salts.
     """
     if within(lookup, MAX_BROADCAST_GROUPS):
-        return rows.join(F.broadcast(lookup.drop("_size")), keys)
+        # Without keys there is one lookup row, and Spark needs no condition for it.
+        small = F.broadcast(lookup.drop("_size"))
+        return join_null_safe(rows, small, keys) if keys else rows.join(small, keys)
     total = lookup.agg(F.sum("_size")).first()[0] or 0
     is_hot = F.col("_size") * HOT_SHARE > total
     hot = F.broadcast(lookup.where(is_hot).select(*keys, F.lit(True).alias("_hot")))
     spread = F.when(F.col("_hot"), F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")).otherwise(0)
-    salted = rows.join(hot, keys, "left").withColumn("_salt", spread).drop("_hot")
+    salted = join_null_safe(rows, hot, keys, "left").withColumn("_salt", spread).drop("_hot")
     copies = F.explode(F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0)))
-    return salted.join(lookup.withColumn("_salt", copies).drop("_size"), [*keys, "_salt"]).drop("_salt")
+    return join_null_safe(salted, lookup.withColumn("_salt", copies).drop("_size"), [*keys, "_salt"]).drop("_salt")

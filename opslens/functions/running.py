@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from opslens.functions.scalars import join_null_safe
 from opslens.session import frozen
 
 
@@ -91,6 +92,6 @@ def running(
     carried = per_slice.select(*key, *[
         k.fold(F.col(f"_t_{n}")).over(frame(by, slices_up if k.forward else slices_down, False)).alias(f"_c_{n}") for n, k, _ in items
     ])
-    joined = rows.join(carried, key, "left")
+    joined = join_null_safe(rows, carried, key, "left")
     kept = [c for c in df.columns if c != "_slice"] + (["_slice"] if keep_slices else [])
     return joined.select(*kept, *[k.combine(F.col(f"_w_{n}"), F.col(f"_c_{n}")).alias(n) for n, k, _ in items])

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equality join on ``keys`` in which null meets null; the key columns of ``left`` are kept."""
+    names = {k: f"_right_{k}" for k in keys}
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
 def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

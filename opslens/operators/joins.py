@@ -221,19 +221,38 @@ def skew_corrected_logs(logs: DataFrame, spans: DataFrame) -> DataFrame:
     return logs.join(shift, "txn_id", "left").withColumn("corrected_ts", moved).drop("shift")
 
 
+def span_depths(spans: DataFrame) -> DataFrame:
+    """(trace_id, span_no, depth) of every span that its root reaches: one join per level, until a level is empty.
+
+    A span number that was reached before is not reached again, so circles end.
+    """
+    rows = frozen(spans.select("trace_id", "span_no", "parent_no").distinct())
+    level = frozen(rows.where("parent_no IS NULL").select("trace_id", "span_no").distinct().withColumn("depth", F.lit(0)))
+    found = level
+    while not level.isEmpty():
+        above = level.select("trace_id", F.col("span_no").alias("parent_no"), (F.col("depth") + 1).alias("depth"))
+        below = rows.join(above, ["trace_id", "parent_no"]).select("trace_id", "span_no", "depth").distinct()
+        level = frozen(below.join(found.select("trace_id", "span_no"), ["trace_id", "span_no"], "left_anti"))
+        found = found.unionByName(level)
+    return found
+
+
 def span_tree(spans: DataFrame) -> DataFrame:
-    """Depth, child time and self time per service; spans longer than their parent are counted, not rejected."""
+    """Depth, child time and self time per service; spans longer than their parent are counted, not rejected.
+
+    The depth of orphans and of what hangs below them is NULL.
+    """
     cols = spans.select("trace_id", "span_no", "parent_no", "service", "duration_ms")
     children = cols.where("parent_no IS NOT NULL").groupBy("trace_id", F.col("parent_no").alias("span_no")).agg(
         F.sum("duration_ms").alias("child_ms")
     )
     parents = cols.groupBy("trace_id", F.col("span_no").alias("parent_no")).agg(
-        F.max("duration_ms").alias("parent_ms"), F.max(F.col("parent_no")).alias("grand_no")
+        F.max("duration_ms").alias("parent_ms")
     )
     joined = cols.join(children, ["trace_id", "span_no"], "left").join(parents, ["trace_id", "parent_no"], "left")
+    joined = joined.join(span_depths(spans), ["trace_id", "span_no"], "left")
     child = F.coalesce("child_ms", F.lit(0.0))
-    depth = F.when(F.col("parent_no").isNull(), 0).when(F.col("grand_no").isNull(), 1).otherwise(2)
-    return joined.groupBy("service", depth.alias("depth")).agg(
+    return joined.groupBy("service", "depth").agg(
         F.count(F.lit(1)).alias("spans"), F.round(F.sum(child), 2).alias("child_ms"),
         F.round(F.sum(F.greatest(F.lit(0.0), F.col("duration_ms") - child)), 2).alias("self_ms"),
         F.count_if(F.col("duration_ms") > F.col("parent_ms")).alias("longer_than_parent"),

@@ -227,11 +227,17 @@ def circuits_per_route(circuits: DataFrame) -> DataFrame:
 
 
 def seasonal_profile(facts: DataFrame, ts: str = "start_ts") -> DataFrame:
-    """Mean rows per day and hour, working days and weekends apart, against the expected daily curve."""
+    """Mean rows per day and hour, working days and weekends apart, against the expected daily curve.
+
+    The mean is over all days of the kind from the first day to the last, with or without rows in the hour.
+    """
     day, hour = F.to_date(ts), F.hour(ts)
     per_hour = facts.groupBy(day.alias("day"), hour.alias("hour")).agg(n_rows().alias("n"))
     weekend = F.weekday("day") >= 5
-    cells = per_hour.groupBy("hour", weekend.alias("weekend")).agg(F.avg("n").alias("mean"))
+    span = per_hour.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    days = span.select(F.explode(F.sequence("first", "last")).alias("day")).groupBy(weekend.alias("weekend")).agg(F.count(F.lit(1)).alias("days"))
+    cells = per_hour.groupBy("hour", weekend.alias("weekend")).agg(F.sum("n").alias("n")).join(days, "weekend")
+    cells = cells.select("hour", "weekend", (F.col("n") / F.col("days")).alias("mean"))
     wave = CURVE_LEVEL + CURVE_SWING * F.sin((F.col("hour") - CURVE_LAG_HOURS) / F.lit(24.0) * 2 * F.pi())
     curve = F.greatest(F.lit(CURVE_FLOOR), wave) * F.when(F.col("weekend"), F.lit(WEEKEND_FACTOR)).otherwise(F.lit(1.0))
     every = W.partitionBy(F.lit(1))

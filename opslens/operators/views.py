@@ -20,15 +20,19 @@ def preferred_database(spark: SparkSession, wanted: str = "logs", otherwise: str
     return wanted if spark.catalog.databaseExists(wanted) else otherwise
 
 
-def _slug(region: str) -> str:
-    return region.lower().replace(" ", "_").replace("-", "_")
+def _slugs(regions: Sequence[str]) -> dict[str, str]:
+    """Region -> its part of a view name; an error if two regions would share one."""
+    slugs = {r: r.lower().replace(" ", "_").replace("-", "_") for r in regions}
+    if len(set(slugs.values())) < len(slugs):
+        raise ValueError(f"regions whose view names are alike: {sorted(slugs)}")
+    return slugs
 
 
 def region_views(df: DataFrame, regions: Sequence[str], prefix: str = "app_logs", region_col: str = "region") -> dict[str, str]:
     """One view per region; returns region -> view name."""
     names = {}
-    for r in regions:
-        names[r] = f"{prefix}_{_slug(r)}"
+    for r, slug in _slugs(regions).items():
+        names[r] = f"{prefix}_{slug}"
         df.where(F.col(region_col) == r).createOrReplaceTempView(names[r])
     return names
 
@@ -47,8 +51,8 @@ def daily_views(
     span = table.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("d"))
     names = {}
     for (day,) in span.collect():
-        for r in regions:
-            names[r, str(day)] = f"{prefix}_{_slug(r)}_{day:%Y%m%d}"
+        for r, slug in _slugs(regions).items():
+            names[r, str(day)] = f"{prefix}_{slug}_{day:%Y%m%d}"
             table.where((F.col(day_col) == F.lit(day)) & (F.col(region_col) == r)).createOrReplaceTempView(names[r, str(day)])
     return names
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opslens.functions.quantiles import exact_quantiles
 from opslens.functions.running import running
-from opslens.functions.scalars import is_absent, micros, ratio, seconds_between
+from opslens.functions.scalars import is_absent, join_null_safe, micros, ratio, seconds_between
 from opslens.session import broadcast_if_small, frozen
 
 # Bounds of the missing-reference rate.
@@ -45,7 +45,7 @@ def spike_islands(metrics: DataFrame, key: str, order: Sequence[str], k: float)
     """
     metrics = frozen(metrics.select(key, "ts", "value", *[c for c in order if c not in ("ts", "value")]))
     medians = exact_quantiles(metrics, [key], "value", {"_median": 0.5})
-    rows = metrics.join(broadcast_if_small(frozen(medians)), key)
+    rows = join_null_safe(metrics, broadcast_if_small(frozen(medians)), [key])
     rows = rows.withColumn("_high", F.col("value") > k * F.col("_median")).drop("_median")
     numbered = running(rows, [key], order, sums={"_calm": F.when(F.col("_high"), 0).otherwise(1)})
     return numbered.where("_high").groupBy(key, "_calm").agg(
@@ -61,7 +61,7 @@ def nearest_rank_window(df: DataFrame, keys: Sequence[str], x: str, p: float, ti
     wanted = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
         *keys, (F.least(n - 1, F.floor(n * F.lit(p))) + 1).alias("_r")
     )
-    return rows.join(wanted, [*keys, "_r"]).select(*keys, F.col(x).alias("value"))
+    return join_null_safe(rows, wanted, [*keys, "_r"]).select(*keys, F.col(x).alias("value"))
 
 
 def event_numbering(events: DataFrame) -> DataFrame:

@@ -222,10 +222,14 @@ QUERIES = {
         SELECT l.region, date_diff('microsecond', s.ts, l.ts) / 1000.0::DOUBLE AS d FROM logs l JOIN spans s ON s.trace_id = l.txn_id AND s.parent_no IS NULL
         WHERE l.event = 'received') l GROUP BY 1""",
     "skew_corrected_logs": "SELECT l.txn_id, l.event_no, l.ts - to_microseconds(CAST(skew_ms AS BIGINT) * 1000) AS corrected_ts FROM logs l JOIN facts USING (txn_id)",
-    "span_tree": """, j AS (
-        SELECT s.service, s.duration_ms, CASE WHEN s.parent_no IS NULL THEN 0 WHEN p.parent_no IS NULL THEN 1 ELSE 2 END AS depth,
+    "span_tree": """, deep AS (
+        WITH RECURSIVE r AS (SELECT trace_id, span_no, 0 AS depth FROM spans WHERE parent_no IS NULL
+                             UNION SELECT s.trace_id, s.span_no, r.depth + 1 FROM r JOIN spans s ON s.trace_id = r.trace_id AND s.parent_no = r.span_no)
+        SELECT * FROM r), j AS (
+        SELECT s.service, s.duration_ms, d.depth,
                coalesce(c.child_ms, 0) AS child_ms, p.duration_ms AS parent_ms, s.parent_no FROM spans s
         LEFT JOIN (SELECT trace_id, parent_no, sum(duration_ms) AS child_ms FROM spans GROUP BY ALL) c ON c.trace_id = s.trace_id AND c.parent_no = s.span_no
+        LEFT JOIN deep d ON d.trace_id = s.trace_id AND d.span_no = s.span_no
         LEFT JOIN spans p ON p.trace_id = s.trace_id AND p.span_no = s.parent_no)
       SELECT service, CAST(depth AS INT) AS depth, count(*) AS spans, round(sum(child_ms), 2) AS child_ms, round(sum(greatest(0, duration_ms - child_ms)), 2) AS self_ms,
              count(*) FILTER (duration_ms > parent_ms) AS longer_than_parent, count(*) FILTER (parent_no IS NOT NULL AND parent_ms IS NULL) AS orphans
@@ -287,8 +291,10 @@ QUERIES = {
     "alert_quality": "," + ALERTS + " SELECT * FROM al, al_fn",
     "circuits_per_route": "SELECT src, dst, string_agg(circuit_id, ',' ORDER BY circuit_id) AS circuits, count(*) AS n FROM circuits GROUP BY ALL",
     "seasonal_profile": """, per AS (SELECT start_ts::DATE AS day, CAST(hour(start_ts) AS INT) AS hour, count(*) AS n FROM facts GROUP BY ALL),
-      cells AS (SELECT hour, isodow(day) >= 6 AS weekend, avg(n) AS mean,
-                greatest(0.2, 0.55 + 0.45 * sin((hour - 3) / 24.0 * 2 * pi())) * CASE WHEN isodow(day) >= 6 THEN 0.85 ELSE 1.0 END AS curve FROM per GROUP BY ALL),
+      kinds AS (SELECT isodow(d) >= 6 AS weekend, count(*) AS days FROM (
+        SELECT unnest(generate_series((SELECT min(day) FROM per)::TIMESTAMP, (SELECT max(day) FROM per)::TIMESTAMP, INTERVAL 1 DAY)) AS d) GROUP BY 1),
+      cells AS (SELECT hour, isodow(day) >= 6 AS weekend, CAST(sum(n) AS BIGINT) / CAST(any_value(days) AS DOUBLE) AS mean,
+                greatest(0.2, 0.55 + 0.45 * sin((hour - 3) / 24.0 * 2 * pi())) * CASE WHEN isodow(day) >= 6 THEN 0.85 ELSE 1.0 END AS curve FROM per JOIN kinds ON weekend = (isodow(day) >= 6) GROUP BY hour, isodow(day) >= 6),
       s AS (SELECT *, curve * sum(mean) OVER () / sum(curve) OVER () AS scaled FROM cells)
       SELECT hour, weekend, round(mean, 4) AS observed, round(scaled, 4) AS expected, round(mean - scaled, 4) AS residual FROM s""",
     "call_rate_by_segment": """SELECT segment, count(*) AS transactions, count(call_id) AS calls, round(count(call_id)::DOUBLE / count(*), 4) AS call_rate,

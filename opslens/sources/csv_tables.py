@@ -82,7 +82,7 @@ def tables_in(spark: SparkSession, folder: str, prefix: str = FILE_PREFIX) -> li
             raise
         raise ValueError(f"no CSV files under {folder}") from e
     name = F.regexp_extract("path", rf"/{prefix}([^/]+)\.csv(?:/|$)", 1)
-    names = sorted(r[0] for r in files.select(name.alias("t")).distinct().limit(len(TABLES) + 100).collect())
+    names = sorted(r[0] for r in files.select(name.alias("t")).distinct().collect())
     if not names:
         raise ValueError(f"no CSV files under {folder}")
     return names

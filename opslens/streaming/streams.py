@@ -32,14 +32,21 @@ def as_zone_free(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
 
 
-def run_append(df: DataFrame, name: str, out: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Run an append stream over all available input into Parquet and read it back."""
+def run_append(
+    df: DataFrame, name: str, out: str | None = None, partition_by: Sequence[str] = (), checkpoint: str | None = None
+) -> DataFrame:
+    """Run an append stream over all available input into Parquet and read it back.
+
+    A later run with the same ``out`` goes on where the last one ended: its progress is kept in ``checkpoint``, by default
+    in a folder beside ``out``. One ``out`` belongs to one checkpoint; the sink takes the batches of another for done.
+    """
     spark = df.sparkSession
+    checkpoint = checkpoint or (f"{out.rstrip('/')}-progress" if out else scratch_path(spark, f"{name}-progress"))
     out = out or scratch_path(spark, name)
     writer = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    q = writer.option("checkpointLocation", scratch_path(spark, f"{name}-progress")).start(out)
+    q = writer.option("checkpointLocation", checkpoint).start(out)
     q.awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
 

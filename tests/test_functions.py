@@ -123,3 +123,11 @@ def test_scalars(spark):
 def test_within_and_shared_dir(spark):
     assert within(spark.range(5), 5) and not within(spark.range(6), 5)
     assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+
+
+def test_null_keys_keep_their_values(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit("a")).alias("k"), "id")
+    counted = running(rows, ["k"], ["id"], sums={"n": F.lit(1)})
+    assert {r.k: r.m for r in counted.groupBy("k").agg(F.max("n").alias("m")).collect()} == {"a": 2000, None: 2000}
+    got = {r.k: r.p for r in exact_quantiles(rows.withColumn("x", F.col("id").cast("double")), ["k"], "x", {"p": 0.5}).collect()}
+    assert got == {"a": 1999.0, None: 2000.0}

@@ -148,6 +148,19 @@ def test_span_tree_flags_orphans(spark):
     assert got["orch"].longer_than_parent == 1 and got["api"].self_ms == 0.0 and got["worker"].orphans == 1
 
 
+def test_span_depths_have_no_bound(spark):
+    rows = [("t", i, i - 1 if i else None, f"s{i}", 1.0) for i in range(6)] + [("u", 1, 2, "loop", 1.0), ("u", 2, 1, "loop", 1.0)]
+    s = spark.createDataFrame(rows, "trace_id string, span_no int, parent_no int, service string, duration_ms double")
+    got = {r.service: r.depth for r in joins.span_tree(s).collect()}
+    assert got == {**{f"s{i}": i for i in range(6)}, "loop": None}
+
+
+def test_seasonal_mean_counts_days_without_rows(spark):
+    rows = [(T0 + timedelta(days=1, minutes=i),) for i in range(6)] + [(T0 + timedelta(days=2, hours=9),)]
+    got = {r.hour: r.observed for r in rollups.seasonal_profile(spark.createDataFrame(rows, "start_ts timestamp_ntz")).collect()}
+    assert got[(T0 + timedelta(days=1)).hour] == 3.0
+
+
 def test_referential_check_is_full_without_refs(spark):
     facts = spark.createDataFrame([("T1",)], "txn_id string")
     spans = facts.where("false")

@@ -43,6 +43,14 @@ def test_dedup_over_batches(spark):
     assert got.count() == 20 and got.select("call_id").distinct().count() == 20
 
 
+def test_a_second_run_goes_on(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(3):
+        spark.createDataFrame([(i,)], "n int").write.mode("append").parquet(folder)
+        got = streams.run_append(spark.readStream.schema("n int").parquet(folder), "again", out)
+        assert sorted(r.n for r in got.collect()) == list(range(i + 1))
+
+
 def test_kpi_windows_close_with_the_watermark(spark):
     rows = [(T0 + timedelta(seconds=20 * i), "r", "t", "timeout" if i % 5 == 0 else "success", i % 2, float(i)) for i in range(180)]
     schema = "start_ts timestamp_ntz, region string, txn_type string, status string, retry_count int, latency_ms double"
