@@ -143,8 +143,8 @@ def service_kpi(facts: DataFrame, step_seconds: int = 60) -> DataFrame:
     )
 
 
-def incident_coherence(flagged: DataFrame, samples: DataFrame, windows: DataFrame, region: str) -> DataFrame:
-    """How much dependency latency, timeouts and round trips rise inside the bursts."""
+def incident_coherence(flagged: DataFrame, samples: DataFrame, windows: DataFrame, region: str, circuit: str) -> DataFrame:
+    """How much dependency latency and timeouts of the region, and round trips of the incident circuit, rise inside the bursts."""
     focus = flagged.where(F.col("dep_region").isNotNull() & (F.col("region") == region) & F.col("impacted_type"))
     burst = F.col("impacted_by_primary")
     timeout = F.col("status") == "timeout"
@@ -159,7 +159,7 @@ def incident_coherence(flagged: DataFrame, samples: DataFrame, windows: DataFram
         F.round(mean(burst) / F.greatest(F.lit(LATENCY_FLOOR), mean(~burst)), 2).alias("latency_multiplier"),
         F.round(rate(burst) / F.greatest(F.lit(TIMEOUT_FLOOR), rate(~burst)), 2).alias("timeout_multiplier"),
     )
-    tagged = first_interval(samples.where(F.col("src") == region), "ts", windows, "window_id", "window_id", "w0", "w1", "window_id")
+    tagged = first_interval(samples.where(F.col("circuit_id") == circuit), "ts", windows, "window_id", "window_id", "w0", "w1", "window_id")
     inside = F.max(F.when(F.col("window_id").isNotNull(), F.col("value")))
     outside = F.min(F.when(F.col("window_id").isNull(), F.col("value")))
     peak = F.coalesce(inside, outside, F.lit(1.0))
@@ -168,9 +168,10 @@ def incident_coherence(flagged: DataFrame, samples: DataFrame, windows: DataFram
     return one_row(rise, rtt)
 
 
-def confounder_separability(hosts: DataFrame, samples: DataFrame, region: str, start: Column, end: Column) -> DataFrame:
-    """Peak CPU of the region, and the highest network reading over its circuit median in the same window."""
+def confounder_separability(hosts: DataFrame, samples: DataFrame, region: str, circuit: str, start: Column, end: Column) -> DataFrame:
+    """Peak CPU of the region, and the incident circuit's highest reading in the decoy window over its own median."""
     cpu = hosts.where(F.col("region") == region).agg(F.round(F.max("cpu"), 2).alias("cpu_peak"))
+    samples = samples.where(F.col("circuit_id") == circuit)
     medians = exact_quantiles(samples, ["circuit_id"], "value", {"base": 0.5})
     peaks = samples.where(within_half_open("ts", start, end)).groupBy("circuit_id").agg(F.max("value").alias("peak"))
     net = peaks.join(medians, "circuit_id").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslens.functions.intervals import first_interval
-from opslens.functions.scalars import half_up, plus_micros, text_or_empty
+from opslens.functions.scalars import half_up, micros, plus_micros, text_or_empty
 
 # Event names, level names, offsets (ms), span shares and codes of the telemetry format.
 OPENING_EVENTS = ("received", "queued", "orchestrated")
@@ -36,6 +36,13 @@ EVENT_SEVERITY = {
     "reroute": ("warning", "Routing policy change applied; path flaps briefly"),
     "packet_loss_burst": ("warning", "Short packet loss burst on circuit"),
 }
+# Severity and text of the events on the incident circuit.
+INCIDENT_SEVERITY = {
+    "packet_loss_burst": ("critical", "Packet loss burst and RTT elevation detected on primary circuit"),
+    "reroute": ("info", "Traffic rerouted away from degraded circuit; service latency recovers"),
+}
+# Ticks of a spine that one array holds.
+SPINE_TICKS = 1440
 
 
 def impacted_slice(df: DataFrame, region: str, types: Sequence[str], events: Sequence[str]) -> DataFrame:
@@ -72,14 +79,21 @@ def status_normalise(facts: DataFrame) -> DataFrame:
     })
 
 
-def severity_normalise(events: DataFrame) -> DataFrame:
-    """Severity and text by event type; a burst keeps its reported severity but never above warning."""
-    table = F.create_map(*[x for k, (s, d) in EVENT_SEVERITY.items() for x in (F.lit(k), F.struct(F.lit(s).alias("s"), F.lit(d).alias("d")))])
-    found = table[F.col("event_type")]
-    return events.withColumns({
-        "severity": F.when(F.col("reported_severity") == "critical", "warning").otherwise(found["s"]),
-        "description": found["d"],
-    })
+def severity_normalise(events: DataFrame, incident_circuit: str | None = None) -> DataFrame:
+    """Severity and text by event type.
+
+    Background events that report critical are capped to warning. A burst on the incident circuit is critical and a
+    reroute there is informational, with texts of their own; other events there are background.
+    """
+    def by_type(fixed):
+        return F.create_map(*[x for k, (s, d) in fixed.items() for x in (F.lit(k), F.struct(F.lit(s).alias("s"), F.lit(d).alias("d")))])
+
+    found = by_type(EVENT_SEVERITY)[F.col("event_type")]
+    own = F.when(F.col("circuit_id") == incident_circuit, by_type(INCIDENT_SEVERITY)[F.col("event_type")]) if incident_circuit else None
+    capped = F.when(F.col("reported_severity") == "critical", "warning").otherwise(found["s"])
+    if own is None:
+        return events.withColumns({"severity": capped, "description": found["d"]})
+    return events.withColumns({"severity": F.coalesce(own["s"], capped), "description": F.coalesce(own["d"], found["d"])})
 
 
 def pre_post_label(df: DataFrame, ts: str, fix) -> DataFrame:
@@ -202,20 +216,27 @@ def time_spine_densify(
 ) -> DataFrame:
     """Every entity at every tick of [start, end), with 0 where ``df`` has no row.
 
-    The grid grows on each entity row, so no cross join is planned.
+    The grid grows on each entity row, so no cross join is planned; no array holds more than ``SPINE_TICKS`` ticks.
     """
-    step = F.expr(f"make_dt_interval(0, 0, 0, {step_seconds})")
-    tick = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz") - step, step)
-    grid = entities.select(entity).distinct().withColumn(ts, F.explode(tick))
+    first, past = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    step = step_seconds * 1_000_000
+    ticks = F.ceil((micros(past) - micros(first)) / step)
+    spread = entities.select(entity).distinct().withColumn("_n", ticks).where("_n > 0").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / SPINE_TICKS))))
+    last = F.least(F.col("_n"), (F.col("_part") + 1) * SPINE_TICKS) - 1
+    numbered = spread.withColumn("_tick", F.explode(F.sequence(F.col("_part") * SPINE_TICKS, last)))
+    grid = numbered.select(entity, plus_micros(first, F.col("_tick") * step).alias(ts))
     return grid.join(df.select(entity, ts, value), [entity, ts], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
 
 
-def route_matrix(facts: DataFrame, regions: Sequence[str]) -> DataFrame:
-    """All ordered region pairs with their cross-region traffic; unused routes show 0."""
-    names = F.array(*[F.lit(r) for r in regions])
-    one = facts.sparkSession.range(1)
-    pairs = one.select(F.explode(names).alias("src")).select("src", F.explode(names).alias("dst")).where("src <> dst")
+def route_matrix(facts: DataFrame, regions: DataFrame) -> DataFrame:
+    """All ordered pairs of the ``region`` values of ``regions`` with their cross-region traffic; unused routes show 0.
+
+    Traffic on a route outside that list is kept.
+    """
+    names = regions.agg(F.array_sort(F.collect_set("region")).alias("names"))
+    pairs = names.select("names", F.explode("names").alias("src")).select("src", F.explode("names").alias("dst")).where("src <> dst")
     used = facts.where(F.col("dep_region").isNotNull()).groupBy(
         F.col("region").alias("src"), F.col("dep_region").alias("dst")
     ).agg(F.count(F.lit(1)).alias("calls"))
-    return pairs.join(used, ["src", "dst"], "left").withColumn("calls", F.coalesce("calls", F.lit(0).cast("bigint")))
+    return pairs.join(used, ["src", "dst"], "full").withColumn("calls", F.coalesce("calls", F.lit(0).cast("bigint")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,24 +38,29 @@ def region_views(df: DataFrame, regions: Sequence[str], prefix: str = "app_logs"
     return names
 
 
-def daily_views(
-    table: DataFrame, regions: Sequence[str], prefix: str = "app_logs", region_col: str = "region", day_col: str = "day"
-) -> dict[tuple[str, str], str]:
-    """One view per region and day over the observed span, suffix yyyyMMdd.
+def daily_view(table: DataFrame, region: str, day: date, prefix: str = "app_logs", region_col: str = "region", day_col: str = "day") -> str:
+    """The view of one region and day, made when it is asked for; returns its name (suffix yyyyMMdd).
 
-    ``table`` is partitioned by ``day_col``; every view filters on that column, so a
-    read through it opens one partition. Only the first and last day reach the driver.
+    ``table`` is partitioned by ``day_col``; the view filters on that column, so a read through it opens one partition.
     """
-    first, last = table.agg(F.min(day_col), F.max(day_col)).first()
-    if first is None:
-        return {}
-    span = table.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("d"))
-    names = {}
-    for (day,) in span.collect():
-        for r, slug in _slugs(regions).items():
-            names[r, str(day)] = f"{prefix}_{slug}_{day:%Y%m%d}"
-            table.where((F.col(day_col) == F.lit(day)) & (F.col(region_col) == r)).createOrReplaceTempView(names[r, str(day)])
-    return names
+    name = f"{prefix}_{_slugs([region])[region]}_{day:%Y%m%d}"
+    table.where((F.col(day_col) == F.lit(day)) & (F.col(region_col) == region)).createOrReplaceTempView(name)
+    return name
+
+
+def daily_shards(table: DataFrame, regions: DataFrame, region_col: str = "region", day_col: str = "day") -> DataFrame:
+    """(region, day, rows) of every shard: each region on each day from the first to the last, 0 for an empty one.
+
+    One grouped scan of the two columns, whatever the number of shards. Regions come from ``regions`` (column
+    ``region``); those only found in the rows are kept, with the days they have.
+    """
+    counts = table.groupBy(F.col(region_col).alias("region"), F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    days = table.agg(F.min(day_col).alias("a"), F.max(day_col).alias("b")).where("a IS NOT NULL").select(
+        F.explode(F.sequence("a", "b")).alias("day"))
+    names = regions.agg(F.collect_set("region").alias("names"))
+    one = F.lit(1).alias("_one")
+    spine = days.select("day", one).join(names.select("names", one), "_one").select("day", F.explode("names").alias("region"))
+    return spine.join(counts, ["region", "day"], "full").select("region", "day", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
 
 
 def rows_through_views(spark: SparkSession, names: dict, columns: Sequence[str]) -> DataFrame:
@@ -78,19 +84,21 @@ def rows_through_region_views(spark: SparkSession, names: dict[str, str]) -> Dat
     return rows_through_views(spark, names, ["region"])
 
 
-def rows_through_daily_views(spark: SparkSession, names: dict[tuple[str, str], str]) -> DataFrame:
-    return rows_through_views(spark, names, ["region", "day"]).withColumn("day", F.col("day").cast("date"))
+def shard_inventory(df: DataFrame, regions: DataFrame, region_col: str = "region", day_col: str = "day") -> DataFrame:
+    """Shards per region over the whole day span, how many hold rows, and the rows in all of them.
 
-
-def shard_inventory(df: DataFrame, region_col: str = "region", day_col: str = "day") -> DataFrame:
-    """Shards per region over the whole day span, how many hold rows, and the rows in all of them."""
+    Every region of ``regions`` (column ``region``) has a line, also without rows.
+    """
     counts = df.groupBy(F.col(region_col).alias("region"), F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
     per_region = counts.groupBy("region").agg(
         F.min("day").alias("a"), F.max("day").alias("b"), F.count(F.lit(1)).alias("non_empty_shards"), F.sum("rows").alias("rows")
     )
+    per_region = regions.select("region").distinct().join(per_region, "region", "full")
     every = W.partitionBy(F.lit(1))
     expected = F.date_diff(F.max("b").over(every), F.min("a").over(every)) + 1
-    return per_region.select("region", expected.cast("bigint").alias("expected_shards"), "non_empty_shards", "rows")
+    none = F.lit(0).cast("bigint")
+    return per_region.select("region", F.coalesce(expected.cast("bigint"), none).alias("expected_shards"),
+                             *[F.coalesce(c, none).alias(c) for c in ("non_empty_shards", "rows")])
 
 
 def table_presence_rows(spark: SparkSession, names: Sequence[str]) -> DataFrame:

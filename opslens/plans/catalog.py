@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from opslens.functions.quantiles import exact_quantiles
 from opslens.functions.scalars import grid_floor, is_absent, ntz
 from opslens.operators import joins, rollups, shape, windows
 from opslens.plans import report, roles
-from opslens.plans.io_catalog import IO
+from opslens.plans.io_catalog import IO, logs_by_day
 
 TYPES, EVENTS, FOCUS = roles.FOCUS_TYPES, shape.OUTCOME_EVENTS, roles.FOCUS_REGION
 DAY = "2024-01-12"
@@ -35,28 +36,28 @@ def _confusion(s, d):
 
 
 def day_slice(s, d):
-    dated = roles.logs(s, d).withColumn("day", F.to_date("ts"))
-    return shape.day_slice(dated, FOCUS, DAY).select("txn_id", "event_no", "event", "ts", "day")
+    return shape.day_slice(logs_by_day(s, d), FOCUS, DAY).select("txn_id", "event_no", "event", "ts", "day")
 
 
 def shard_p95_timeout(s, d):
-    dated = roles.logs(s, d).withColumn("day", F.to_date("ts"))
-    return rollups.shard_p95_timeout(shape.day_slice(dated, FOCUS, DAY), TYPES, EVENTS)
+    return rollups.shard_p95_timeout(shape.day_slice(logs_by_day(s, d), FOCUS, DAY), TYPES, EVENTS)
 
 
 def time_spine(s, d):
-    slots = roles.host_metrics(s, d).groupBy("region", grid_floor("ts", 300).alias("ts")).agg(F.max("cpu").alias("value"))
-    regions = roles.read(s, d, "region").select(F.col("r_name").alias("region"))
-    return shape.time_spine_densify(slots, regions, "region", "ts", "value", "2024-01-01 00:00:00", "2024-01-31 00:00:00", 300)
+    hosts = roles.host_metrics(s, d)
+    slots = hosts.groupBy("region", grid_floor("ts", 300).alias("ts")).agg(F.max("cpu").alias("value"))
+    first, last = rollups.day_span(hosts).first()
+    start, end = (str(first), str(last + timedelta(days=1))) if first else ("1970-01-01", "1970-01-01")
+    return shape.time_spine_densify(slots, roles.regions(s, d), "region", "ts", "value", start, end, 300)
 
 
 def coherence(s, d):
-    return rollups.incident_coherence(roles.flagged(s, d), roles.circuit_samples(s, d), roles.windows(s), FOCUS)
+    return rollups.incident_coherence(roles.flagged(s, d), roles.circuit_samples(s, d), roles.windows(s), FOCUS, roles.INCIDENT_CIRCUIT)
 
 
 def separability(s, d):
     _, region, start, end, _ = roles.CONFOUNDERS[0]
-    return rollups.confounder_separability(roles.host_metrics(s, d), roles.circuit_samples(s, d), region, ntz(start), ntz(end))
+    return rollups.confounder_separability(roles.host_metrics(s, d), roles.circuit_samples(s, d), region, roles.INCIDENT_CIRCUIT, ntz(start), ntz(end))
 
 
 def referential(s, d):
@@ -108,7 +109,7 @@ BATCH: dict[str, Query] = {
     "day_slice": day_slice,
     "txn_fact_projection": lambda s, d: shape.txn_fact_projection(roles.facts(s, d)),
     "status_normalise": lambda s, d: shape.status_normalise(roles.facts(s, d)).select("txn_id", "status", "event", "level", "http_status", "error_code", "message"),
-    "severity_normalise": lambda s, d: shape.severity_normalise(roles.net_events(s, d)).select("seq", "event_type", "severity", "description"),
+    "severity_normalise": lambda s, d: shape.severity_normalise(roles.net_events(s, d), roles.INCIDENT_CIRCUIT).select("seq", "event_type", "severity", "description"),
     "pre_post_label": lambda s, d: shape.pre_post_label(_focus_outcomes(s, d), "ts", ntz(roles.FIX_TIME)).select("txn_id", "ts", "phase"),
     "impacted_flags": lambda s, d: roles.flagged(s, d).select("txn_id", "impacted_by_primary", "impacted_by_confounder", "confounder_label"),
     "txn_key_build_parse": lambda s, d: shape.txn_key_build_parse(roles.facts(s, d)),
@@ -117,7 +118,7 @@ BATCH: dict[str, Query] = {
     "span_explode": lambda s, d: roles.spans(s, d).select("trace_id", "span_no", "parent_no", "service", "duration_ms", "status", "circuit_id"),
     "txn_rebuild": lambda s, d: shape.txn_rebuild(roles.logs(s, d)),
     "time_spine_densify": time_spine,
-    "route_matrix": lambda s, d: shape.route_matrix(roles.facts(s, d), roles.REGIONS),
+    "route_matrix": lambda s, d: shape.route_matrix(roles.facts(s, d), roles.regions(s, d)),
     "burst_membership": lambda s, d: joins.burst_membership(roles.facts(s, d), "start_ts", roles.windows(s)).select("txn_id", "window_id"),
     "confounder_first_match": lambda s, d: joins.confounder_first_match(roles.facts(s, d), "start_ts", "region", roles.confounders(s)).select("txn_id", "label"),
     "link_confusion_matrix": _confusion,

@@ -74,7 +74,7 @@ def service_metrics(s: SparkSession, d: str) -> DataFrame:
 
 
 def network_events(s: SparkSession, d: str) -> DataFrame:
-    return windows.event_numbering(shape.severity_normalise(roles.net_events(s, d))).select(
+    return windows.event_numbering(shape.severity_normalise(roles.net_events(s, d), roles.INCIDENT_CIRCUIT)).select(
         F.col("event_key").alias("event_id"), iso_seconds("ts").alias("timestamp"), "event_type", F.col("src").alias("src_region"),
         F.col("dst").alias("dst_region"), "circuit_id", "severity", "description",
     )

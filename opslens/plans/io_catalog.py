@@ -71,39 +71,54 @@ def csv_stream_ingest(s, d):
     return done.select("transaction_id", "event", "ts", "day", "end_to_end_latency_ms_f64")
 
 
-def partitioned_logs(s, d) -> DataFrame:
+def partitioned_logs(s, d, out: str | None = None) -> DataFrame:
     dated = roles.logs(s, d).withColumn("day", F.to_date("ts"))
     return sinks.sink_partitioned_table(
-        dated, scratch_path(s, "logs"), "day", ["region", "txn_type", "event", "ts", "txn_id"], ["txn_id"]
+        dated, out or scratch_path(s, "logs"), "day", ["region", "txn_type", "event", "ts", "txn_id"], ["txn_id"]
     )
 
 
+_logs_tables: dict[tuple[str, str], str] = {}
+
+
+def logs_by_day(s, d) -> DataFrame:
+    """The log table as ``partitioned_logs`` writes it, written at the first use in an application; readers prune by day."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _logs_tables:
+        path = scratch_path(s, "logs")
+        partitioned_logs(s, d, path)
+        _logs_tables[key] = path
+    return s.read.parquet(_logs_tables[key])
+
+
 def sink_csv_header(s, d):
     df = csv_tables.read_table(s, _csv(s, d, "txn_facts"), "txn_facts")
     return df.select("transaction_id", "success", "error_code", "end_dt", "end_to_end_latency_ms")
 
 
-def report_sections(s, d) -> dict[str, DataFrame]:
-    """All sections read the same two tables, so these are written once and then scanned by column."""
+def report_sections(s, d) -> dict[str, tuple[DataFrame, list]]:
+    """Each section's rows and their order. All read the same two tables, so these are written once and then scanned by column."""
     logs = frozen(roles.logs(s, d).select("txn_id", "customer_id", "region", "txn_type", "event", "ts", "end_to_end_latency_ms"))
     calls = frozen(roles.calls(s, d).select("call_id", "customer_id", "ref"))
     start, end = ntz(roles.INCIDENT_START), ntz(roles.INCIDENT_END)
     focus = shape.impacted_slice(logs, roles.FOCUS_REGION, roles.FOCUS_TYPES, shape.OUTCOME_EVENTS)
     received = shape.impacted_slice(logs, roles.FOCUS_REGION, roles.FOCUS_TYPES, ["received"])
+    uplift = rollups.top_circuit_uplift(
+        roles.circuit_metrics(s, d), roles.FOCUS_REGION, "EUROPE", ntz(roles.SPLIT_DATE), ntz(roles.SPLIT_END))
     return {
-        "impacted_slice_volume": rollups.impacted_volume(received),
-        "dataset_bounds": rollups.day_span(logs),
-        "fix_verification": rollups.fix_verification(focus, ntz(roles.FIX_TIME)),
-        "app_log_region_distribution": rollups.region_distribution(logs, roles.REGION_WEIGHTS).select("region", "rows"),
-        "view_creation": views.shard_inventory(logs.withColumn("day", F.to_date("ts"))),
-        "tso_missing": rollups.link_missing_rate(calls),
-        "tso_nonexistent": joins.link_nonexistent_rate(calls, logs),
-        "tso_customer_mismatch": joins.link_mismatch_rate(calls, logs),
-        "tso_confusion_matrix": joins.link_confusion_matrix(calls, logs),
-        "incident_p95_multiplier": rollups.incident_multiplier(
-            rollups.impacted(logs, roles.FOCUS_TYPES, shape.OUTCOME_EVENTS), start, end),
-        "top_circuit_uplift": rollups.top_circuit_uplift(
-            roles.circuit_metrics(s, d), roles.FOCUS_REGION, "EUROPE", ntz(roles.SPLIT_DATE), ntz(roles.SPLIT_END)),
+        "impacted_slice_volume": (rollups.impacted_volume(received), []),
+        "dataset_bounds": (rollups.day_span(logs), []),
+        "fix_verification": (rollups.fix_verification(focus, ntz(roles.FIX_TIME)), ["phase"]),
+        "app_log_region_distribution": (rollups.region_distribution(logs, roles.REGION_WEIGHTS).select("region", "rows"), ["region"]),
+        "view_creation": (views.shard_inventory(logs.withColumn("day", F.to_date("ts")), roles.regions(s, d)), ["region"]),
+        "tso_postload.missing": (rollups.link_missing_rate(calls), []),
+        "tso_postload.nonexistent": (joins.link_nonexistent_rate(calls, logs), []),
+        "tso_postload.customer_mismatch": (joins.link_mismatch_rate(calls, logs), []),
+        "tso_postload.confusion_matrix": (joins.link_confusion_matrix(calls, logs), []),
+        "incident_p95_multiplier": (rollups.incident_multiplier(
+            rollups.impacted(logs, roles.FOCUS_TYPES, shape.OUTCOME_EVENTS), start, end), ["region"]),
+        "top_circuit_uplift": (uplift, [F.col("p95_multiplier").desc_nulls_last(), "circuit_id"]),
+        "tier2.tables": (table_presence_rows(s, d), ["table_name"]),
     }
 
 
@@ -117,13 +132,12 @@ def view_alias(s, d):
 
 
 def view_region_shards(s, d):
-    names = views.region_views(roles.logs(s, d), roles.REGIONS)
+    names = views.region_views(roles.logs(s, d), [r.region for r in roles.regions(s, d).collect()])
     return views.rows_through_region_views(s, names)
 
 
 def view_daily_shards(s, d):
-    names = views.daily_views(partitioned_logs(s, d), roles.REGIONS)
-    return views.rows_through_daily_views(s, names)
+    return views.daily_shards(logs_by_day(s, d), roles.regions(s, d))
 
 
 def table_presence_rows(s, d):
@@ -187,7 +201,7 @@ IO = {
     "view_alias": view_alias,
     "view_region_shards": view_region_shards,
     "view_daily_shards": view_daily_shards,
-    "shard_inventory": lambda s, d: views.shard_inventory(roles.logs(s, d).withColumn("day", F.to_date("ts"))),
+    "shard_inventory": lambda s, d: views.shard_inventory(roles.logs(s, d).withColumn("day", F.to_date("ts")), roles.regions(s, d)),
     "table_presence_rows": table_presence_rows,
     "stream_service_kpi": stream_service_kpi,
     "stream_call_link": stream_call_link,

@@ -106,9 +106,9 @@ hosts AS (SELECT start_ts AS ts, region, customer_id AS host, latency_ms AS cpu
 net_events AS (
   SELECT seq, start_ts AS ts, CASE k % 4 WHEN 0 THEN 'flap' WHEN 1 THEN 'maintenance' WHEN 2 THEN 'reroute' ELSE 'packet_loss_burst' END AS event_type,
          region AS src, next_region AS dst,
-         'CKT-' || upper(left(region, 3)) || '-' || upper(left(next_region, 3)) || '-' || (customer_id % 7) AS circuit_id,
+         'CKT-' || upper(left(region, 3)) || '-' || upper(left(next_region, 3)) || '-' || ((customer_id + 1) % 7) AS circuit_id,
          CASE WHEN k >= 85 THEN 'critical' WHEN k >= 40 THEN 'warning' ELSE 'info' END AS reported_severity
-  FROM facts WHERE event_type = 'signup'),
+  FROM facts),
 alerts AS (SELECT seq AS alert_id, start_ts AS ts FROM facts WHERE latency_ms > 150),
 outcomes AS (SELECT * FROM logs WHERE event IN ('completed', 'timeout') AND txn_type IN ('type_0', 'type_1')),
 known AS (SELECT txn_id, min(customer_id) AS log_customer FROM logs WHERE event = 'received' GROUP BY txn_id),
@@ -132,14 +132,15 @@ coh AS (
                / greatest(0.01, count(*) FILTER (NOT impacted_by_primary AND status = 'timeout') / greatest(1, count(*) FILTER (NOT impacted_by_primary))::DOUBLE), 2) AS timeout_multiplier
   FROM flagged WHERE dep_region IS NOT NULL AND region = 'ASIA' AND impacted_type),
 rtt AS (
-  SELECT round(coalesce(max(value) FILTER (window_id IS NOT NULL), 1) / greatest(1.0, min(value) FILTER (window_id IS NULL)), 2) AS rtt_multiplier
-  FROM samples LEFT JOIN windows ON ts >= w0 AND ts < w1 WHERE src = 'ASIA')"""
+  SELECT round(coalesce(max(value) FILTER (window_id IS NOT NULL), min(value) FILTER (window_id IS NULL), 1)
+               / greatest(1.0, coalesce(min(value) FILTER (window_id IS NULL), max(value) FILTER (window_id IS NOT NULL), 1)), 2) AS rtt_multiplier
+  FROM samples LEFT JOIN windows ON ts >= w0 AND ts < w1 WHERE circuit_id = 'CKT-ASI-EUR-0')"""
 SEPARABILITY = """
 sep_cpu AS (SELECT round(max(cpu), 2) AS cpu_peak FROM hosts WHERE region = 'ASIA'),
 sep_net AS (
   SELECT round(greatest(0.0001, coalesce(max(value / base), 1)), 4) AS network_peak_during_cpu
-  FROM samples JOIN (SELECT circuit_id, quantile_cont(value, 0.5) AS base FROM samples GROUP BY circuit_id) USING (circuit_id)
-  WHERE ts >= TIMESTAMP '2024-01-05 09:00:00' AND ts < TIMESTAMP '2024-01-06 11:00:00')"""
+  FROM samples, (SELECT quantile_cont(value, 0.5) AS base FROM samples WHERE circuit_id = 'CKT-ASI-EUR-0')
+  WHERE circuit_id = 'CKT-ASI-EUR-0' AND ts >= TIMESTAMP '2024-01-05 09:00:00' AND ts < TIMESTAMP '2024-01-06 11:00:00')"""
 REFERENTIAL = """
 refs AS (
   SELECT round(100.0 * count(*) FILTER (EXISTS (SELECT 1 FROM facts f WHERE f.txn_id = s.txn_id)) / count(*), 3)::DOUBLE AS span_match_pct FROM spans s),
@@ -154,7 +155,7 @@ SHARDS = """
 span AS (SELECT min(ts::DATE) AS d0, max(ts::DATE) AS d1 FROM logs),
 days AS (SELECT unnest(generate_series(d0, d1, INTERVAL 1 DAY))::DATE AS day FROM span),
 shards AS (
-  SELECT r.region, d.day, count(l.txn_id) AS rows FROM (SELECT DISTINCT region FROM logs) r CROSS JOIN days d
+  SELECT r.region, d.day, count(l.txn_id) AS rows FROM (SELECT r_name AS region FROM region UNION SELECT region FROM logs) r CROSS JOIN days d
   LEFT JOIN logs l ON l.region = r.region AND l.ts::DATE = d.day GROUP BY ALL)"""
 
 # Rows of a nearest-rank percentile: 1-based index into the sorted list.
@@ -174,9 +175,12 @@ QUERIES = {
         CASE status WHEN 'timeout' THEN '504' WHEN 'retry' THEN '202' ELSE '200' END AS http_status,
         CASE WHEN status <> 'timeout' THEN '' WHEN dep_region IS NOT NULL THEN 'DEP_TIMEOUT' ELSE 'ORCH_TIMEOUT' END AS error_code,
         CASE WHEN status LIKE 'completed%' THEN 'completed' ELSE status END AS message FROM facts""",
-    "severity_normalise": """SELECT seq, event_type, CASE WHEN reported_severity = 'critical' THEN 'warning' WHEN event_type = 'maintenance' THEN 'info' ELSE 'warning' END AS severity,
-        CASE event_type WHEN 'flap' THEN 'Intermittent circuit flap observed' WHEN 'maintenance' THEN 'Planned maintenance window on circuit'
-        WHEN 'reroute' THEN 'Routing policy change applied; path flaps briefly' ELSE 'Short packet loss burst on circuit' END AS description FROM net_events""",
+    "severity_normalise": """SELECT seq, event_type, CASE WHEN circuit_id = 'CKT-ASI-EUR-0' AND event_type = 'packet_loss_burst' THEN 'critical'
+        WHEN circuit_id = 'CKT-ASI-EUR-0' AND event_type = 'reroute' THEN 'info' WHEN reported_severity = 'critical' THEN 'warning' WHEN event_type = 'maintenance' THEN 'info' ELSE 'warning' END AS severity,
+        CASE WHEN circuit_id = 'CKT-ASI-EUR-0' AND event_type = 'packet_loss_burst' THEN 'Packet loss burst and RTT elevation detected on primary circuit'
+        WHEN circuit_id = 'CKT-ASI-EUR-0' AND event_type = 'reroute' THEN 'Traffic rerouted away from degraded circuit; service latency recovers'
+        ELSE CASE event_type WHEN 'flap' THEN 'Intermittent circuit flap observed' WHEN 'maintenance' THEN 'Planned maintenance window on circuit'
+        WHEN 'reroute' THEN 'Routing policy change applied; path flaps briefly' ELSE 'Short packet loss burst on circuit' END END AS description FROM net_events""",
     "pre_post_label": "SELECT txn_id, ts, CASE WHEN ts < TIMESTAMP '2024-01-15 18:15:00' THEN 'pre_fix' ELSE 'post_fix' END AS phase FROM outcomes WHERE region = 'ASIA'",
     "impacted_flags": "SELECT txn_id, impacted_by_primary, impacted_by_confounder, confounder_label FROM flagged",
     "txn_key_build_parse": """SELECT txn_id, date_trunc('second', start_ts) AS id_ts, seq AS id_seq, true AS agrees FROM facts""",
@@ -187,7 +191,8 @@ QUERIES = {
         CASE WHEN status = 'timeout' THEN 'timeout' ELSE 'completed' END AS final_event, round(latency_ms, 2) AS latency_ms,
         done < b AS out_of_order FROM lbase""",
     "time_spine_densify": """SELECT region, t.ts, coalesce(max(cpu), 0) AS value
-        FROM (SELECT DISTINCT region FROM hosts) CROSS JOIN generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:55:00', INTERVAL 5 MINUTE) t(ts)
+        FROM (SELECT r_name AS region FROM region) CROSS JOIN (SELECT unnest(generate_series((SELECT min(ts::DATE) FROM hosts)::TIMESTAMP,
+          (SELECT max(ts::DATE) FROM hosts)::TIMESTAMP + INTERVAL 1 DAY - INTERVAL 5 MINUTE, INTERVAL 5 MINUTE)) AS ts) t
         LEFT JOIN (SELECT region, time_bucket(INTERVAL 5 MINUTE, ts) AS ts, cpu FROM hosts) h USING (region, ts) GROUP BY ALL""",
     "route_matrix": """SELECT a.r_name AS src, b.r_name AS dst, count(f.seq) AS calls FROM region a JOIN region b ON a.r_name <> b.r_name
         LEFT JOIN facts f ON f.region = a.r_name AND f.dep_region = b.r_name GROUP BY ALL""",
@@ -371,17 +376,22 @@ QUERIES = {
         UNION ALL SELECT 'view_creation', row_number() OVER (ORDER BY region), unnest(['region', 'expected_shards', 'non_empty_shards', 'rows']),
                unnest([region, CAST(e AS VARCHAR), CAST(f AS VARCHAR), CAST(n AS VARCHAR)]) FROM (
           SELECT region, count(*) AS e, count(*) FILTER (rows > 0) AS f, CAST(sum(rows) AS BIGINT) AS n FROM shards GROUP BY region)
-        UNION ALL SELECT 'tso_missing', 1, unnest(['missing_rate', 'total']), unnest([CAST(round(count(*) FILTER (ref = '') / count(*)::DOUBLE, 4) AS VARCHAR), CAST(count(*) AS VARCHAR)]) FROM calls
-        UNION ALL SELECT 'tso_nonexistent', 1, 'nonexistent_rate', CAST(fp_rate_non_empty AS VARCHAR) FROM rates
-        UNION ALL SELECT 'tso_customer_mismatch', 1, 'mismatch_rate', CAST(wrong_link_rate_joined AS VARCHAR) FROM rates
-        UNION ALL SELECT 'tso_confusion_matrix', 1, unnest(['tp', 'fn', 'fp', 'wrong_link', 'fn_rate', 'fp_rate_non_empty', 'wrong_link_rate_joined', 'tp_rate']),
+        UNION ALL SELECT 'tso_postload.missing', 1, unnest(['missing_rate', 'total']), unnest([CAST(round(count(*) FILTER (ref = '') / count(*)::DOUBLE, 4) AS VARCHAR), CAST(count(*) AS VARCHAR)]) FROM calls
+        UNION ALL SELECT 'tso_postload.nonexistent', 1, 'nonexistent_rate', CAST(fp_rate_non_empty AS VARCHAR) FROM rates
+        UNION ALL SELECT 'tso_postload.customer_mismatch', 1, 'mismatch_rate', CAST(wrong_link_rate_joined AS VARCHAR) FROM rates
+        UNION ALL SELECT 'tso_postload.confusion_matrix', 1, unnest(['tp', 'fn', 'fp', 'wrong_link', 'fn_rate', 'fp_rate_non_empty', 'wrong_link_rate_joined', 'tp_rate']),
                unnest([CAST(tp AS VARCHAR), CAST(fn AS VARCHAR), CAST(fp AS VARCHAR), CAST(wrong_link AS VARCHAR), CAST(fn_rate AS VARCHAR), CAST(fp_rate_non_empty AS VARCHAR),
                        CAST(wrong_link_rate_joined AS VARCHAR), CAST(tp_rate AS VARCHAR)]) FROM rates
         UNION ALL SELECT 'incident_p95_multiplier', row_number() OVER (ORDER BY region), unnest(['region', 'p95_baseline', 'p95_incident', 'p95_multiplier']),
                unnest([region, CAST(round(b, 4) AS VARCHAR), CAST(round(d, 4) AS VARCHAR), CAST(round(d / b, 2) AS VARCHAR)]) FROM (
           SELECT region, quantile_cont(lat, 0.95) FILTER (ts < TIMESTAMP '2024-01-10 12:20:00') AS b,
                  quantile_cont(lat, 0.95) FILTER (ts >= TIMESTAMP '2024-01-10 12:20:00' AND ts < TIMESTAMP '2024-01-15 18:10:00') AS d FROM outcomes GROUP BY region)
-        UNION ALL SELECT 'top_circuit_uplift', row_number() OVER (ORDER BY circuit_id), unnest(['circuit_id', 'src', 'dst', 'p95_baseline', 'p95_incident', 'p95_multiplier']),
+        UNION ALL SELECT 'tier2.tables', row_number() OVER (ORDER BY table_name), unnest(['table_name', 'present', 'rows']),
+               unnest([table_name, CAST(present AS VARCHAR), CAST(rows AS VARCHAR)]) FROM (
+          SELECT 'service_metrics' AS table_name, true AS present, count(*) AS rows FROM (SELECT DISTINCT date_trunc('minute', start_ts), region, txn_type FROM facts)
+          UNION ALL SELECT 'network_events', true, count(*) FROM net_events UNION ALL SELECT 'txn_facts', true, count(*) FROM facts
+          UNION ALL SELECT 'circuit_inventory', false, 0)
+        UNION ALL SELECT 'top_circuit_uplift', row_number() OVER (ORDER BY round(d / b, 2) DESC NULLS LAST, circuit_id), unnest(['circuit_id', 'src', 'dst', 'p95_baseline', 'p95_incident', 'p95_multiplier']),
                unnest([circuit_id, 'ASIA', 'EUROPE', CAST(round(b, 4) AS VARCHAR), CAST(round(d, 4) AS VARCHAR), CAST(round(d / b, 2) AS VARCHAR)]) FROM (
           SELECT circuit_id, quantile_cont(value, 0.95) FILTER (ts < TIMESTAMP '1998-06-01') AS b,
                  quantile_cont(value, 0.95) FILTER (ts >= TIMESTAMP '1998-06-01' AND ts < TIMESTAMP '2000-01-01') AS d

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opslens.operators.rollups import one_row
+from opslens.session import frozen, within
 
 
 def validation_summary(*parts: DataFrame) -> DataFrame:
@@ -16,37 +18,50 @@ def validation_summary(*parts: DataFrame) -> DataFrame:
     return one_row(*parts)
 
 
-def report_rows(sections: Mapping[str, DataFrame]) -> DataFrame:
-    """Each small result as (section, body) with the row as JSON."""
-    parts = [
-        df.select(F.lit(name).alias("section"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("body"))
-        for name, df in sections.items()
-    ]
+#: Rows that all sections of a report may have together; one document is written by one task.
+MAX_ROWS = 10_000
+
+Sections = Mapping[str, tuple[DataFrame, Sequence[str | Column]]]
+
+
+def report_rows(sections: Sections) -> DataFrame:
+    """Each small result as (section, rank, body): the row as JSON, ranked by the section's order, then by its text."""
+    parts = []
+    for name, (df, order) in sections.items():
+        body = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        rank = F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*order, body))
+        parts.append(df.select(F.lit(name).alias("section"), rank.alias("rank"), body.alias("body")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def _parser(schema):
-    return lambda body: F.from_json(body, schema)
+    return lambda r: F.from_json(r["body"], schema)
 
 
-def write_json_report(sections: Mapping[str, DataFrame], out: str) -> DataFrame:
+def write_json_report(sections: Sections, out: str) -> DataFrame:
     """Write one nested document, one array per section, and return it as (section, row_no, key, value) rows.
 
-    Sections are report results of a few rows each; their order follows the row text.
+    A section named ``a.b`` becomes field b of object a. Sections are report results of a few rows each, kept in
+    their order; more than ``MAX_ROWS`` rows in all are an error.
     """
-    rows = report_rows(sections)
+    rows = frozen(report_rows(sections))
+    if not within(rows, MAX_ROWS):
+        raise ValueError(f"a report of more than {MAX_ROWS} rows")
     spark = rows.sparkSession
-    names = list(sections)
-    doc = rows.groupBy().agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("section") == n, F.col("body")))).alias(n) for n in names
-    ])
-    typed = doc.select(*[F.transform(n, _parser(sections[n].schema)).alias(n) for n in names])
+    arrays = {n: F.array_sort(F.collect_list(F.when(F.col("section") == n, F.struct("rank", "body")))) for n in sections}
+    doc = rows.groupBy().agg(*[arrays[n].alias(f"s{i}") for i, n in enumerate(sections)])
+    fields: dict[str, list[Column]] = {}
+    for i, (n, (df, _)) in enumerate(sections.items()):
+        top, _, inner = n.partition(".")
+        fields.setdefault(top, []).append(F.transform(f"s{i}", _parser(df.schema)).alias(inner or top))
+    plain = {n for n in sections if "." not in n}
+    typed = doc.select(*[cs[0] if top in plain else F.struct(*cs).alias(top) for top, cs in fields.items()])
     typed.coalesce(1).write.json(out, ignoreNullFields=False)
     back = spark.read.schema(typed.schema).json(out)
     parts = []
-    for n in names:
+    for n, (df, _) in sections.items():
         cells = F.map_entries(F.create_map(*[
-            x for f in sections[n].schema.fields for x in (F.lit(f.name), F.col(f"r.{f.name}").cast("string"))
+            x for f in df.schema.fields for x in (F.lit(f.name), F.col(f"r.{f.name}").cast("string"))
         ]))
         one = back.select(F.posexplode(n).alias("pos", "r")).select(
             F.lit(n).alias("section"), (F.col("pos") + 1).alias("row_no"), F.explode(cells).alias("e")

@@ -23,7 +23,7 @@ FOCUS_REGION = "ASIA"
 FOCUS_TYPES = ("type_0", "type_1")
 SPLIT_DATE = "1998-06-01 00:00:00"
 SPLIT_END = "2000-01-01 00:00:00"
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+INCIDENT_CIRCUIT = "CKT-ASI-EUR-0"
 REGION_WEIGHTS = {"AFRICA": 0.35, "AMERICA": 0.25, "ASIA": 0.20, "EUROPE": 0.10, "MIDDLE EAST": 0.10}
 CONFOUNDERS = (
     ("cpu_spike", "ASIA", "2024-01-05 09:00:00", "2024-01-06 11:00:00", 1),
@@ -54,6 +54,11 @@ def region_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(here, "n_regionkey").join(following, "n_regionkey").drop("n_regionkey")
 
 
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of all regions, as (region)."""
+    return read(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = (
         read(spark, sf_dir, "customer")
@@ -192,12 +197,13 @@ def host_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def net_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts(spark, sf_dir).where(F.col("event_type") == "signup").select(
+    """One circuit event per transaction, on another circuit of the same route than the transaction's own."""
+    return facts(spark, sf_dir).select(
         "seq", F.col("start_ts").alias("ts"),
         F.expr("""CASE k % 4 WHEN 0 THEN 'flap' WHEN 1 THEN 'maintenance' WHEN 2 THEN 'reroute'
                   ELSE 'packet_loss_burst' END""").alias("event_type"),
         F.col("region").alias("src"), F.col("next_region").alias("dst"),
-        circuit_name(F.col("region"), F.col("next_region"), F.col("customer_id") % 7).alias("circuit_id"),
+        circuit_name(F.col("region"), F.col("next_region"), (F.col("customer_id") + 1) % 7).alias("circuit_id"),
         F.expr("CASE WHEN k >= 85 THEN 'critical' WHEN k >= 40 THEN 'warning' ELSE 'info' END").alias("reported_severity"),
     )
 

@@ -2,12 +2,13 @@
 
 import json
 import uuid
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from opslens.operators import views
-from opslens.plans import exports, io_catalog, roles
+from opslens.plans import catalog, exports, io_catalog, report, roles
 from opslens.session import scratch_path
 from opslens.sources import csv_tables, sinks, truth
 from opslens.sources.schemas import TABLES
@@ -121,3 +122,31 @@ def test_ingested_tables_are_partitioned_by_day(spark, sf_dir):
     plan = table.where("day = DATE '2024-01-12'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     assert table.where("day <> to_date(ts)").count() == 0
+
+
+def test_day_queries_open_one_partition(spark, sf_dir):
+    plan = catalog.day_slice(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_daily_shards_and_views_on_demand(spark):
+    rows = [("A", date(2024, 1, 1)), ("A", date(2024, 1, 3)), ("new", date(2024, 1, 3))]
+    table = spark.createDataFrame(rows, "region string, day date")
+    regions = spark.createDataFrame([("A",), ("B",)], "region string")
+    got = {(r.region, r.day.day): r.rows for r in views.daily_shards(table, regions).collect()}
+    assert got == {("A", 1): 1, ("A", 2): 0, ("A", 3): 1, ("B", 1): 0, ("B", 2): 0, ("B", 3): 0, ("new", 3): 1}
+    name = views.daily_view(table, "A", date(2024, 1, 3), prefix="shard")
+    assert name == "shard_a_20240103" and spark.table(name).count() == 1
+    per = {r.region: tuple(r)[1:] for r in views.shard_inventory(table, regions).collect()}
+    assert per == {"A": (3, 2, 2), "B": (3, 0, 0), "new": (3, 1, 1)}
+    assert views.daily_shards(table.limit(0), regions).count() == 0
+
+
+def test_report_keeps_the_order_and_nests(spark):
+    top = spark.createDataFrame([("b", 1.1), ("a", 9.9), ("c", 10.5)], "id string, x double")
+    one = spark.createDataFrame([(3, None)], "n int, s string")
+    out = scratch_path(spark, "report")
+    got = report.write_json_report({"top": (top, [F.col("x").desc()]), "t.one": (one, []), "t.two": (one, [])}, out).collect()
+    assert [r.value for r in sorted((r for r in got if r.section == "top" and r.key == "id"), key=lambda r: r.row_no)] == ["c", "a", "b"]
+    doc = json.loads(spark.read.text(out).first()[0])
+    assert doc["t"] == {"one": [{"n": 3, "s": None}], "two": [{"n": 3, "s": None}]} and doc["top"][0] == {"id": "c", "x": 10.5}

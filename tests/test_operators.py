@@ -180,3 +180,27 @@ def test_long_sequence_numbers_are_not_cut(spark):
     assert windows.event_numbering(e).first().event_key == "EVT-000000"
     f = spark.createDataFrame([("TX-20240101000000-123456789", 123456789, T0)], "txn_id string, seq bigint, start_ts timestamp_ntz")
     assert shape.txn_key_build_parse(f).first().agrees
+
+
+def test_incident_circuit_keeps_its_own_severity(spark):
+    ev = spark.createDataFrame(
+        [(1, "K", "packet_loss_burst", "warning"), (2, "K", "reroute", "warning"), (3, "K", "flap", "critical"), (4, "X", "reroute", "info"),
+         (5, None, "packet_loss_burst", "critical")], "n int, circuit_id string, event_type string, reported_severity string")
+    got = shape.severity_normalise(ev, "K").orderBy("n").collect()
+    assert [r.severity for r in got] == ["critical", "info", "warning", "warning", "warning"]
+    assert got[0].description != got[4].description and got[1].description != got[3].description
+
+
+def test_routes_outside_the_region_list_stay(spark):
+    facts = spark.createDataFrame([("a", "b"), ("x", "a"), ("a", None)], "region string, dep_region string")
+    regions = spark.createDataFrame([("a",), ("b",)], "region string")
+    got = {(r.src, r.dst): r.calls for r in shape.route_matrix(facts, regions).collect()}
+    assert got == {("a", "b"): 1, ("b", "a"): 0, ("x", "a"): 1}
+
+
+def test_spine_over_several_arrays(spark):
+    df = spark.createDataFrame([("e", "2024-01-02 00:00:03")], "e string, ts string").selectExpr("e", "cast(ts as timestamp_ntz) ts", "1.0D v")
+    got = shape.time_spine_densify(df, df, "e", "ts", "v", "2024-01-01", "2024-01-03", 3)
+    assert got.count() == got.select("ts").distinct().count() == 2 * 86_400 // 3
+    assert str(got.where("v = 1").first().ts) == "2024-01-02 00:00:03"
+    assert shape.time_spine_densify(df, df, "e", "ts", "v", "2024-01-01", "2024-01-01", 3).count() == 0
