@@ -55,6 +55,14 @@ def sliced(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFram
     return frozen(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
+def _across(base: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Keys that lie in more than one slice. Such a key is the last of one slice and the first of another, so there
+    are fewer of them than slices."""
+    this = F.struct(*part)
+    edges = base.groupBy("_slice").agg(F.array_distinct(F.array(F.min(this), F.max(this))).alias("_edge"))
+    return edges.select(F.explode("_edge").alias("_e")).groupBy("_e").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_e.*")
+
+
 def running(
     df: DataFrame,
     part: Sequence[str],
@@ -67,7 +75,8 @@ def running(
     sums: running sum up to this row. max_before: maximum over earlier rows.
     last / next: nearest non-null value at or before / at or after this row.
     last_before / next_after: the same without this row.
-    A ``df`` that still has ``_slice`` (``keep_slices``) is not sliced again.
+    A ``df`` that still has ``_slice`` (``keep_slices``, with the same ``part``) is not sliced again.
+    Totals are carried only for keys that lie across a slice edge, at most two for each slice.
     """
     part, order = list(part), list(order)
     unknown = set(specs) - set(_KINDS)
@@ -86,12 +95,12 @@ def running(
         f"_w_{n}": k.fold(F.col(f"_i_{n}")).over(frame(key, up if k.forward else down, k.inclusive)) for n, k, _ in items
     })
     at = F.struct(*order)
-    per_slice = base.groupBy(*key).agg(*[k.total(F.col(f"_i_{n}"), at).alias(f"_t_{n}") for n, k, _ in items])
+    per_slice = (join_null_safe(base, F.broadcast(_across(base, part)), part, "left_semi") if part else base).groupBy(*key).agg(*[k.total(F.col(f"_i_{n}"), at).alias(f"_t_{n}") for n, k, _ in items])
     by = part or [F.lit(1)]
     slices_up, slices_down = [F.col("_slice").asc()], [F.col("_slice").desc()]
     carried = per_slice.select(*key, *[
         k.fold(F.col(f"_t_{n}")).over(frame(by, slices_up if k.forward else slices_down, False)).alias(f"_c_{n}") for n, k, _ in items
     ])
-    joined = join_null_safe(rows, carried, key, "left")
+    joined = join_null_safe(rows, F.broadcast(carried), key, "left")
     kept = [c for c in df.columns if c != "_slice"] + (["_slice"] if keep_slices else [])
     return joined.select(*kept, *[k.combine(F.col(f"_w_{n}"), F.col(f"_c_{n}")).alias(n) for n, k, _ in items])

@@ -154,7 +154,8 @@ def _streamed(s, df: DataFrame, name: str) -> DataFrame:
 
 def stream_service_kpi(s, d):
     f = roles.facts(s, d).select("start_ts", "region", "txn_type", "status", "retry_count", "latency_ms")
-    return streams.as_zone_free(streams.run_append(streams.stream_service_kpi(_streamed(s, f, "facts")), "kpi"))
+    return streams.as_zone_free(streams.run_closed(
+        streams.stream_service_kpi(_streamed(s, f, "facts")), "kpi", ["ts", "region", "txn_type"]))
 
 
 def stream_call_link(s, d):
@@ -176,12 +177,13 @@ def stream_noise_counters(s, d):
 
 def stream_sliding_lookback(s, d):
     f = _streamed(s, roles.facts(s, d).select("start_ts", "region"), "facts")
-    return streams.as_zone_free(streams.run_append(streams.stream_sliding_lookback(f), "lookback"))
+    return streams.as_zone_free(streams.run_closed(streams.stream_sliding_lookback(f), "lookback", ["ts", "region"]))
 
 
 def stream_burst_sessions(s, d):
     m = _streamed(s, roles.circuit_samples(s, d).select("circuit_id", "ts", "value"), "samples")
-    return streams.as_zone_free(streams.run_append(streams.stream_burst_sessions(m, "circuit_id", "6 hours", BURST_MS), "sessions"))
+    return streams.as_zone_free(streams.run_closed(
+        streams.stream_burst_sessions(m, "circuit_id", "6 hours", BURST_MS), "sessions", ["circuit_id", "start_ts"], sessions=True))
 
 
 def stream_late_rows(s, d):

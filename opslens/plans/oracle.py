@@ -406,23 +406,19 @@ QUERIES = {
         UNION ALL SELECT 'network_events', true, count(*) FROM net_events UNION ALL SELECT 'txn_facts', true, count(*) FROM facts
         UNION ALL SELECT 'circuit_inventory', false, 0""",
     # streams
-    "stream_service_kpi": """, m AS (SELECT max(start_ts) - INTERVAL 10 MINUTE AS w FROM facts)
-      SELECT * FROM (
+    "stream_service_kpi": """
         SELECT date_trunc('minute', start_ts) AS ts, region, txn_type, count(*) AS n, count(*) FILTER (status = 'timeout') AS errors,
-               count(*) FILTER (retry_count > 0) AS retries, quantile_disc(latency_ms, 0.95) AS p95_ms FROM facts GROUP BY ALL)
-      WHERE ts + INTERVAL 1 MINUTE <= (SELECT w FROM m)""",
+               count(*) FILTER (retry_count > 0) AS retries, quantile_disc(latency_ms, 0.95) AS p95_ms FROM facts GROUP BY ALL""",
     "stream_call_link": """SELECT call_id, txn_id, CAST(floor(date_diff('microsecond', f.end_ts, call_ts) / 6e7) AS BIGINT) AS delay_min FROM calls c JOIN facts f
         ON c.ref = f.txn_id AND c.customer_id = f.customer_id AND call_ts BETWEEN f.end_ts AND f.end_ts + INTERVAL 2 HOUR""",
     "stream_dedup": "SELECT call_id, region, call_ts, noise_type FROM calls",
     "stream_noise_counters": "SELECT region, noise_type, count(*) AS calls FROM calls GROUP BY ALL",
-    "stream_sliding_lookback": """, m AS (SELECT max(start_ts) - INTERVAL 10 MINUTE AS w FROM facts)
-      SELECT ts, region, count(*) AS n FROM (SELECT region, time_bucket(INTERVAL 10 MINUTE, start_ts) - to_minutes(CAST(10 * i AS INT)) AS ts FROM facts, range(12) t(i))
-      GROUP BY ALL HAVING ts + INTERVAL 2 HOUR <= (SELECT w FROM m)""",
+    "stream_sliding_lookback": """SELECT ts, region, count(*) AS n FROM (SELECT region, time_bucket(INTERVAL 10 MINUTE, start_ts) - to_minutes(CAST(10 * i AS INT)) AS ts FROM facts, range(12) t(i))
+      GROUP BY ALL""",
     "stream_burst_sessions": """, b AS (SELECT * FROM samples WHERE value > 60),
       s AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM b WINDOW w AS (PARTITION BY circuit_id ORDER BY ts)),
       g AS (SELECT *, sum(fresh) OVER (PARTITION BY circuit_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM s)
-      SELECT circuit_id, min(ts) AS start_ts, max(ts) + INTERVAL 6 HOUR AS end_ts, count(*) AS n, max(value) AS peak FROM g GROUP BY circuit_id, id
-      HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM b)""",
+      SELECT circuit_id, min(ts) AS start_ts, max(ts) + INTERVAL 6 HOUR AS end_ts, count(*) AS n, max(value) AS peak FROM g GROUP BY circuit_id, id""",
     "stream_late_rows": """, s AS (SELECT call_ts, max(call_ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS peak FROM calls)
       SELECT count(*) FILTER (call_ts >= peak - INTERVAL 30 MINUTE OR peak IS NULL) AS on_time, count(*) FILTER (call_ts < peak - INTERVAL 30 MINUTE) AS late FROM s""",
     # sets

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +22,39 @@ def _schema(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl)
 
 
-def ingest_csv_typed(spark: SparkSession, path: str, ddl: str, line_breaks: bool = False) -> DataFrame:
+def ingest_csv_typed(spark: SparkSession, path: str, ddl: str, line_breaks: bool = False, by_file: bool = False) -> DataFrame:
     """A headered CSV as the declared columns, matched by header name.
 
-    Columns the file lacks are an error, extra ones are ignored. Absent text stays ''.
-    ``line_breaks`` allows them inside quoted text, at the price of unsplit files.
+    Columns the file lacks are an error, extra ones are ignored. Absent text stays '', an absent number is null.
+    Numbers that cannot be read, lines with too few or too many fields, and a file of the folder whose header differs
+    from the first one's are errors when the rows are read. With ``by_file`` each file is matched by its own header,
+    which takes one more pass over the text. ``line_breaks`` allows them inside quoted text, at the price of unsplit files.
     """
     declared = _schema(ddl)
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks).csv(path)
-    return _typed(raw, declared)
+
+    def reader():
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+
+    def rows(files: str | list[str], names: list[str]) -> DataFrame:
+        strict = reader().option("mode", "FAILFAST").option("enforceSchema", False).option("columnPruning", False)
+        return _typed(strict.schema(_text_schema(names)).csv(files), declared)
+
+    if not by_file:
+        return rows(path, reader().csv(path).columns)
+    groups = _files_by_header(spark, path).values()
+    return reduce(DataFrame.unionByName, [rows(files, reader().csv(files[0]).columns) for files in groups])
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> files; only these lines and the file names reach the driver."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
+    first = lines.withColumn("_at", F.monotonically_increasing_id()).groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.orderBy("file_path").collect():
+        found.setdefault(r.header.rstrip("\r"), []).append(r.file_path)
+    if not found:
+        raise ValueError(f"no CSV text under {path}")
+    return found
 
 
 def _typed(raw: DataFrame, declared: T.StructType) -> DataFrame:
@@ -42,25 +66,34 @@ def _typed(raw: DataFrame, declared: T.StructType) -> DataFrame:
         if isinstance(f.dataType, T.StringType):
             cols.append(F.coalesce(F.col(f.name), F.lit("")).alias(f.name))
         else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            cols.append(_strict(F.col(f.name), F.col(f.name).try_cast(f.dataType), f.name).alias(f.name))
     return raw.select(*cols)
 
 
+def _strict(text: Column, read: Column, name: str) -> Column:
+    """``read``, or an error where there is text that could not be read."""
+    said = F.concat(F.lit(f"unreadable {name}: "), text)
+    return F.when(text.isNotNull() & (text != "") & read.isNull(), F.raise_error(said)).otherwise(read)
+
+
 def iso_time(c: str):
     """ISO text, with or without fraction and zone, as a zone-free UTC timestamp; unreadable text is null."""
     return F.col(c).try_cast("timestamp").cast("timestamp_ntz")
 
 
-def derive_ingest_columns(df: DataFrame, times: Mapping[str, str], numbers: tuple[str, ...] = ()) -> DataFrame:
-    """Add a timestamp per text time, and ``<n>_f64`` (0 when empty) per text number."""
-    derived = {out: iso_time(src) for src, out in times.items()}
+def derive_ingest_columns(df: DataFrame, times: Mapping[str, str], numbers: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+    """Add a timestamp per text time, and ``<n>_f64`` (0 when empty or unreadable) per text number.
+
+    An unreadable time is null; with ``strict`` it is an error when the rows are read.
+    """
+    derived = {out: _strict(F.col(src), iso_time(src), src) if strict else iso_time(src) for src, out in times.items()}
     derived |= {f"{n}_f64": number_or_zero(n) for n in numbers}
     return df.withColumns(derived)
 
 
 def with_derived(df: DataFrame, table: str) -> DataFrame:
     spec = spec_of(table)
-    return derive_ingest_columns(df, spec.times, spec.numbers)
+    return derive_ingest_columns(df, spec.times, spec.numbers, strict=True)
 
 
 def spec_of(table: str) -> TableSpec:
@@ -69,8 +102,8 @@ def spec_of(table: str) -> TableSpec:
     return TABLES[table]
 
 
-def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return with_derived(ingest_csv_typed(spark, path, spec_of(table).columns), table)
+def read_table(spark: SparkSession, path: str, table: str, line_breaks: bool = False, by_file: bool = False) -> DataFrame:
+    return with_derived(ingest_csv_typed(spark, path, spec_of(table).columns, line_breaks, by_file), table)
 
 
 def tables_in(spark: SparkSession, folder: str, prefix: str = FILE_PREFIX) -> list[str]:
@@ -89,13 +122,15 @@ def tables_in(spark: SparkSession, folder: str, prefix: str = FILE_PREFIX) -> li
 
 
 def ingest_directory(
-    spark: SparkSession, folder: str, database: str, location: str, insert_only: bool = False, prefix: str = FILE_PREFIX
+    spark: SparkSession, folder: str, database: str, location: str, insert_only: bool = False, prefix: str = FILE_PREFIX,
+    line_breaks: bool = False, by_file: bool = False,
 ) -> DataFrame:
     """Append every ``<prefix><table>.csv`` of a folder to the table it names; returns (table_name, rows).
 
     A name without a declared schema is an error before anything is written. With
     ``insert_only`` each table must exist; else it is created below ``location``.
-    Tables are partitioned by ``day`` and each file is sorted by the table's key.
+    Tables are partitioned by ``day`` and each file is sorted by the table's key. ``line_breaks`` and ``by_file`` are
+    those of ``ingest_csv_typed``.
     """
     names = tables_in(spark, folder, prefix)
     for n in names:
@@ -105,7 +140,7 @@ def ingest_directory(
             raise ValueError(f"missing table (insert-only mode): {database}.{n}")
     counts = []
     for n in names:
-        df = with_day(read_table(spark, f"{folder.rstrip('/')}/{prefix}{n}.csv", n), n)
+        df = with_day(read_table(spark, f"{folder.rstrip('/')}/{prefix}{n}.csv", n, line_breaks, by_file), n)
         target = f"{database}.{n}"
         if not spark.catalog.tableExists(target):
             create_table(spark, df.schema, n, target, f"{location.rstrip('/')}/{n}")

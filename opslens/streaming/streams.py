@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from opslens.functions.running import running
 from opslens.functions.scalars import micros
@@ -33,12 +34,14 @@ def as_zone_free(df: DataFrame) -> DataFrame:
 
 
 def run_append(
-    df: DataFrame, name: str, out: str | None = None, partition_by: Sequence[str] = (), checkpoint: str | None = None
+    df: DataFrame, name: str, out: str | None = None, partition_by: Sequence[str] = (), checkpoint: str | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """Run an append stream over all available input into Parquet and read it back.
 
     A later run with the same ``out`` goes on where the last one ended: its progress is kept in ``checkpoint``, by default
     in a folder beside ``out``. One ``out`` belongs to one checkpoint; the sink takes the batches of another for done.
+    ``counts``, if given, receives under "dropped" the rows that came behind the watermark and were left out.
     """
     spark = df.sparkSession
     checkpoint = checkpoint or (f"{out.rstrip('/')}-progress" if out else scratch_path(spark, f"{name}-progress"))
@@ -46,12 +49,53 @@ def run_append(
     writer = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    q = writer.option("checkpointLocation", checkpoint).start(out)
-    q.awaitTermination()
+    dropped = _finish(writer.option("checkpointLocation", checkpoint).start(out))
+    if counts is not None:
+        counts["dropped"] = dropped
     return spark.read.schema(df.schema).parquet(out)
 
 
-def run_batches(df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None]) -> str:
+def _finish(query) -> int:
+    """Wait for the end of a bounded run; returns the rows that its watermarks dropped."""
+    dropped, done = {}, False
+    while not done:
+        done = query.awaitTermination(5)
+        for p in query.recentProgress:
+            dropped[p["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+    return sum(dropped.values())
+
+
+def run_closed(
+    df: DataFrame, name: str, keys: Sequence[str], sessions: bool = False, counts: dict[str, int] | None = None
+) -> DataFrame:
+    """Run over all available input as ``run_append``, but keep the windows that are still open at its end.
+
+    Each batch writes the windows it changed; the latest row per ``keys`` counts. ``sessions``: session windows can only
+    be written whole, so their state holds all sessions of the run, and each input task merges its own rows first.
+    """
+    def write(batch, no, out):
+        batch.withColumn("batch", F.lit(no).cast("bigint")).write.mode("overwrite").parquet(f"{out}/no={no}")
+
+    spark, merging = df.sparkSession, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(merging)
+    if sessions:
+        spark.conf.set(merging, "true")
+    try:
+        out = run_batches(df, name, "complete" if sessions else "update", write, counts)
+    finally:
+        spark.conf.set(merging, before)
+    rows = spark.read.schema(StructType([*df.schema.fields, StructField("batch", LongType())])).option("recursiveFileLookup", True).parquet(out)
+    if sessions:
+        newest = rows.agg(F.max("batch")).first()[0]
+        return rows.where(F.col("batch").eqNullSafe(F.lit(newest))).drop("batch")
+    values = [c for c in df.columns if c not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+    return latest.select(*keys, "v.*").select(*df.columns)
+
+
+def run_batches(
+    df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None], counts: dict[str, int] | None = None
+) -> str:
     """Run a stream batch by batch; ``write`` must overwrite its batch, so a repeat is harmless."""
     spark = df.sparkSession
     out = scratch_path(spark, name)
@@ -60,7 +104,9 @@ def run_batches(df: DataFrame, name: str, mode: str, write: Callable[[DataFrame,
         .foreachBatch(lambda batch, no: write(batch, no, out))
         .option("checkpointLocation", scratch_path(spark, f"{name}-progress")).start()
     )
-    q.awaitTermination()
+    dropped = _finish(q)
+    if counts is not None:
+        counts["dropped"] = dropped
     return out
 
 
@@ -126,8 +172,7 @@ def stream_sliding_lookback(
 def stream_burst_sessions(
     metrics: DataFrame, key: str, gap: str, threshold: float, lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Degraded rows closer than ``gap`` form one session; each input task merges its own rows first."""
-    metrics.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    """Degraded rows closer than ``gap`` form one session."""
     high = metrics.where(F.col("value") > threshold).withWatermark("ts", lateness)
     sessions = high.groupBy(F.session_window("ts", gap), key).agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("peak"))
     return sessions.select(key, F.col("session_window.start").alias("start_ts"), F.col("session_window.end").alias("end_ts"), "n", "peak")

@@ -150,3 +150,28 @@ def test_report_keeps_the_order_and_nests(spark):
     assert [r.value for r in sorted((r for r in got if r.section == "top" and r.key == "id"), key=lambda r: r.row_no)] == ["c", "a", "b"]
     doc = json.loads(spark.read.text(out).first()[0])
     assert doc["t"] == {"one": [{"n": 3, "s": None}], "two": [{"n": 3, "s": None}]} and doc["top"][0] == {"id": "c", "x": 10.5}
+
+
+def test_loading_fails_loudly(spark, tmp_path):
+    def read(name, text, **how):
+        return csv_tables.ingest_csv_typed(spark, write(tmp_path / f"{name}.csv", text), "a string, n double", **how).collect()
+
+    for name, text in [("number", "a,n\nx,1.5x\n"), ("short", "a,n\nx\n"), ("long", "a,n\nx,1,2\n")]:
+        with pytest.raises(Exception):
+            read(name, text)
+    with pytest.raises(Exception, match="unreadable at: bad"):
+        df = spark.createDataFrame([("bad",)], "at string")
+        csv_tables.derive_ingest_columns(df, {"at": "ts"}, strict=True).collect()
+    assert [tuple(r) for r in read("breaks", 'a,n\n"x\ny",1\nz,\n', line_breaks=True)] == [("x\ny", 1.0), ("z", None)]
+    assert read("header_only", "a,n\n") == []
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    write(tmp_path / "t" / "1.csv", "a,n\nx,1\n")
+    write(tmp_path / "t" / "2.csv", "n,extra,a\n2,e,y\n")
+    write(tmp_path / "t" / "3.csv", "a,n\nz,3\n")
+    folder = str(tmp_path / "t")
+    got = csv_tables.ingest_csv_typed(spark, folder, "a string, n double", by_file=True)
+    assert sorted(map(tuple, got.collect())) == [("x", 1.0), ("y", 2.0), ("z", 3.0)]
+    with pytest.raises(Exception):
+        csv_tables.ingest_csv_typed(spark, folder, "a string, n double").collect()

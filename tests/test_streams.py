@@ -79,3 +79,26 @@ def test_sessions_and_sliding_counts(spark):
     counts = streams.run_append(streams.stream_sliding_lookback(in_files(spark, facts, "start_ts timestamp_ntz, region string", 1)), "w")
     at = {r.ts: r.n for r in counts.withColumn("ts", F.col("ts").cast("timestamp_ntz")).collect()}
     assert at[T0] == 3 and at[T0 - timedelta(minutes=110)] == 2
+
+
+def test_a_bounded_run_keeps_open_windows_and_counts_late_rows(spark):
+    rows = [(T0 + timedelta(seconds=20 * i), "r", "t", "timeout" if i % 5 == 0 else "success", i % 2, float(i)) for i in range(180)]
+    schema = "start_ts timestamp_ntz, region string, txn_type string, status string, retry_count int, latency_ms double"
+    counts = {}
+    keys = ["ts", "region", "txn_type"]
+    got = streams.run_closed(streams.stream_service_kpi(in_files(spark, rows, schema, 4)), "k", keys, counts=counts).collect()
+    assert len(got) == 60 and all(r.n == 3 for r in got) and counts == {"dropped": 0}
+    late = rows[120:] + rows[:60] + rows[60:120]
+    got = streams.run_closed(streams.stream_service_kpi(in_files(spark, late, schema, 3)), "k", keys, counts=counts)
+    kept = got.selectExpr("sum(n)").first()[0]
+    assert kept < 180 and counts["dropped"] > 0
+    appended = {}
+    streams.run_append(streams.stream_service_kpi(in_files(spark, late, schema, 3)), "k", counts=appended)
+    assert appended["dropped"] > 0
+
+
+def test_a_bounded_run_keeps_open_sessions(spark):
+    rows = [("k", T0 + timedelta(minutes=m), 9.0) for m in (0, 5, 30, 34, 400)]
+    df = streams.stream_burst_sessions(in_files(spark, rows, "circuit_id string, ts timestamp_ntz, value double", 2), "circuit_id", "10 minutes", 5.0)
+    got = streams.run_closed(df, "s", ["circuit_id", "start_ts"], sessions=True).orderBy("start_ts").collect()
+    assert [r.n for r in got] == [2, 2, 1]
