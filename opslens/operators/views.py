@@ -55,11 +55,11 @@ def daily_shards(table: DataFrame, regions: DataFrame, region_col: str = "region
     ``region``); those only found in the rows are kept, with the days they have.
     """
     counts = table.groupBy(F.col(region_col).alias("region"), F.col(day_col).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-    days = table.agg(F.min(day_col).alias("a"), F.max(day_col).alias("b")).where("a IS NOT NULL").select(
-        F.explode(F.sequence("a", "b")).alias("day"))
-    names = regions.agg(F.collect_set("region").alias("names"))
-    one = F.lit(1).alias("_one")
-    spine = days.select("day", one).join(names.select("names", one), "_one").select("day", F.explode("names").alias("region"))
+    bounds = table.agg(F.min(day_col).alias("a"), F.max(day_col).alias("b"))
+    both = regions.select("region").unionByName(bounds, allowMissingColumns=True).agg(
+        F.collect_set("region").alias("names"), F.max("a").alias("a"), F.max("b").alias("b"))
+    days = both.where("a IS NOT NULL").select("names", F.explode(F.sequence("a", "b")).alias("day"))
+    spine = days.select("day", F.explode("names").alias("region"))
     return spine.join(counts, ["region", "day"], "full").select("region", "day", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
 
 
