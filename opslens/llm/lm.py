@@ -8,18 +8,21 @@ most likely when each token is left out of the counts that predict it (l = 0 lea
 
 Texts are dealt into chunks by hash. Each chunk sends the counts of its words and pairs, as sorted hashes, to hash
 buckets that hold the sum over the corpus, and gets back the sum for each of them: its own part of the automaton. No
-task holds the whole model, and what is exchanged grows with the distinct pairs of the chunks.
+task holds the whole model, and what is exchanged, in bytes and in rows, grows with the distinct pairs of the chunks: a
+chunk writes to a bucket only if it has words or pairs there.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opslens.llm.common import runs
 from opslens.session import frozen
 
 #: Bytes of text of a chunk and of the texts whose grams share a bucket, about.
@@ -97,10 +100,9 @@ class _Grams:
         self.words, self.word_at = np.unique(word >> self.drop, return_inverse=True)
         self.pairs, self.pair_at = np.unique(pair >> self.drop, return_inverse=True)
 
-    def slices(self, kind: np.ndarray, log2_buckets: int) -> np.ndarray:
-        """Where each bucket's part of a sorted array begins and ends."""
-        base = np.arange(1, 1 << log2_buckets, dtype=np.uint64) << np.uint64(64 - log2_buckets - int(self.drop)) if log2_buckets else np.empty(0, np.uint64)
-        return np.concatenate([[0], np.searchsorted(kind, base), [len(kind)]])
+    def buckets(self, kind: np.ndarray, log2_buckets: int) -> np.ndarray:
+        """The bucket of each, by its highest bits; in order, as the array is."""
+        return kind >> np.uint64(64 - log2_buckets - int(self.drop))
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -115,33 +117,54 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _pack_counts(n: np.ndarray) -> bytes:
-    """Counts in a byte each; those from 255 on follow in four bytes each."""
+    """Counts in a byte each; those from 255 on follow in four bytes each, those beyond four bytes in eight more."""
     small = np.minimum(n, 255).astype(np.uint8)
-    return np.array([len(n)], "<u8").tobytes() + small.tobytes() + n[small == 255].astype("<u4").tobytes()
+    large = n[small == 255]
+    middle = np.minimum(large, 2**32 - 1)
+    return b"".join([np.array([len(n)], "<u8").tobytes(), small.tobytes(), middle.astype("<u4").tobytes(),
+                     large[middle == 2**32 - 1].astype("<u8").tobytes()])
 
 
 def _unpack_counts(raw: bytes) -> np.ndarray:
     n = int(np.frombuffer(raw, "<u8", 1)[0])
     counts = np.frombuffer(raw, np.uint8, n, 8).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(raw, "<u4", offset=8 + n)
+    large = np.flatnonzero(counts == 255)
+    counts[large] = np.frombuffer(raw, "<u4", len(large), 8 + n)
+    huge = large[counts[large] == 2**32 - 1]
+    counts[huge] = np.frombuffer(raw, "<u8", len(huge), 8 + n + 4 * len(large))
     return counts
 
 
+def train_totals(docs: DataFrame) -> tuple[int, int]:
+    """(tokens, distinct tokens) of the rows of ``docs`` (text) that are not held out: a word count of hashes, summed up in
+    each task first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, "text", CHUNK_BYTES):
+            word, n = np.unique(tokens(batch.column("text").to_pylist())[0], return_counts=True)
+            yield pa.record_batch({"word": pa.array(word.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+    counted = docs.filter("not held_out").select("text").mapInArrow(count, "word long, n long")
+    n, v = counted.groupBy("word").agg(F.sum("n").alias("n")).agg(F.sum("n"), F.count(F.lit(1))).first()
+    return n or 0, v
+
+
 def _ask(log2_buckets: int):
-    """Of a chunk: for each bucket, its words and pairs with their counts in the chunk's training texts."""
+    """Of a chunk: for each bucket in which it has any, its words and pairs with their counts in its training texts."""
 
     def ask(rows: pa.Table) -> pa.Table:
         g = _Grams(rows.column("text").to_pylist(), log2_buckets)
         train = ~np.asarray(rows.column("held_out"))[g.of]
         parts = {}
+        buckets = np.union1d(g.buckets(g.words, log2_buckets), g.buckets(g.pairs, log2_buckets))
         for name, kind, at in (("word", g.words, g.word_at), ("pair", g.pairs, g.pair_at)):
             n = np.bincount(at, weights=train, minlength=len(kind)).astype(np.int64)
-            cut = g.slices(kind, log2_buckets)
-            parts[name] = [_pack(kind[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-            parts[name + "_n"] = [_pack_counts(n[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-        size = 1 << log2_buckets
+            of = g.buckets(kind, log2_buckets)
+            cut = list(zip(np.searchsorted(of, buckets), np.searchsorted(of, buckets, side="right")))
+            parts[name] = [_pack(kind[a:b]) for a, b in cut]
+            parts[name + "_n"] = [_pack_counts(n[a:b]) for a, b in cut]
         return pa.table({
-            "chunk": pa.array([rows.column("chunk")[0].as_py()] * size, pa.int64()), "bucket": pa.array(range(size), pa.int64()),
+            "chunk": pa.array([rows.column("chunk")[0].as_py()] * len(buckets), pa.int64()), "bucket": pa.array(buckets.astype(np.int64)),
             **{k: pa.array(v, pa.binary()) for k, v in parts.items()}})
 
     return ask
@@ -155,15 +178,12 @@ def _answer(rows: pa.Table) -> pa.Table:
         counts = np.concatenate([_unpack_counts(x) for x in rows.column(name + "_n").to_pylist()])
         distinct, at = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(distinct)) if len(at) else np.empty(0)
-        found = np.split(np.minimum(total, 2**32 - 1).astype(np.int64)[at], np.cumsum([len(a) for a in asked])[:-1])
+        found = np.split(total.astype(np.int64)[at], np.cumsum([len(a) for a in asked])[:-1])
         out[name + "_n"] = pa.array([_pack_counts(f) for f in found], pa.binary())
-        if name == "word":
-            out["known"] = pa.array([int((total > 0).sum())] * len(asked), pa.int64())
-            out["total"] = pa.array([int(total.sum())] * len(asked), pa.int64())
     return pa.table(out)
 
 
-def _score(log2_buckets: int):
+def _score(log2_buckets: int, n: int, v: int):
     """Of a chunk: walks its texts through its part of the automaton, once for each weight of the grid."""
 
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
@@ -172,7 +192,6 @@ def _score(log2_buckets: int):
         answers = answers.sort_by("bucket")
         word_n = np.concatenate([_unpack_counts(x) for x in answers.column("word_n").to_pylist()]).astype(float)
         pair_n = np.concatenate([_unpack_counts(x) for x in answers.column("pair_n").to_pylist()]).astype(float)
-        v, n = sum(answers.column("known").to_pylist()), sum(answers.column("total").to_pylist())
         g = _Grams(rows.column("text").to_pylist(), log2_buckets)
         docs = rows.num_rows
         train = ~np.asarray(rows.column("held_out"))[g.of]
@@ -235,12 +254,13 @@ def score(docs: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
     log2_buckets = max(0, int(-(-size // BUCKET_BYTES) - 1).bit_length()) if size else 0
+    n, v = train_totals(rows)
     rows = rows.withColumn("chunk", F.pmod("_hash", F.lit(chunks))).drop("_hash").repartition("chunk")
     asked = rows.groupBy("chunk").applyInArrow(
         _ask(log2_buckets), "chunk long, bucket long, word binary, word_n binary, pair binary, pair_n binary")
     answers = asked.groupBy("bucket").applyInArrow(
-        _answer, "chunk long, bucket long, word_n binary, known long, total long, pair_n binary")
-    walked = frozen(rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(log2_buckets), _OUT_DDL))
+        _answer, "chunk long, bucket long, word_n binary, pair_n binary")
+    walked = frozen(rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(log2_buckets, n, v), _OUT_DDL))
     likely = walked.filter("left_out is not null").agg(
         *[F.coalesce(F.sum(F.element_at("left_out", i + 1)), F.lit(0.0)) for i in range(CLASSES * len(GRID))]).first()
     likely = np.array(likely, float).reshape(CLASSES, len(GRID))

@@ -599,3 +599,33 @@ def test_language_stage_drops_only_what_it_rejects(spark, docs, sf_dir):
     extra = spark.createDataFrame([(-1, None), (-2, "123 456"), (-3, "жщ цйъ фыва " * 20)], "doc_id long, text string")
     kept = corpus_pipeline.keep_known_languages(spark, docs.unionByName(extra, allowMissingColumns=True), sf_dir)
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_counts_survive_the_exchange_at_any_size():
+    for n in ([], [0], [1, 254, 255, 256], [2**32 - 2, 7, 2**32 - 1, 2**32, 255, 2**40, 0]):
+        assert lm._unpack_counts(lm._pack_counts(np.array(n, np.int64))).tolist() == n
+
+
+@pytest.mark.parametrize("log2_buckets", [0, 3, 16, 20])
+def test_chunk_writes_only_to_buckets_it_has_grams_in(log2_buckets):
+    import pyarrow as pa
+
+    texts = [b"a b a b c", b"", None, b"B c"]
+    rows = pa.table({"chunk": pa.array([5] * 4, pa.int64()), "text": pa.array(texts, pa.binary()), "held_out": [False, False, True, False]})
+    asked = lm._ask(log2_buckets)(rows)
+    assert asked.num_rows <= min(1 << log2_buckets, 4 + 7)
+    buckets = asked.column("bucket").to_pylist()
+    assert buckets == sorted(set(buckets)) and max(buckets) < 1 << log2_buckets
+    answers = lm._answer(asked)
+    for name, most in (("word_n", [2, 2, 3, 3]), ("pair_n", [1, 1, 1, 1, 2, 2, 2])):
+        counts = np.concatenate([lm._unpack_counts(x) for x in answers.column(name).to_pylist()]).tolist()
+        assert sorted(counts) == most
+
+
+def test_train_totals(spark, docs):
+    table = docs.select("doc_id", F.col("text").cast("binary").alias("text"), (F.col("doc_id") % 5 == 1).alias("held_out"))
+    seen = Counter()
+    for row in docs.filter("doc_id % 5 != 1").select("text").collect():
+        seen.update([*words(low(row.text or "")), None])
+    assert lm.train_totals(table) == (sum(seen.values()), len(seen))
+    assert lm.train_totals(table.limit(0)) == (0, 0)
