@@ -11,6 +11,7 @@ vectors; while it is too low, the search is repeated with more overlap.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -244,6 +245,7 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
     itself included; kept: it is its own. Vectors that are null, zero, or hold null or non-finite components link
     with nothing and are their own class; vectors of different lengths are an error; copies of a vector are linked
     to each other; rows with a null vec_id have a null component and are not kept; an empty table gives no rows.
+    A recall below ``recall`` after the last of ``overlaps`` is a warning.
     """
     spark = rows.sparkSession
     base = rows.select("vec_id", F.when(F.col("vec_id").isNotNull() & usable("embedding"), F.col("embedding").cast("array<double>")).alias("v"))
@@ -271,6 +273,8 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
         true, hit = truth.join(links, "vec_id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
         if hit >= recall * true or len(centres.value) <= overlap:
             break
+    if hit < recall * true:
+        warnings.warn(f"audit: {hit} of {true} links found with {overlap} shards for each vector; give larger overlaps", stacklevel=2)
     joined = components(found.filter("a is not null").select("a", "b"))
     known = reps.join(links, "vec_id", "left").join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left").select(
         "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))

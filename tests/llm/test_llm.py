@@ -629,3 +629,10 @@ def test_train_totals(spark, docs):
         seen.update([*words(low(row.text or "")), None])
     assert lm.train_totals(table) == (sum(seen.values()), len(seen))
     assert lm.train_totals(table.limit(0)) == (0, 0)
+
+
+def test_audit_short_of_recall_warns(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.warns(UserWarning, match="audit"):
+        out = neargraph.near_duplicates(rows, recall=2.0).collect()
+    assert {r.vec_id: r.component_id for r in out} == {1: 1, 2: 1, 3: 3}
