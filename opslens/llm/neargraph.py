@@ -6,13 +6,15 @@ factor. The adjacency lists of a vector from all its shards are united. Then eac
 the medoid and the vector's own node a greedy search walks to the vector's surroundings, and as long as nodes in range
 turn up, their neighbours are looked at too. What is found is verified with the original vectors in double precision.
 A pair that meets in several shards counts in the first of them. Recall is audited by brute force on a bounded set of
-vectors; while it is too low, the search is repeated with more overlap.
+vectors; while it is too low, the search is repeated with more overlap. If it stays too low (a dense group spread over
+many shards), all vectors are compared with each other, slice by slice.
 """
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ DEGREE, NEAREST, RANDOM, ALPHA = 16, 48, 8, 1.2
 WIDTH, SLACK = 12, 0.08
 AUDIT, RECALL = 256, 0.99
 _BLOCK = 256
+#: Bytes of vectors that are compared with all others at a time, and the rows of both sides of one product.
+SLICE_BYTES, _LEFT, _RIGHT = 32 << 20, 512, 4096
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -238,6 +242,76 @@ def _exact(asked, limit: float):
     return exact
 
 
+def _joined(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and each column of a matrix of links, the smallest column it reaches; the number of columns if none."""
+    none = hit.shape[1]
+    columns = np.where(hit.any(0), np.arange(none), none)
+    while True:
+        rows = np.where(hit, columns[None, :], none).min(1)
+        low = np.minimum(columns, np.where(hit, rows[:, None], none).min(0))
+        if np.array_equal(low, columns):
+            return rows, columns
+        columns = low
+
+
+def _against(asked, limit: float):
+    """For each vector of a slice the copies of those it links to among the rows of a task, and edges that join what is linked."""
+
+    def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, x = asked.value
+        norms, links = np.linalg.norm(x, axis=1), np.zeros(len(ids), np.int64)
+        fa, fb, held = [], [], 0
+        for batch in batches:
+            others, copies = np.asarray(batch.column("vec_id")), np.asarray(batch.column("copies"))
+            v = matrix(batch.column("v")) if batch.num_rows else np.empty((0, x.shape[1]))
+            lengths = np.linalg.norm(v, axis=1)
+            for lo in range(0, len(v), _LEFT):
+                a = slice(lo, lo + _LEFT)
+                for at in range(0, len(x), _RIGHT):
+                    b = slice(at, at + _RIGHT)
+                    sim = v[a] @ x[b].T / (lengths[a, None] * norms[None, b])
+                    hit = sim >= limit
+                    # A product may round otherwise than the sum over one pair does.
+                    i, j = np.nonzero(np.abs(sim - limit) < 1e-12)
+                    hit[i, j] = np.einsum("ij,ij->i", v[a][i], x[b][j]) / (lengths[a][i] * norms[b][j]) >= limit
+                    hit &= others[a, None] != ids[None, b]
+                    if not hit.any():
+                        continue
+                    links[b] += copies[a] @ hit
+                    row, column = _joined(hit)
+                    for own, top in ((others[a], row), (ids[b], column)):
+                        some = top < hit.shape[1]
+                        fa.append(own[some])
+                        fb.append(ids[b][top[some]])
+                        held += len(fa[-1])
+                    if held > 1 << 20:
+                        fa, fb = ([z] for z in forest(np.concatenate(fa), np.concatenate(fb)))
+                        held = len(fa[0])
+        some = links > 0
+        fa, fb = forest(np.concatenate(fa), np.concatenate(fb)) if fa else (ids[:0], ids[:0])
+        yield pa.record_batch({
+            "vec_id": pa.concat_arrays([pa.array(ids[some]), pa.nulls(len(fa), pa.int64())]),
+            "links": pa.concat_arrays([pa.array(links[some]), pa.nulls(len(fa), pa.int64())]),
+            "a": pa.concat_arrays([pa.nulls(int(some.sum()), pa.int64()), pa.array(fa)]),
+            "b": pa.concat_arrays([pa.nulls(int(some.sum()), pa.int64()), pa.array(fb)])})
+
+    return against
+
+
+def compare_all(reps: DataFrame, total: int, limit: float) -> DataFrame:
+    """vec_id, links, a, b as the search in the shards finds them, from all ``total`` vectors compared with all."""
+    slices = -(-total * lengths_agree(reps) * 8 // SLICE_BYTES)
+    cut = frozen(reps.select("vec_id", "copies", "v", F.pmod(F.xxhash64("v", F.lit(3)), F.lit(slices)).alias("slice")))
+    found = []
+    for k in range(slices):
+        part = cut.filter(F.col("slice") == k).select("vec_id", "v").toArrow()
+        if part.num_rows:
+            asked = reps.sparkSession.sparkContext.broadcast((np.asarray(part.column("vec_id")), matrix(part.column("v"))))
+            found.append(frozen(cut.select("vec_id", "copies", "v").mapInArrow(_against(asked, limit), "vec_id long, links long, a long, b long")))
+            asked.destroy()
+    return reduce(DataFrame.unionByName, found)
+
+
 def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL, shard: int = SHARD, overlaps=OVERLAPS) -> DataFrame:
     """One row for each row of ``rows`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
@@ -245,7 +319,8 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
     itself included; kept: it is its own. Vectors that are null, zero, or hold null or non-finite components link
     with nothing and are their own class; vectors of different lengths are an error; copies of a vector are linked
     to each other; rows with a null vec_id have a null component and are not kept; an empty table gives no rows.
-    A recall below ``recall`` after the last of ``overlaps`` is a warning.
+    If the audited recall is below ``recall`` after the last of ``overlaps``, there is a warning and every pair is compared:
+    the result is exact then, at a cost that grows with the square of the number of distinct vectors.
     """
     spark = rows.sparkSession
     base = rows.select("vec_id", F.when(F.col("vec_id").isNotNull() & usable("embedding"), F.col("embedding").cast("array<double>")).alias("v"))
@@ -274,7 +349,9 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
         if hit >= recall * true or len(centres.value) <= overlap:
             break
     if hit < recall * true:
-        warnings.warn(f"audit: {hit} of {true} links found with {overlap} shards for each vector; give larger overlaps", stacklevel=2)
+        warnings.warn(f"audit: {hit} of {true} links found with {overlap} shards for each vector; all are compared instead", stacklevel=2)
+        found = compare_all(reps, total, limit)
+        links = found.filter("vec_id is not null").groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(found.filter("a is not null").select("a", "b"))
     known = reps.join(links, "vec_id", "left").join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left").select(
         "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))

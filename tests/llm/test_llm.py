@@ -636,3 +636,17 @@ def test_audit_short_of_recall_warns(spark):
     with pytest.warns(UserWarning, match="audit"):
         out = neargraph.near_duplicates(rows, recall=2.0).collect()
     assert {r.vec_id: r.component_id for r in out} == {1: 1, 2: 1, 3: 3}
+
+
+def test_dense_group_over_many_shards_is_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(neargraph, "SLICE_BYTES", 64 * 8 * 500)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1500, 64))
+    x[:1200] = rng.normal(size=64) + 0.23 * rng.normal(size=(1200, 64))
+    x[-20:] = x[0]
+    hit = true_links(x)
+    with pytest.warns(UserWarning, match="audit"):
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = neargraph.near_duplicates(rows, shard=10, overlaps=(3,)).toPandas().sort_values("vec_id")
+    assert got.n_links.tolist() == (hit.sum(1) - 1).tolist()
+    assert got.component_id.tolist() == brute_classes(hit).tolist()
