@@ -6,8 +6,10 @@ factor. The adjacency lists of a vector from all its shards are united. Then eac
 the medoid and the vector's own node a greedy search walks to the vector's surroundings, and as long as nodes in range
 turn up, their neighbours are looked at too. What is found is verified with the original vectors in double precision.
 A pair that meets in several shards counts in the first of them. Recall is audited by brute force on a bounded set of
-vectors; while it is too low, the search is repeated with more overlap. If it stays too low (a dense group spread over
-many shards), all vectors are compared with each other, slice by slice.
+vectors, each of which counts once; while too few have all their links, the search is repeated with more overlap. Links
+may be too rare to be among those, so the overlap starts where probes made at just the limit share a shard with the
+vectors they are made from. If recall stays too low (a dense group spread over many shards), all vectors are compared
+with each other, slice by slice.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ DEGREE, NEAREST, RANDOM, ALPHA = 16, 48, 8, 1.2
 #: Nodes of the greedy search's list, and by how much nodes may miss the range and still be walked over.
 WIDTH, SLACK = 12, 0.08
 AUDIT, RECALL = 256, 0.99
+#: Probes for each audited vector: vectors made at just the limit from it, which must share a shard with it.
+PROBES = 16
 _BLOCK = 256
 #: Bytes of vectors that are compared with all others at a time, and the rows of both sides of one product.
 SLICE_BYTES, _LEFT, _RIGHT = 32 << 20, 512, 4096
@@ -144,6 +148,33 @@ def search(u: np.ndarray, graph: np.ndarray, limit: float) -> tuple[np.ndarray,
     return np.concatenate(found_q), np.concatenate(found_v)
 
 
+def meeting(u: np.ndarray, centres: np.ndarray, limit: float, overlap: int) -> float:
+    """Share of the probes, made at cosine ``limit`` from the unit vectors in random directions, that share a shard with
+    the vector they are made from if each has the shards of its ``overlap`` nearest centres."""
+    if overlap >= len(centres):
+        return 1.0
+    rng = np.random.default_rng(11)
+    met = 0
+    own = np.argpartition(-(u @ centres.T), overlap - 1, axis=1)[:, :overlap]
+    for _ in range(PROBES):
+        side = rng.normal(size=u.shape)
+        side -= np.einsum("ij,ij->i", side, u)[:, None] * u
+        side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-300)
+        probes = limit * u + np.sqrt(max(1 - limit * limit, 0)) * side
+        theirs = np.argpartition(-(probes @ centres.T), overlap - 1, axis=1)[:, :overlap]
+        met += int((own[:, :, None] == theirs[:, None, :]).any((1, 2)).sum())
+    return met / (PROBES * len(u))
+
+
+def _steps(overlaps, u: np.ndarray, centres: np.ndarray, limit: float, recall: float, shard: int, total: int) -> list[int]:
+    """The overlaps to try: those with which enough probes meet their vector; beyond the given ones doubled, as long as the
+    shards make fewer pairs than comparing all vectors does."""
+    steps = list(overlaps)
+    while steps[-1] < len(centres) and (2 * steps[-1]) ** 2 * shard < total:
+        steps.append(2 * steps[-1])
+    return [k for k in steps if meeting(u, centres, limit, k) >= recall]
+
+
 def _assign(centres, overlap: int):
     """Rows once for each of the shards of their nearest centres, which they all name, in order."""
 
@@ -319,8 +350,8 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
     itself included; kept: it is its own. Vectors that are null, zero, or hold null or non-finite components link
     with nothing and are their own class; vectors of different lengths are an error; copies of a vector are linked
     to each other; rows with a null vec_id have a null component and are not kept; an empty table gives no rows.
-    If the audited recall is below ``recall`` after the last of ``overlaps``, there is a warning and every pair is compared:
-    the result is exact then, at a cost that grows with the square of the number of distinct vectors.
+    If fewer than ``recall`` of the audited vectors have all their links, or of the probes share a shard, after the last of
+    ``overlaps`` and of those that cost less than every pair, there is a warning and every pair is compared: the result is exact then, at a cost that grows with the square of the number of distinct vectors.
     """
     spark = rows.sparkSession
     base = rows.select("vec_id", F.when(F.col("vec_id").isNotNull() & usable("embedding"), F.col("embedding").cast("array<double>")).alias("v"))
@@ -338,18 +369,22 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
     sample = reps.orderBy(F.xxhash64("vec_id")).limit(AUDIT).toArrow()
     asked = spark.sparkContext.broadcast((np.asarray(sample.column("vec_id")), matrix(sample.column("v"))))
     truth = frozen(reps.mapInArrow(_exact(asked, limit), "vec_id long, true long").groupBy("vec_id").agg(F.sum("true").alias("true")))
-    for overlap in overlaps:
+    found = None
+    steps = _steps(overlaps, _unit(asked.value[1]), centres.value, limit, recall, shard, total)
+    for overlap in steps:
         placed = frozen(reps.select("vec_id", "copies", "v").mapInArrow(
             _assign(centres, overlap), "shard long, shards array<int>, vec_id long, copies long, v array<double>"))
         graph = placed.groupBy("shard").applyInArrow(_build, "vec_id long, near array<long>")
         united = graph.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
         found = frozen(placed.join(united, "vec_id").groupBy("shard").applyInArrow(_walk(limit), "vec_id long, links long, a long, b long"))
         links = found.filter("vec_id is not null").groupBy("vec_id").agg(F.sum("links").alias("links"))
-        true, hit = truth.join(links, "vec_id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
+        true, hit = truth.filter(F.col("true") > 0).join(links, "vec_id", "left").agg(
+            F.count(F.lit(1)), F.count_if(F.coalesce("links", F.lit(0)) >= F.col("true"))).first()
         if hit >= recall * true or len(centres.value) <= overlap:
             break
-    if hit < recall * true:
-        warnings.warn(f"audit: {hit} of {true} links found with {overlap} shards for each vector; all are compared instead", stacklevel=2)
+    if found is None or hit < recall * true:
+        said = f"{hit} of {true} vectors had all their links with {overlap}" if found is not None else f"probes are lost with {max(overlaps)}"
+        warnings.warn(f"audit: {said} shards for each vector; all are compared instead", stacklevel=2)
         found = compare_all(reps, total, limit)
         links = found.filter("vec_id is not null").groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(found.filter("a is not null").select("a", "b"))

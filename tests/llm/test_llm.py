@@ -650,3 +650,18 @@ def test_dense_group_over_many_shards_is_compared_in_full(spark, monkeypatch):
         got = neargraph.near_duplicates(rows, shard=10, overlaps=(3,)).toPandas().sort_values("vec_id")
     assert got.n_links.tolist() == (hit.sum(1) - 1).tolist()
     assert got.component_id.tolist() == brute_classes(hit).tolist()
+
+
+def test_overlap_grows_until_rare_pairs_meet(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=(300, 64))
+    side -= (side * x[:300]).sum(1, keepdims=True) * x[:300]
+    x[-300:] = 0.905 * x[:300] + np.sqrt(1 - 0.905**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    assert neargraph.meeting(x[:256], x[300:600], 0.9, 3) < 0.95 and neargraph.meeting(x[:256], x[300:600], 0.9, 300) == 1
+    hit = true_links(x)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neargraph.near_duplicates(rows, shard=10).toPandas().sort_values("vec_id")
+    assert (got.n_links == hit.sum(1) - 1).mean() >= 0.99
+    assert (got.n_links[:300] == hit.sum(1)[:300] - 1).mean() >= 0.98
