@@ -258,27 +258,15 @@ def main_text(html: str | None) -> str:
     while up is not body and up.parent is not None:
         up = up.parent
         limit = min(limit, up.density)
-    named = [n for n in tree.nodes if n.tag in ("article", "main") and not n.cut]
-    if any(_inside(best, n) for n in named):
-        # The page says where its article is, and the densest text lies there.
-        for n in named:
-            n.content = n.chars > 0
-    else:
-        todo = [body]
-        while todo:
-            n = todo.pop()
-            if n.density >= limit:
-                _best(n).content = True
-                todo.extend(c for c in n.children if isinstance(c, _Node) and not c.cut)
+    todo = [body]
+    while todo:
+        n = todo.pop()
+        if n.density >= limit:
+            _best(n).content = True
+            todo.extend(c for c in n.children if isinstance(c, _Node) and not c.cut)
     return "\n\n".join(_blocks(body))
 
 
-def _inside(n: _Node | None, outer: _Node) -> bool:
-    while n is not None and n is not outer:
-        n = n.parent
-    return n is outer
-
-
 def _blocks(body: _Node) -> Iterator[str]:
     """Blocks of text inside content nodes, in page order."""
     held: list[str] = []

@@ -665,3 +665,14 @@ def test_overlap_grows_until_rare_pairs_meet(spark):
     got = neargraph.near_duplicates(rows, shard=10).toPandas().sort_values("vec_id")
     assert (got.n_links == hit.sum(1) - 1).mean() >= 0.99
     assert (got.n_links[:300] == hit.sum(1)[:300] - 1).mean() >= 0.98
+
+
+STORY = "Words of a long paragraph that runs on and on for a while. " * 5
+TEASERS = "".join(f"<article><a href=/{i}>Another story {i}</a> <a href=/{i}>More on it</a></article>" for i in range(4))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><article><h1>Title</h1><p>{STORY}</p><p>{STORY}</p></article>{TEASERS}</body>",
+    f"<body><main><div><h1>Title</h1><p>{STORY}</p><p>{STORY}</p></div><div>{TEASERS}</div><p><a href=/t>Terms</a> <a href=/p>Privacy</a></p></main></body>"])
+def test_density_decides_on_pages_with_named_elements(page):
+    assert html.main_text(page).split("\n\n") == ["Title", STORY.strip(), STORY.strip()]
