@@ -13,6 +13,7 @@ import math
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -170,9 +171,55 @@ class _Tree:
                 return
 
 
+def _spared(nodes: list[_Node], wraps: set[int]) -> set[int]:
+    """Marked nodes that are no part to cut but hold the story, as in class="page has-sidebar": those that hold a main;
+    those with an article or h1 in them and at least as much text as any of these beside them; and, if none is
+    beside them, those with most of the page's text."""
+    if not any(n.marks for n in nodes):
+        return set()
+    at = {id(n): i for i, n in enumerate(nodes)}
+    end = list(range(1, len(nodes) + 1))  # nodes stand in page order: those below i are i + 1 .. end[i] - 1
+    text, plain = [0] * len(nodes), [0] * len(nodes)
+    main, off, head = [False] * len(nodes), [False] * len(nodes), [False] * len(nodes)
+    for i, n in enumerate(nodes):
+        up = at[id(n.parent)] if i else 0
+        off[i] = n.cut or i > 0 and off[up] or n.tag in CUT and not (n.tag in ("form", "fieldset") and id(n) in wraps)
+        head[i] = n.tag == "header" or i > 0 and head[up] and n.tag not in ("article", "main")
+    for i in range(len(nodes) - 1, -1, -1):
+        n = nodes[i]
+        if not off[i]:
+            text[i] += sum(len(" ".join(c.split())) for c in n.children if isinstance(c, str))
+        if i:
+            up = at[id(n.parent)]
+            text[up] += text[i]
+            plain[up] += 0 if n.marks else text[i]
+            end[up] = max(end[up], end[i])
+            main[up] |= main[i] or n.tag == "main"
+    named = [not off[i] and (n.tag in ("article", "main") or n.tag == "h1" and not head[i]) for i, n in enumerate(nodes)]
+    # An h1 stands for what is beside it and not marked.
+    weight = [plain[at[id(n.parent)]] if n.tag == "h1" and i else text[i] for i, n in enumerate(nodes)]
+    before, after = [-1] * (len(nodes) + 1), [-1] * (len(nodes) + 1)
+    for i, is_named in enumerate(named):
+        if is_named:
+            before[end[i]] = max(before[end[i]], weight[i])
+    for i in range(len(nodes)):
+        before[i + 1] = max(before[i + 1], before[i])
+    for i in range(len(nodes) - 1, -1, -1):
+        after[i] = max(after[i + 1], weight[i] if named[i] else -1)
+    count = [0, *accumulate(named)]
+    spared = set()
+    for i, n in enumerate(nodes):
+        if n.marks and text[i]:
+            beside = max(before[i], after[end[i]])
+            inside = count[end[i]] > count[i + 1]
+            if main[i] or (text[i] >= beside if inside else beside < 0 and 2 * text[i] > text[0]):
+                spared.add(id(n))
+    return spared
+
+
 def _prune(nodes: list[_Node]) -> None:
-    """Marks the nodes that are cut off. A form stays if it wraps the page's article; a header inside an article
-    keeps its headings."""
+    """Marks the nodes that are cut off. A form stays if it wraps the page's article, a marked element if it holds the
+    story; a header inside an article keeps its headings."""
     wraps = set()
     for n in nodes:
         if n.tag in ("article", "main", "h1"):
@@ -180,10 +227,13 @@ def _prune(nodes: list[_Node]) -> None:
             while up is not None and id(up) not in wraps:
                 wraps.add(id(up))
                 up = up.parent
+    spared = _spared(nodes, wraps)
     for n in nodes[1:]:
         if n.cut or n.parent.cut:
             n.cut = True
             continue
+        if id(n) in spared and n.tag not in CUT and n.tag != "header":
+            continue
         head = n.tag == "header" or bool(n.marks & _HEADER)
         if n.tag in CUT:
             n.cut = not (n.tag in ("form", "fieldset") and id(n) in wraps)

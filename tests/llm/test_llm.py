@@ -676,3 +676,15 @@ TEASERS = "".join(f"<article><a href=/{i}>Another story {i}</a> <a href=/{i}>Mor
     f"<body><main><div><h1>Title</h1><p>{STORY}</p><p>{STORY}</p></div><div>{TEASERS}</div><p><a href=/t>Terms</a> <a href=/p>Privacy</a></p></main></body>"])
 def test_density_decides_on_pages_with_named_elements(page):
     assert html.main_text(page).split("\n\n") == ["Title", STORY.strip(), STORY.strip()]
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='page has-sidebar'>", "<div class='no-comments'>", "<div id='site-with-menu'>", "<div class='post share-enabled'>", "<div class='no-header'>"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "{}"])
+def test_marked_wrappers_do_not_empty_the_page(wrapper, inner):
+    story = inner.format(f"<h1>Title</h1><p>{STORY}</p><p>{STORY}</p>")
+    page = (f"<body><header><h1>Site</h1></header>{wrapper}{story}<div class=sidebar><article><p>Some other story</p></article></div>"
+            f"<div id=comments><article><p>A comment of a reader</p></article></div></div></body>")
+    assert html.main_text(page).split("\n\n") == ["Title", STORY.strip(), STORY.strip()]
+    plain = f"<body><header><h1>Site</h1></header>{wrapper}<p>{STORY}</p><p>{STORY}</p><div class=sidebar>Side</div></div><footer>Foot</footer></body>"
+    assert html.main_text(plain).split("\n\n") == [STORY.strip(), STORY.strip()]
