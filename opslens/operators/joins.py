@@ -222,19 +222,31 @@ def skew_corrected_logs(logs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def span_depths(spans: DataFrame) -> DataFrame:
-    """(trace_id, span_no, depth) of every span that its root reaches: one join per level, until a level is empty.
+    """(trace_id, span_no, depth) of every span that a root is above; the least depth if there are several ways up.
 
-    A span number that was reached before is not reached again, so circles end.
+    Pointer doubling: each span holds a span above it and how far that is. A round replaces it by the one that that
+    span holds, so distances double and a chain of n spans takes about log2(n) rounds. Spans that still point upwards
+    when the distance exceeds the spans of the largest trace hang in a circle; they have no depth, nor have orphans.
     """
-    rows = frozen(spans.select("trace_id", "span_no", "parent_no").distinct())
-    level = frozen(rows.where("parent_no IS NULL").select("trace_id", "span_no").distinct().withColumn("depth", F.lit(0)))
-    found = level
-    while not level.isEmpty():
-        above = level.select("trace_id", F.col("span_no").alias("parent_no"), (F.col("depth") + 1).alias("depth"))
-        below = rows.join(above, ["trace_id", "parent_no"]).select("trace_id", "span_no", "depth").distinct()
-        level = frozen(below.join(found.select("trace_id", "span_no"), ["trace_id", "span_no"], "left_anti"))
-        found = found.unionByName(level)
-    return found
+    at_root = F.col("parent_no").isNull()
+    state = frozen(spans.select(
+        "trace_id", "span_no", F.col("parent_no").alias("up"), F.when(at_root, 0).otherwise(1).cast("bigint").alias("dist")).distinct())
+    longest = state.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    several = not state.groupBy("trace_id", "span_no").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    reach = 1
+    while reach <= longest and not state.where("up IS NOT NULL").isEmpty():
+        above = state.select("trace_id", F.col("span_no").alias("up"), F.col("up").alias("up2"), F.col("dist").alias("dist2"))
+        moved = state.where("up IS NOT NULL").join(above, ["trace_id", "up"]).select(
+            "trace_id", "span_no", F.col("up2").alias("up"), (F.col("dist") + F.col("dist2")).alias("dist"))
+        state = state.where("up IS NULL").unionByName(moved)
+        if several:  # ways that meet again are one
+            state = state.groupBy("trace_id", "span_no", "up").agg(F.min("dist").alias("dist"))
+        state = frozen(state)
+        reach *= 2
+    found = state.where("up IS NULL")
+    if several:
+        found = found.groupBy("trace_id", "span_no").agg(F.min("dist").alias("dist"))
+    return found.select("trace_id", "span_no", F.col("dist").cast("int").alias("depth"))
 
 
 def span_tree(spans: DataFrame) -> DataFrame:
@@ -242,15 +254,16 @@ def span_tree(spans: DataFrame) -> DataFrame:
 
     The depth of orphans and of what hangs below them is NULL.
     """
-    cols = spans.select("trace_id", "span_no", "parent_no", "service", "duration_ms")
+    cols = frozen(spans.select("trace_id", "span_no", "parent_no", "service", "duration_ms"))
     children = cols.where("parent_no IS NOT NULL").groupBy("trace_id", F.col("parent_no").alias("span_no")).agg(
         F.sum("duration_ms").alias("child_ms")
     )
-    parents = cols.groupBy("trace_id", F.col("span_no").alias("parent_no")).agg(
-        F.max("duration_ms").alias("parent_ms")
-    )
-    joined = cols.join(children, ["trace_id", "span_no"], "left").join(parents, ["trace_id", "parent_no"], "left")
-    joined = joined.join(span_depths(spans), ["trace_id", "span_no"], "left")
+    # What is known of a span number in one row: how long it took, its children, its depth.
+    own = cols.groupBy("trace_id", "span_no").agg(F.max("duration_ms").alias("own_ms"))
+    known = own.join(children, ["trace_id", "span_no"], "left").join(span_depths(cols), ["trace_id", "span_no"], "left")
+    joined = cols.join(known.drop("own_ms"), ["trace_id", "span_no"], "left")
+    parents = own.select("trace_id", F.col("span_no").alias("parent_no"), F.col("own_ms").alias("parent_ms"))
+    joined = joined.join(parents, ["trace_id", "parent_no"], "left")
     child = F.coalesce("child_ms", F.lit(0.0))
     return joined.groupBy("service", "depth").agg(
         F.count(F.lit(1)).alias("spans"), F.round(F.sum(child), 2).alias("child_ms"),

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from opslens.functions.intervals import first_interval
 from opslens.functions.quantiles import exact_quantiles
-from opslens.functions.scalars import grid_floor, half_up, is_absent, ratio, share_of, within_half_open
-from opslens.session import frozen
+from opslens.functions.running import running
+from opslens.functions.scalars import grid_floor, half_up, is_absent, micros, ratio, share_of, within_half_open
+from opslens.session import frozen, within
 
+#: Rows that a window without a key may order in one task; more are ordered in slices.
+PLAIN = 10_000
 
 # Saturation weights, noise bands, noise classes, seasonal curve and coherence floors.
 SATURATION_BASE = 0.15
@@ -211,12 +214,25 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def alert_quality(alerts: DataFrame, windows: DataFrame) -> DataFrame:
-    """tp: alerts inside any window; fp: outside all; fn: windows without an alert."""
-    tagged = first_interval(alerts, "ts", windows, "window_id", "hits", "w0", "w1", "window_id", every=True)
-    inside = F.coalesce(F.size("hits"), F.lit(0)) > 0
-    counted = tagged.agg(F.count_if(inside).alias("tp"), F.count_if(~inside).alias("fp"))
-    seen = tagged.where(inside).select(F.explode("hits").alias("window_id")).distinct()
-    missed = windows.join(seen, "window_id", "left_anti").agg(n_rows().alias("fn"))
+    """tp: alerts inside any window; fp: outside all; fn: windows without an alert.
+
+    Windows are cut into disjoint pieces. A window without an alert is one whose start is followed by none of its
+    pieces that hold one, which is read off one sorted order of window starts and such pieces.
+    """
+    tagged = first_interval(alerts, "ts", windows, "window_id", "first", "w0", "w1", "window_id", piece="at")
+    per = frozen(tagged.groupBy("at").agg(n_rows().alias("n")))
+    count = F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))
+    counted = per.agg(F.coalesce(F.sum(F.when(F.col("at").isNotNull(), F.col("n"))), F.lit(0).cast("bigint")).alias("tp"), count.alias("_all"))
+    counted = counted.select("tp", (F.col("_all") - F.col("tp")).alias("fp"))
+    starts = windows.select(micros("w0").alias("t"), F.lit(0).alias("k"), F.col("window_id").alias("id"), micros("w1").alias("end"))
+    held = per.where("at IS NOT NULL").select(F.col("at").alias("t"), F.lit(1).alias("k"), F.col("at").alias("held"))
+    both = starts.unionByName(held, allowMissingColumns=True)
+    if within(both, PLAIN):
+        after = W.orderBy(F.col("t").desc(), F.col("k").desc()).rowsBetween(W.unboundedPreceding, 0)
+        seen = both.withColumn("next_held", F.last("held", ignorenulls=True).over(after)).where("k = 0")
+    else:
+        seen = running(both, [], ["t", "k", "id"], next={"next_held": F.col("held")}).where("k = 0")
+    missed = seen.agg(F.count_if(F.coalesce(F.col("next_held") >= F.col("end"), F.lit(True))).alias("fn"))
     return one_row(counted, missed)
 
 

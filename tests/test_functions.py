@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opslens.functions import intervals
 from opslens.functions.intervals import first_interval
 from opslens.functions.quantiles import exact_quantiles
 from opslens.functions.running import running
@@ -59,6 +60,36 @@ def test_quantiles_with_salted_lookup(spark, monkeypatch):
         assert got[g] == pytest.approx(np.quantile([i for i in range(5000) if max(i % 3, 2 * (i < 4000)) == g], 0.95))
 
 
+@pytest.mark.parametrize("broadcast,how", [(0, "linear"), (100_000, "nearest")])
+def test_quantiles_narrow_until_few_values_are_ranked(spark, monkeypatch, broadcast, how):
+    import opslens.functions.quantiles as q
+
+    seen, narrow = [], q.narrowed
+
+    def watched(inside, wanted, keys):
+        out = narrow(inside, wanted, keys)
+        seen.append(out[0].groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(q, "MOST", 40)
+    monkeypatch.setattr(q, "narrowed", watched)
+    monkeypatch.setattr(q, "MAX_BROADCAST_GROUPS", broadcast)
+    rng = random.Random(8)
+    rows = [("hot", rng.random()) for _ in range(20_000)] + [("ties", rng.choice([1.0, 2.0, 1.0 + rng.random()])) for _ in range(6000)]
+    rows += [(None, rng.gauss(0, 1)) for _ in range(3000)] + [("one", 4.5), ("two", 1.0), ("two", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    probs = {"p0": 0.0, "p50": 0.5, "p95": 0.95}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs, how=how, extra={"n": F.count("x")}, accuracy=20).collect()}
+    assert got["none"]["p50"] is None and len(got) == 6
+    for g in {r[0] for r in rows} - {"none"}:
+        xs = [x for k, x in rows if k == g]
+        for name, p in probs.items():
+            assert got[g][name] == pytest.approx(np.quantile(xs, p) if how == "linear" else nearest(xs, p), abs=1e-9)
+    assert len(seen) == 3 and max(seen) <= 40
+    one = exact_quantiles(df.where("g = 'hot'"), [], "x", {"p": 0.7}, accuracy=20).first()
+    assert one.p == pytest.approx(np.quantile([x for g, x in rows if g == "hot"], 0.7), abs=1e-9)
+
+
 def test_running_kinds_with_a_hot_key_over_many_slices(spark):
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.8 else "cold", i, rng.choice([None, rng.randint(0, 99)])) for i in range(3000)]
@@ -109,8 +140,51 @@ def test_first_interval_half_open_priority_and_any_region(spark):
     df = spark.createDataFrame([(i, g, t0 + timedelta(minutes=m)) for i, (g, m) in enumerate(at)], "i int, g string, ts timestamp_ntz")
     got = first_interval(df, "ts", wins, "name", "hit", "a", "b", "p", region="g", window_region="r").orderBy("i").collect()
     assert [r["hit"] for r in got] == ["late", "first", "first", "late", "late", None, None, "late"]
-    every = first_interval(df, "ts", wins, "name", "hits", "a", "b", "p", every=True).orderBy("i").collect()
-    assert every[1]["hits"] == ["first", "late"]
+
+
+def slow_first(windows, t, g):
+    fits = [w for w in windows if w[2] <= t < w[3] and w[1] in ("*", g)]
+    return min(fits, key=lambda w: (w[4], w[2], w[3], w[0]))[0] if fits else None
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+def test_intervals_cut_by_spark_and_on_the_driver_agree_with_a_scan(spark, monkeypatch, small):
+    monkeypatch.setattr(intervals, "SMALL", small)
+    t0, rng = datetime(2024, 1, 1), random.Random(small)
+    wins = []
+    for i in range(150):
+        a = rng.randint(0, 300)
+        wins.append((f"w{i}", rng.choice("*AB"), t0 + timedelta(seconds=a), t0 + timedelta(seconds=a + rng.choice([0, 1, 5, 80])), rng.randint(0, 20)))
+    rows = [(i, rng.choice(["A", "B", "C", None]), t0 + timedelta(seconds=rng.randint(-5, 400))) for i in range(500)]
+    w = spark.createDataFrame(wins, "name string, r string, a timestamp_ntz, b timestamp_ntz, p int")
+    df = spark.createDataFrame(rows, "i int, g string, ts timestamp_ntz")
+    got = first_interval(df, "ts", w, "name", "hit", "a", "b", "p", region="g", window_region="r").collect()
+    assert {r.i: r.hit for r in got} == {i: slow_first(wins, t, g) for i, g, t in rows} and len(got) == len(rows)
+    plain = first_interval(df, "ts", w, "name", "hit", "a", "b", "p", piece="at").collect()
+    all_any = [(n, "*", a, b, p) for n, _, a, b, p in wins]
+    assert {r.i: r.hit for r in plain} == {i: slow_first(all_any, t, g) for i, g, t in rows}
+    edges = sorted({x for w_ in wins if w_[2] < w_[3] for x in w_[2:4]})
+    for r in plain:
+        assert (r.at is None) == (r.hit is None)
+        if r.hit:
+            assert t0 + timedelta(microseconds=r.at - 1704067200000000) == max(e for e in edges if e <= r.ts)
+
+
+def test_ten_thousand_windows_in_one_hour(spark):
+    """No row of any stage holds more than one window, and rows stay as many as they are."""
+    t0, n = datetime(2024, 1, 1), 10_000
+    w = spark.range(n).select(
+        F.col("id").alias("w"), (F.col("id") * 7919 % n).alias("p"), F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 100_000).alias("a"),
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 100_000 + 1_200_000_000 + F.col("id") % 13 * 50_000_000).alias("b"))
+    df = spark.range(2000).select("id", F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 1_800_000 + 7).alias("ts"))
+    got = {r.id: r.hit for r in first_interval(df, "ts", w, "w", "hit", "a", "b", "p").collect()}
+    a = np.arange(n) * 100_000
+    b, p = a + 1_200_000_000 + np.arange(n) % 13 * 50_000_000, np.arange(n) * 7919 % n
+    for i in range(2000):
+        open_ = np.flatnonzero((a <= i * 1_800_000 + 7) & (b > i * 1_800_000 + 7))
+        assert got[i] == (int(open_[p[open_].argmin()]) if len(open_) else None)
+    cut = intervals.pieces(w.select(F.struct("p", F.unix_micros("a").alias("a"), F.unix_micros("b").alias("b"), F.col("w").alias("v")).alias("_w")), [])
+    assert cut.count() <= 2 * n and cut.groupBy("_a").count().where("count > 1").isEmpty()
 
 
 def test_scalars(spark):

@@ -155,6 +155,18 @@ def test_span_depths_have_no_bound(spark):
     assert got == {**{f"s{i}": i for i in range(6)}, "loop": None}
 
 
+def test_a_thousand_levels_take_ten_rounds(spark, monkeypatch):
+    rounds, keep = [], joins.frozen
+    monkeypatch.setattr(joins, "frozen", lambda df: rounds.append(1) or keep(df))
+    chain = [("t", i, i - 1 if i else None) for i in range(1000)] + [("u", 1, 3), ("u", 2, 1), ("u", 3, 2), ("u", 4, 3), ("u", 9, 8)]
+    # Two ways up of different length, one of them through a circle.
+    chain += [("v", 0, None), ("v", 1, 0), ("v", 2, 1), ("v", 3, 2), ("v", 3, 0), ("v", 4, 3), ("v", 5, 6), ("v", 6, 5), ("v", 6, 4), (None, 1, None)]
+    s = spark.createDataFrame(random.Random(1).sample(chain, len(chain)), "trace_id string, span_no int, parent_no int").repartition(4)
+    got = {(r.trace_id, r.span_no): r.depth for r in joins.span_depths(s).collect()}
+    want = {("t", i): i for i in range(1000)} | {("v", 0): 0, ("v", 1): 1, ("v", 2): 2, ("v", 3): 1, ("v", 4): 2, ("v", 6): 3, ("v", 5): 4, (None, 1): 0}
+    assert got == want and len(rounds) <= 12
+
+
 def test_seasonal_mean_counts_days_without_rows(spark):
     rows = [(T0 + timedelta(days=1, minutes=i),) for i in range(6)] + [(T0 + timedelta(days=2, hours=9),)]
     got = {r.hour: r.observed for r in rollups.seasonal_profile(spark.createDataFrame(rows, "start_ts timestamp_ntz")).collect()}
