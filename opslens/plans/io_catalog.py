@@ -182,8 +182,8 @@ def stream_sliding_lookback(s, d):
 
 def stream_burst_sessions(s, d):
     m = _streamed(s, roles.circuit_samples(s, d).select("circuit_id", "ts", "value"), "samples")
-    return streams.as_zone_free(streams.run_closed(
-        streams.stream_burst_sessions(m, "circuit_id", "6 hours", BURST_MS), "sessions", ["circuit_id", "start_ts"], sessions=True))
+    return streams.as_zone_free(streams.run_sessions(
+        streams.stream_burst_sessions(m, "circuit_id", "6 hours", BURST_MS), "sessions", lambda state: streams.open_burst_sessions(state, "circuit_id")))
 
 
 def stream_late_rows(s, d):

@@ -86,3 +86,39 @@ def within(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after the row count was checked; otherwise leave a shuffle join."""
     return F.broadcast(df) if within(df, max_rows) else df
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path; works for any store that Spark can write to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+def small_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, such as a marker; None if there is none."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return None
+    source = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, at = file_system(spark, path)
+    to = fs.create(at, True)
+    to.write(bytearray(text.encode()))
+    to.close()

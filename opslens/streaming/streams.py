@@ -6,7 +6,9 @@ runners write to the shared folder, never to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from opslens.functions.running import running
 from opslens.functions.scalars import micros
-from opslens.session import scratch_path
+from opslens.session import path_exists, put_text, remove_path, scratch_path, small_text
+
+#: Batches whose progress Spark keeps while a bounded run is watched; far more than can end between two looks.
+WATCHED, LOOK_SECONDS = 5000, 2
 
 
 def read_stream(spark: SparkSession, like: DataFrame, path: str, max_files: int | None = None) -> DataFrame:
@@ -40,71 +45,127 @@ def run_append(
     """Run an append stream over all available input into Parquet and read it back.
 
     A later run with the same ``out`` goes on where the last one ended: its progress is kept in ``checkpoint``, by default
-    in a folder beside ``out``. One ``out`` belongs to one checkpoint; the sink takes the batches of another for done.
+    in a folder beside ``out``. One ``out`` belongs to one checkpoint; an ``out`` that another one has written is refused,
+    because the sink would take this one's batches for done.
     ``counts``, if given, receives under "dropped" the rows that came behind the watermark and were left out.
     """
     spark = df.sparkSession
     checkpoint = checkpoint or (f"{out.rstrip('/')}-progress" if out else scratch_path(spark, f"{name}-progress"))
     out = out or scratch_path(spark, name)
+    own = claim(spark, out, checkpoint)
     writer = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    dropped = _finish(writer.option("checkpointLocation", checkpoint).start(out))
+    with _watched(spark):
+        query = writer.option("checkpointLocation", checkpoint).start(out)
+        dropped = _finish(query)
+    if not own:
+        put_text(spark, f"{out}/_owner", query.id)
     if counts is not None:
         counts["dropped"] = dropped
     return spark.read.schema(df.schema).parquet(out)
 
 
+def claim(spark: SparkSession, out: str, checkpoint: str) -> bool:
+    """True if ``out`` is marked as written from ``checkpoint``, False if nothing has written it; else an error."""
+    known = small_text(spark, f"{checkpoint}/metadata")
+    mine = json.loads(known)["id"] if known else None
+    owner = small_text(spark, f"{out}/_owner")
+    if owner is None and path_exists(spark, f"{out}/_spark_metadata") and mine is None or owner is not None and owner != mine:
+        raise ValueError(f"{out} was written from another checkpoint than {checkpoint}")
+    return owner is not None
+
+
+@contextmanager
+def _watched(spark: SparkSession) -> Iterator[None]:
+    """While it holds, queries that start keep the progress of so many batches that none is missed between two looks."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, WATCHED)
+    try:
+        yield
+    finally:
+        spark.conf.set(kept, before)
+
+
 def _finish(query) -> int:
     """Wait for the end of a bounded run; returns the rows that its watermarks dropped."""
     dropped, done = {}, False
     while not done:
-        done = query.awaitTermination(5)
+        done = query.awaitTermination(LOOK_SECONDS)
         for p in query.recentProgress:
             dropped[p["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
     return sum(dropped.values())
 
 
-def run_closed(
-    df: DataFrame, name: str, keys: Sequence[str], sessions: bool = False, counts: dict[str, int] | None = None
-) -> DataFrame:
+def run_closed(df: DataFrame, name: str, keys: Sequence[str], counts: dict[str, int] | None = None) -> DataFrame:
     """Run over all available input as ``run_append``, but keep the windows that are still open at its end.
 
-    Each batch writes the windows it changed; the latest row per ``keys`` counts. ``sessions``: session windows can only
-    be written whole, so their state holds all sessions of the run, and each input task merges its own rows first.
+    Each batch writes the windows it changed; the latest row per ``keys`` counts.
     """
     def write(batch, no, out):
         batch.withColumn("batch", F.lit(no).cast("bigint")).write.mode("overwrite").parquet(f"{out}/no={no}")
 
-    spark, merging = df.sparkSession, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-    before = spark.conf.get(merging)
-    if sessions:
-        spark.conf.set(merging, "true")
-    try:
-        out = run_batches(df, name, "complete" if sessions else "update", write, counts)
-    finally:
-        spark.conf.set(merging, before)
-    rows = spark.read.schema(StructType([*df.schema.fields, StructField("batch", LongType())])).option("recursiveFileLookup", True).parquet(out)
-    if sessions:
-        newest = rows.agg(F.max("batch")).first()[0]
-        return rows.where(F.col("batch").eqNullSafe(F.lit(newest))).drop("batch")
+    out = run_batches(df, name, "update", write, counts)
+    schema = StructType([*df.schema.fields, StructField("batch", LongType())])
+    rows = df.sparkSession.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
     values = [c for c in df.columns if c not in keys]
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v"))
     return latest.select(*keys, "v.*").select(*df.columns)
 
 
+def run_sessions(
+    df: DataFrame, name: str, still_open: Callable[[DataFrame], DataFrame], counts: dict[str, int] | None = None
+) -> DataFrame:
+    """Run session windows over all available input, those still open at its end included.
+
+    The run is in append mode, so state holds only sessions that the watermark has not passed; closed ones are written
+    once. Those left in the state store at the end are read from there; ``still_open`` turns its rows (key, value)
+    into rows of ``df``.
+    """
+    spark, progress = df.sparkSession, scratch_path(df.sparkSession, f"{name}-progress")
+    closed = run_append(df, name, checkpoint=progress, counts=counts)
+    if not path_exists(spark, f"{progress}/state"):
+        return closed  # nothing came
+    return closed.unionByName(still_open(spark.read.format("statestore").load(progress)).select(*df.columns))
+
+
+def run_folded(
+    df: DataFrame, name: str, mode: str, schema: str, fold: Callable[[DataFrame, DataFrame, int], DataFrame],
+    counts: dict[str, int] | None = None,
+) -> DataFrame:
+    """Run a stream whose batches are folded one by one into a small table, and return the table as it is at the end.
+
+    ``fold(batch, before, number)`` returns the table after a batch. Each version is written beside the one before, so a
+    repeated batch starts from the same version; older ones are removed, so a batch reads no more than one version.
+    """
+    spark = df.sparkSession
+    newest = {"no": -1}
+
+    def write(batch, no, out):
+        before = spark.read.schema(schema).parquet(f"{out}/v{no - 1}") if no else spark.createDataFrame([], schema)
+        fold(batch, before, no).write.mode("overwrite").parquet(f"{out}/v{no}")
+        newest["no"] = no
+        if no > 1:
+            remove_path(spark, f"{out}/v{no - 2}")
+
+    out = run_batches(df, name, mode, write, counts)
+    return spark.read.schema(schema).parquet(f"{out}/v{newest['no']}") if newest["no"] >= 0 else spark.createDataFrame([], schema)
+
+
 def run_batches(
     df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None], counts: dict[str, int] | None = None
 ) -> str:
     """Run a stream batch by batch; ``write`` must overwrite its batch, so a repeat is harmless."""
     spark = df.sparkSession
     out = scratch_path(spark, name)
-    q = (
-        df.writeStream.outputMode(mode).trigger(availableNow=True)
-        .foreachBatch(lambda batch, no: write(batch, no, out))
-        .option("checkpointLocation", scratch_path(spark, f"{name}-progress")).start()
-    )
-    dropped = _finish(q)
+    with _watched(spark):
+        q = (
+            df.writeStream.outputMode(mode).trigger(availableNow=True)
+            .foreachBatch(lambda batch, no: write(batch, no, out))
+            .option("checkpointLocation", scratch_path(spark, f"{name}-progress")).start()
+        )
+        dropped = _finish(q)
     if counts is not None:
         counts["dropped"] = dropped
     return out
@@ -152,14 +213,13 @@ def stream_noise_counters(calls: DataFrame) -> DataFrame:
 
 
 def run_noise_counters(calls: DataFrame) -> DataFrame:
-    """Keep the latest value of each counter."""
-    def write(batch, no, out):
-        batch.withColumn("batch", F.lit(no).cast("bigint")).write.mode("overwrite").parquet(f"{out}/no={no}")
+    """Keep the latest value of each counter, folded batch by batch into one table of counters."""
+    def fold(batch, before, no):
+        both = before.withColumn("no", F.lit(no - 1)).unionByName(batch.withColumn("no", F.lit(no)))
+        return both.groupBy("region", "noise_type").agg(F.max_by("calls", "no").alias("calls"))
 
     counters = stream_noise_counters(calls)
-    out = run_batches(counters, "noise-counters", "update", write)
-    rows = calls.sparkSession.read.parquet(out)
-    return rows.groupBy("region", "noise_type").agg(F.max_by("calls", "batch").alias("calls"))
+    return run_folded(counters, "noise-counters", "update", "region string, noise_type string, calls bigint", fold)
 
 
 def stream_sliding_lookback(
@@ -178,25 +238,27 @@ def stream_burst_sessions(
     return sessions.select(key, F.col("session_window.start").alias("start_ts"), F.col("session_window.end").alias("end_ts"), "n", "peak")
 
 
+def open_burst_sessions(state: DataFrame, key: str) -> DataFrame:
+    """Sessions in the state of ``stream_burst_sessions`` as its rows."""
+    window, v = F.col("value.session_window"), "value"
+    return state.select(
+        F.col(f"{v}.{key}").alias(key), window["start"].alias("start_ts"), window["end"].alias("end_ts"), F.col(f"{v}.count").alias("n"),
+        F.col(f"{v}.max").alias("peak"))
+
+
 def run_late_rows(rows: DataFrame, seq: str, ts: str, lateness_seconds: int) -> DataFrame:
     """Count rows that lie more than ``lateness`` behind the newest row seen before them.
 
-    Each batch writes its counts and its newest time; the next one starts from there.
+    The counts and the newest time so far are one row, folded batch by batch.
     """
-    spark = rows.sparkSession
-    stats = "on_time bigint, late bigint, peak bigint, batch bigint"
-
-    def write(batch, no, out):
+    def fold(batch, before, no):
         base = batch.select(F.col(seq).alias("seq"), micros(ts).alias("t"))
         numbered = running(base, [], ["seq"], max_before={"before": F.col("t")})
-        earlier = spark.read.schema(stats).option("recursiveFileLookup", True).parquet(out).where(F.col("batch") < no) if no else None
-        known = earlier.agg(F.max("peak")).first()[0] if earlier is not None else None
-        newest = F.greatest(F.col("before"), F.lit(known).cast("bigint"))
+        so_far = before.first()
+        newest = F.greatest(F.col("before"), F.lit(so_far.peak if so_far else None).cast("bigint"))
         late = F.coalesce(F.col("t") < newest - lateness_seconds * 1_000_000, F.lit(False))
-        numbered.agg(
-            F.count_if(~late).alias("on_time"), F.count_if(late).alias("late"), F.max("t").alias("peak"),
-        ).withColumn("batch", F.lit(no).cast("bigint")).write.mode("overwrite").parquet(f"{out}/no={no}")
+        seen = numbered.agg(F.count_if(~late).alias("on_time"), F.count_if(late).alias("late"), F.max("t").alias("peak"))
+        return before.unionByName(seen).agg(F.sum("on_time").alias("on_time"), F.sum("late").alias("late"), F.max("peak").alias("peak"))
 
-    out = run_batches(rows, "late-rows", "append", write)
-    done = spark.read.schema(stats).option("recursiveFileLookup", True).parquet(out)
+    done = run_folded(rows, "late-rows", "append", "on_time bigint, late bigint, peak bigint", fold)
     return done.agg(F.sum("on_time").alias("on_time"), F.sum("late").alias("late"))

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from opslens.session import scratch_path
@@ -98,7 +99,54 @@ def test_a_bounded_run_keeps_open_windows_and_counts_late_rows(spark):
 
 
 def test_a_bounded_run_keeps_open_sessions(spark):
-    rows = [("k", T0 + timedelta(minutes=m), 9.0) for m in (0, 5, 30, 34, 400)]
-    df = streams.stream_burst_sessions(in_files(spark, rows, "circuit_id string, ts timestamp_ntz, value double", 2), "circuit_id", "10 minutes", 5.0)
-    got = streams.run_closed(df, "s", ["circuit_id", "start_ts"], sessions=True).orderBy("start_ts").collect()
-    assert [r.n for r in got] == [2, 2, 1]
+    rows = [("k", T0 + timedelta(minutes=m), 9.0 + m / 1000) for m in (0, 5, 30, 34, 400)] + [("j", T0 + timedelta(minutes=399), 7.0)]
+    counts, schema = {}, "circuit_id string, ts timestamp_ntz, value double"
+    df = streams.stream_burst_sessions(in_files(spark, rows, schema, 2), "circuit_id", "10 minutes", 5.0)
+    got = streams.run_sessions(df, "s", lambda state: streams.open_burst_sessions(state, "circuit_id"), counts)
+    got = streams.as_zone_free(got).orderBy("start_ts").collect()
+    assert [(r.circuit_id, r.n, r.peak) for r in got] == [("k", 2, 9.005), ("k", 2, 9.034), ("j", 1, 7.0), ("k", 1, 9.4)]
+    assert got[3].end_ts - got[3].start_ts == timedelta(minutes=10) and counts == {"dropped": 0}
+
+
+def test_session_state_is_bounded_by_the_watermark(spark):
+    """300 sessions in 30 batches; never more of them in state than a batch and the lateness hold."""
+    rows = [("k", T0 + timedelta(hours=i), 9.0) for i in range(300)]
+    path = scratch_path(spark, "many")
+    spark.createDataFrame(rows, "circuit_id string, ts timestamp_ntz, value double").repartitionByRange(10, "ts").sortWithinPartitions("ts").write.parquet(path)
+    source = streams.read_stream(spark, spark.read.parquet(path), path, max_files=1)
+    df = streams.stream_burst_sessions(source, "circuit_id", "10 minutes", 5.0)
+    progress = scratch_path(spark, "p")
+    q = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option("checkpointLocation", progress).start(scratch_path(spark, "o"))
+    q.awaitTermination()
+    held = [op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]]
+    assert max(held) < 100 and streams.open_burst_sessions(spark.read.format("statestore").load(progress), "circuit_id").count() == held[-1] <= 2
+
+
+def test_folded_state_is_two_versions_of_few_files(spark):
+    rows = [(i, "r", "a" if i % 2 else "b") for i in range(40)]
+    source = in_files(spark, rows, "i int, region string, noise_type string", 20)
+    seen = []
+
+    def fold(batch, before, no):
+        seen.append((no, len(before.inputFiles()), before.count()))
+        both = before.unionByName(batch.groupBy("noise_type").agg(F.count(F.lit(1)).alias("n")))
+        return both.groupBy("noise_type").agg(F.sum("n").alias("n"))
+
+    got = streams.run_folded(source, "f", "append", "noise_type string, n bigint", fold)
+    assert {r.noise_type: r.n for r in got.collect()} == {"a": 20, "b": 20}
+    assert [s[0] for s in seen] == list(range(20)) and max(s[1] for s in seen) <= 2
+    home = got.inputFiles()[0].rsplit("/", 2)[0]
+    from opslens.session import file_system
+
+    fs, at = file_system(spark, home)
+    assert sorted(f.getPath().getName() for f in fs.listStatus(at)) == ["v18", "v19"]
+
+
+def test_an_out_of_another_checkpoint_is_refused(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(1,)], "n int").write.parquet(folder)
+    source = spark.readStream.schema("n int").parquet(folder)
+    streams.run_append(source, "a", out, checkpoint=str(tmp_path / "one"))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        streams.run_append(source, "a", out, checkpoint=str(tmp_path / "two"))
+    assert streams.run_append(source, "a", out, checkpoint=str(tmp_path / "one")).count() == 1
