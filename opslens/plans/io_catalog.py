@@ -66,8 +66,8 @@ def _confounder_docs():
 
 
 def csv_stream_ingest(s, d):
-    stream = csv_tables.csv_stream(s, _csv(s, d, "app_logs"), "app_logs").withColumn("day", F.to_date("ts"))
-    done = streams.run_append(stream, "app-logs", partition_by=["day"])
+    home = scratch_path(s, "loaded")
+    done = csv_tables.load_stream(s, _csv(s, d, "app_logs"), "app_logs", f"{home}/rows", quarantine=f"{home}/bad")
     return done.select("transaction_id", "event", "ts", "day", "end_to_end_latency_ms_f64")
 
 

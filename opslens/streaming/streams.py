@@ -58,9 +58,9 @@ def run_append(
         writer = writer.partitionBy(*partition_by)
     with _watched(spark):
         query = writer.option("checkpointLocation", checkpoint).start(out)
+        if not own:
+            put_text(spark, f"{out}/_owner", query.id)
         dropped = _finish(query)
-    if not own:
-        put_text(spark, f"{out}/_owner", query.id)
     if counts is not None:
         counts["dropped"] = dropped
     return spark.read.schema(df.schema).parquet(out)
@@ -154,17 +154,23 @@ def run_folded(
 
 
 def run_batches(
-    df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None], counts: dict[str, int] | None = None
+    df: DataFrame, name: str, mode: str, write: Callable[[DataFrame, int, str], None], counts: dict[str, int] | None = None,
+    out: str | None = None, checkpoint: str | None = None,
 ) -> str:
-    """Run a stream batch by batch; ``write`` must overwrite its batch, so a repeat is harmless."""
+    """Run a stream batch by batch; ``write`` must overwrite its batch, so a repeat is harmless.
+
+    With ``out`` and ``checkpoint`` a later run goes on where this one ended; the two belong together as in ``run_append``.
+    """
     spark = df.sparkSession
-    out = scratch_path(spark, name)
+    out, checkpoint = out or scratch_path(spark, name), checkpoint or scratch_path(spark, f"{name}-progress")
+    own = claim(spark, out, checkpoint)
     with _watched(spark):
         q = (
             df.writeStream.outputMode(mode).trigger(availableNow=True)
-            .foreachBatch(lambda batch, no: write(batch, no, out))
-            .option("checkpointLocation", scratch_path(spark, f"{name}-progress")).start()
+            .foreachBatch(lambda batch, no: write(batch, no, out)).option("checkpointLocation", checkpoint).start()
         )
+        if not own:
+            put_text(spark, f"{out}/_owner", q.id)
         dropped = _finish(q)
     if counts is not None:
         counts["dropped"] = dropped

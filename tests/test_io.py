@@ -12,6 +12,7 @@ from opslens.plans import catalog, exports, io_catalog, report, roles
 from opslens.session import scratch_path
 from opslens.sources import csv_tables, sinks, truth
 from opslens.sources.schemas import TABLES
+from opslens.streaming import streams
 
 
 def write(path, text):
@@ -45,9 +46,10 @@ def test_directory_rules(spark, tmp_path):
     write(tmp_path / "clickhouse-tso_calls.csv", calls + "\nC1,2024-01-01T00:00:00Z,9,east,timeout,d,s,,12,true,r\n")
     with pytest.raises(ValueError, match="missing table"):
         csv_tables.ingest_directory(spark, str(tmp_path), db, home, insert_only=True)
-    for expected in (1, 2):
-        got = csv_tables.ingest_directory(spark, str(tmp_path), db, home, insert_only=expected == 2).collect()
-        assert [tuple(r) for r in got] == [("tso_calls", expected)]
+    for present in (1, 2):
+        got = csv_tables.ingest_directory(spark, str(tmp_path), db, home, insert_only=present == 2).collect()
+        assert [tuple(r) for r in got] == [("tso_calls", 1)]  # of this load, not of the table
+        assert spark.table(f"{db}.tso_calls").count() == present
     row = spark.table(f"{db}.tso_calls").first()
     assert row.transaction_id == "" and row.resolution_time_minutes == 12 and str(row.ts) == "2024-01-01 00:00:00"
     write(tmp_path / "clickhouse-nonsense.csv", "a\n1\n")
@@ -175,3 +177,57 @@ def test_each_file_has_its_own_header(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [("x", 1.0), ("y", 2.0), ("z", 3.0)]
     with pytest.raises(Exception):
         csv_tables.ingest_csv_typed(spark, folder, "a string, n double").collect()
+
+
+def calls_csv(rows, names=None):
+    """tso_calls text: rows are dicts of what differs; ``names`` gives the order of columns."""
+    own = [c.split()[0] for c in TABLES["tso_calls"].columns.split(", ")]
+    plain = dict.fromkeys(own, "x") | {"timestamp": "2024-01-01T00:00:00Z", "resolution_time_minutes": "5"}
+    return "\n".join([",".join(names or own), *[",".join((plain | r)[c] for c in names or own) for r in rows]]) + "\n"
+
+
+def test_stream_load_with_quarantine_and_any_order(spark, tmp_path):
+    own = [c.split()[0] for c in TABLES["tso_calls"].columns.split(", ")]
+    folder, out, bad = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "bad")
+    write(folder / "1.csv", calls_csv([{"call_id": "a"}, {"call_id": "b", "resolution_time_minutes": "5x"}]) + "too,few\n" + ",".join("y" * 12) + "\n")
+    write(folder / "2.csv", calls_csv([{"call_id": "c"}, {"call_id": "d", "timestamp": "never"}], own[::-1] ))
+    write(folder / "3.csv", "call_id,other\ne,1\n")
+
+    def load(counts):
+        done = csv_tables.load_stream(spark, str(folder), "tso_calls", out, quarantine=bad, max_files=2, counts=counts)
+        return sorted(r.call_id for r in done.collect())
+
+    counts = {}
+    assert load(counts) == ["a", "c"] and counts == {"rows": 2, "quarantined": 5}
+    wrong = {(r.file.rsplit("/", 1)[1], r.reason): r.line for r in spark.read.parquet(bad).collect()}
+    assert set(wrong) == {
+        ("1.csv", "unreadable resolution_time_minutes: 5x"), ("1.csv", csv_tables.MALFORMED), ("2.csv", "unreadable timestamp: never"),
+        ("3.csv", "columns missing in the header: " + ", ".join(c for c in own if c != "call_id"))}
+    assert wrong[("3.csv", "columns missing in the header: " + ", ".join(c for c in own if c != "call_id"))] == "e,1"
+    write(folder / "4.csv", calls_csv([{"call_id": "f"}]))
+    assert load(counts) == ["a", "c", "f"] and counts == {"rows": 1, "quarantined": 0}
+    row = spark.read.parquet(out).where("call_id = 'c'").first()
+    assert row.resolution_time_minutes == 5 and str(row.ts) == "2024-01-01 00:00:00" and row.day == date(2024, 1, 1)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        csv_tables.load_stream(spark, str(folder), "tso_calls", out, quarantine=bad, checkpoint=str(tmp_path / "else"))
+
+
+@pytest.mark.parametrize("text", ["too,few\n", ",".join("y" * 12) + "\n", calls_csv([{"resolution_time_minutes": "5x"}]).split("\n")[1] + "\n"])
+def test_strict_streams_end_at_a_bad_record(spark, tmp_path, text):
+    folder = tmp_path / "in"
+    write(folder / "1.csv", calls_csv([{"call_id": "a"}]) + text)
+    with pytest.raises(Exception):
+        csv_tables.load_stream(spark, str(folder), "tso_calls", str(tmp_path / "out"))
+    with pytest.raises(Exception):
+        streams.run_append(csv_tables.csv_stream(spark, str(folder), "tso_calls"), "strict").count()
+
+
+def test_a_directory_load_reads_each_table_once(spark, tmp_path, monkeypatch):
+    plans, listed = [], csv_tables.by_day_and_key
+    monkeypatch.setattr(csv_tables, "by_day_and_key", lambda df, *a: plans.append(df) or listed(df, *a))
+    write(tmp_path / "clickhouse-tso_calls.csv", calls_csv([{"call_id": "a"}, {"call_id": "b"}]))
+    db = "d" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {db}")
+    got = csv_tables.ingest_directory(spark, str(tmp_path), db, scratch_path(spark, "once")).collect()
+    assert [tuple(r) for r in got] == [("tso_calls", 2)]
+    assert len(plans) == 1 and plans[0]._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
