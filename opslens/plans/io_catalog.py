@@ -14,6 +14,8 @@ from opslens.sources.schemas import FILE_PREFIX, TABLES
 from opslens.streaming import streams
 
 LATENESS_SECONDS = 1800
+# Parameters recorded in the truth document.
+PARAMETERS = {"incident_burst_interval_minutes": 20, "incident_burst_duration_minutes": [4, 7]}
 BURST_MS = 60.0
 
 
@@ -48,6 +50,17 @@ def read_ground_truth(s, d):
     return truth.call_details(truth.read_truth(s, out, lines=True))
 
 
+def truth_sections(s, d):
+    out, calls = scratch_path(s, "truth"), frozen(roles.calls(s, d))
+    rows = {"tso_calls": calls.count(), "txn_facts": roles.facts(s, d).count()}
+    about = {
+        "dataset_name": "telemetry", "time_range": {"start": "2024-01-01T00:00:00Z", "end": "2024-01-31T00:00:00Z"},
+        "generation": {"seed": 42, "row_counts": rows, "parameters": PARAMETERS},
+    }
+    sinks.sink_truth(calls, _confounder_docs(), _incident_doc() | {"affected_transaction_types": list(roles.FOCUS_TYPES)}, out, about=about)
+    return truth.flatten(truth.read_truth(s, out, lines=True), truth.IDS)
+
+
 def _incident_doc():
     def iso(t):
         return t.replace(" ", "T") + "Z"
@@ -159,9 +172,10 @@ def stream_service_kpi(s, d):
 
 
 def stream_call_link(s, d):
-    calls = _streamed(s, roles.calls(s, d).select("call_id", "ref", "customer_id", "call_ts"), "calls")
+    known = frozen(roles.calls(s, d).select("call_id", "ref", "customer_id", "call_ts"))
     txns = _streamed(s, roles.facts(s, d).select("txn_id", "customer_id", "end_ts"), "txns")
-    return streams.run_append(streams.stream_call_link(calls, txns), "call-link")
+    linked = streams.stream_call_link(_streamed(s, known, "calls"), txns, hot=streams.hot_references(known))
+    return streams.run_append(linked, "call-link")
 
 
 def stream_dedup(s, d):
@@ -195,6 +209,7 @@ IO = {
     "ingest_directory": ingest_directory,
     "derive_ingest_columns": derive_ingest_columns,
     "read_ground_truth": read_ground_truth,
+    "truth_sections": truth_sections,
     "csv_stream_ingest": csv_stream_ingest,
     "sink_partitioned_table": lambda s, d: partitioned_logs(s, d).select(
         "txn_id", "event_no", "event", "region", "ts", "day", "end_to_end_latency_ms"),

@@ -356,6 +356,26 @@ QUERIES = {
     "derive_ingest_columns": "SELECT txn_id AS transaction_id, event, ts, lat AS end_to_end_latency_ms_f64 FROM logs",
     "read_ground_truth": """SELECT call_id, true_txn AS true_id, ref AS emitted_id, noise_type,
         CAST(floor(date_diff('microsecond', txn_end_ts, call_ts) / 6e7) AS BIGINT) AS delay_minutes FROM calls""",
+    "truth_sections": """, kinds(k, nth) AS (VALUES ('clean', 0), ('missing', 1), ('fabricated', 2), ('wrong_customer', 3)),
+      per AS (SELECT k, count(call_id) AS n FROM kinds LEFT JOIN calls ON noise_type = k GROUP BY k),
+      conf(name, region, a, b) AS (VALUES ('cpu_spike', 'ASIA', '2024-01-05T09:00:00Z', '2024-01-06T11:00:00Z'),
+        ('deploy_blip', 'EUROPE', '2024-01-20T17:00:00Z', '2024-01-21T18:00:00Z'), ('any_maint', '*', '2024-01-06T00:00:00Z', '2024-01-06T18:00:00Z'))
+      SELECT * FROM (VALUES ('dataset_name', '', 'telemetry'), ('time_range', 'start', '2024-01-01T00:00:00Z'), ('time_range', 'end', '2024-01-31T00:00:00Z'),
+        ('primary_incident', 'root_cause_type', 'network'), ('primary_incident', 'circuit_id', 'CKT-ASI-EUR-0'), ('primary_incident', 'src_region', 'ASIA'),
+        ('primary_incident', 'dst_region', 'EUROPE'), ('primary_incident', 'start', '2024-01-10T12:20:00Z'), ('primary_incident', 'end', '2024-01-15T18:10:00Z'),
+        ('primary_incident', 'fix_time', '2024-01-15T18:15:00Z'), ('primary_incident', 'affected_transaction_types[0]', 'type_0'),
+        ('primary_incident', 'affected_transaction_types[1]', 'type_1'), ('generation', 'seed', '42'),
+        ('generation', 'parameters.incident_burst_interval_minutes', '20'), ('generation', 'parameters.incident_burst_duration_minutes', '[4,7]')) t(section, key, value)
+      UNION ALL SELECT 'confounders', '[' || name || '].' || f, v FROM conf, LATERAL (VALUES ('name', name), ('start', a), ('end', b), ('component', 'infra'),
+        ('region', region), ('description', name)) x(f, v)
+      UNION ALL SELECT 'generation', 'row_counts.tso_calls', CAST(count(*) AS VARCHAR) FROM calls
+      UNION ALL SELECT 'generation', 'row_counts.txn_facts', CAST(count(*) AS VARCHAR) FROM facts
+      UNION ALL SELECT 'tso_noise', 'total_calls', CAST(count(*) AS VARCHAR) FROM calls
+      UNION ALL SELECT 'tso_noise', 'noise_counts.' || k, CAST(n AS VARCHAR) FROM per
+      UNION ALL SELECT 'tso_noise', 'noise_rates.' || k, CAST(round(n / greatest(1, (SELECT count(*) FROM calls)), 4) AS VARCHAR) FROM per
+      UNION ALL SELECT 'tso_noise', 'call_details[' || call_id || '].' || f, v FROM calls, LATERAL (VALUES ('call_id', call_id), ('true_transaction_id', true_txn),
+        ('emitted_transaction_id', ref), ('noise_type', noise_type),
+        ('delay_minutes', CAST(CAST(floor(date_diff('microsecond', txn_end_ts, call_ts) / 6e7) AS BIGINT) AS VARCHAR))) x(f, v)""",
     "csv_stream_ingest": "SELECT txn_id AS transaction_id, event, ts, ts::DATE AS day, lat AS end_to_end_latency_ms_f64 FROM logs",
     "sink_partitioned_table": "SELECT txn_id, event_no, event, region, ts, ts::DATE AS day, end_to_end_latency_ms FROM logs",
     "sink_csv_header": """SELECT txn_id AS transaction_id, CASE WHEN status <> 'timeout' THEN 'true' ELSE 'false' END AS success,

@@ -69,7 +69,7 @@ TRUTH_SCHEMA = """
         start: string, end: string, fix_time: string, affected_transaction_types: array<string>>,
     confounders array<struct<name: string, start: string, end: string, component: string, region: string,
         description: string>>,
-    generation struct<seed: bigint, row_counts: map<string, bigint>>,
+    generation struct<seed: bigint, row_counts: map<string, bigint>, parameters: map<string, string>>,
     tso_noise struct<total_calls: bigint, noise_counts: map<string, bigint>, noise_rates: map<string, double>,
         call_details: array<struct<call_id: string, true_transaction_id: string, emitted_transaction_id: string,
             noise_type: string, delay_minutes: bigint>>>

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from math import ceil
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from opslens.functions.scalars import micros
 
+# Noise classes in the order of the truth document.
+NOISE_TYPES = ("clean", "missing", "fabricated", "wrong_customer")
+
 
 def sink_partitioned_table(
     df: DataFrame, out: str, day_col: str, sort_keys: Sequence[str], bloom_cols: Sequence[str] = (), mode: str = "errorifexists"
@@ -38,26 +42,24 @@ def sink_csv_header(df: DataFrame, out: str) -> None:
     df.write.option("header", True).option("emptyValue", "").option("nullValue", "").option("escape", '"').csv(out)
 
 
-def sink_truth(calls: DataFrame, confounders: Sequence[dict], incident: dict, out: str, per_part: int = 5000) -> None:
-    """The truth document in parts of about ``per_part`` calls, one JSON object per line.
+def sink_truth(calls: DataFrame, confounders: Sequence[dict], incident: dict, out: str, per_part: int = 5000, about: dict | None = None) -> None:
+    """The truth document, one JSON object per line: what is said once in the first, then parts of about ``per_part`` calls.
 
-    ``calls`` has (call_id, true_txn, ref, noise_type, call_ts, txn_end_ts). Parts are
-    spread by a hash of the call id, so no part grows with the table.
+    ``calls`` has (call_id, true_txn, ref, noise_type, call_ts, txn_end_ts). Parts are spread by a hash of the call id,
+    so no part grows with the table. ``about`` holds further sections: dataset_name, time_range, generation.
     """
-    parts = max(1, ceil(calls.count() / per_part))
+    spark = calls.sparkSession
+    found = {r.noise_type: r["count"] for r in calls.groupBy("noise_type").count().collect()}
+    counts, total = {k: found.get(k, 0) for k in NOISE_TYPES}, sum(found.values())
+    noise = {"total_calls": total, "noise_counts": counts, "noise_rates": {k: round(n / max(1, total), 4) for k, n in counts.items()}}
+    once = json.dumps({**(about or {}), "primary_incident": incident, "confounders": list(confounders), "tso_noise": noise}, separators=(",", ":"))
+    parts = max(1, ceil(total / per_part))
     delay = F.greatest(F.lit(0), F.floor((micros("call_ts") - micros("txn_end_ts")) / 60_000_000))
     detail = F.struct(
         "call_id", F.col("true_txn").alias("true_transaction_id"), F.col("ref").alias("emitted_transaction_id"), "noise_type",
         delay.cast("bigint").alias("delay_minutes"),
     )
     part = F.pmod(F.xxhash64("call_id"), F.lit(parts)).alias("part")
-    one = calls.select(part, detail.alias("d"))
-    kinds = ("clean", "missing", "fabricated", "wrong_customer")
-    counts = F.create_map(*[x for k in kinds for x in (F.lit(k), F.count_if(F.col("d.noise_type") == k))])
-    windows = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in c.items()]) for c in confounders])
-    doc = one.groupBy("part").agg(
-        F.struct(F.count(F.lit(1)).alias("total_calls"), counts.alias("noise_counts"), F.collect_list("d").alias("call_details")).alias("tso_noise")
-    )
-    doc.select(
-        F.struct(*[F.lit(v).alias(k) for k, v in incident.items()]).alias("primary_incident"), windows.alias("confounders"), "tso_noise"
-    ).write.json(out)
+    one = calls.select(part, detail.alias("d")).groupBy("part").agg(F.struct(F.collect_list("d").alias("call_details")).alias("tso_noise"))
+    lines = spark.createDataFrame([(once,)], "value string").unionByName(one.select(F.to_json(F.struct("tso_noise")).alias("value")))
+    lines.write.text(out)

@@ -185,15 +185,27 @@ def stream_service_kpi(facts: DataFrame, step: str = "1 minute", lateness: str =
     return windowed.select(F.col("window.start").alias("ts"), "region", "txn_type", "n", "errors", "retries", "p95_ms")
 
 
+def hot_references(calls: DataFrame, share: float = 0.001) -> list[str]:
+    """References that may hold more than ``share`` of all rows of a batch table: every one that does, 1 / share at most.
+
+    A frequent-items sketch of that size is kept and merged in the tasks; rarer ids in it do no harm.
+    """
+    return sorted(calls.where(F.col("ref") != "").stat.freqItems(["ref"], share).first()[0] or [])
+
+
 def stream_call_link(
-    calls: DataFrame, txns: DataFrame, horizon: str = "2 hours", lateness: str = "10 minutes", salts: int = 4
+    calls: DataFrame, txns: DataFrame, horizon: str = "2 hours", lateness: str = "10 minutes", hot: Sequence[str] = (), salts: int = 16
 ) -> DataFrame:
     """Calls joined to the transaction they name, if the same customer's and ended within the horizon.
 
-    Calls of one hot transaction are spread over ``salts`` copies of it; the copies live only as long as the horizon.
+    Calls of the ``hot`` transactions (``hot_references`` of what is known of the calls) are spread over ``salts`` copies of
+    them; every other transaction is held once. An id that becomes hot later is joined right, in one task.
     """
-    salt = F.pmod(F.xxhash64("call_id"), F.lit(salts)).cast("int").alias("c_salt")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("t_salt")
+    def is_hot(c: str):
+        return F.col(c).isin(*hot) if hot else F.lit(False)
+
+    salt = F.when(is_hot("ref"), F.pmod(F.xxhash64("call_id"), F.lit(salts)).cast("int")).otherwise(0).alias("c_salt")
+    copies = F.explode(F.sequence(F.lit(0), F.when(is_hot("txn_id"), salts - 1).otherwise(0))).alias("t_salt")
     c = calls.where(F.col("ref") != "").select("call_id", "ref", "customer_id", "call_ts", salt).withWatermark("call_ts", lateness)
     t = txns.select("txn_id", F.col("customer_id").alias("txn_customer"), "end_ts", copies).withWatermark("end_ts", lateness)
     on = F.expr(

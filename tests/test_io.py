@@ -107,6 +107,18 @@ def test_split_truth_document_keeps_all_calls(spark, sf_dir):
     assert truth.noise_counts(t).agg(F.sum("calls")).first()[0] == calls.count()
 
 
+def test_flatten_any_document(spark, tmp_path):
+    docs = [{"name": "d", "at": {"a": 1, "b": None}, "deep": {"m": {"x": [1, 2], "y": []}, "l": [{"id": "p", "v": [{"w": True}]}, {"id": None, "v": None}]}, "none": None},
+            {"name": None, "at": None, "deep": {"m": None, "l": [{"id": "q", "v": []}]}}]
+    path = write(tmp_path / "d.json", "\n".join(map(json.dumps, docs)))
+    schema = ("name string, at struct<a: int, b: int>, deep struct<m: map<string, array<int>>, l: array<struct<id: string, v: array<struct<w: boolean>>>>>, "
+              "none array<map<string, int>>")
+    got = sorted(map(tuple, truth.flatten(spark.read.schema(schema).json(path), {"deep.l": "id"}).collect()))
+    assert got == [
+        ("at", "a", "1"), ("deep", "l[p].id", "p"), ("deep", "l[p].v[0].w", "true"), ("deep", "l[q].id", "q"), ("deep", "m.x[0]", "1"),
+        ("deep", "m.x[1]", "2"), ("name", "", "d")]
+
+
 def test_views(spark, sf_dir):
     logs = roles.logs(spark, sf_dir)
     assert views.preferred_database(spark) == "default"

@@ -70,6 +70,20 @@ def test_call_link_needs_same_customer_and_horizon(spark):
     assert [tuple(r) for r in streams.run_append(streams.stream_call_link(c, t), "l").collect()] == [("C1", "T1", 30)]
 
 
+def test_only_hot_transactions_are_copied(spark):
+    txns = [(f"T{i}", i, T0) for i in range(200)]
+    calls = [(f"C{i}", f"T{i % 200 if i % 3 else 7}", i % 200 if i % 3 else 7, T0 + timedelta(minutes=30)) for i in range(1200)]
+    schema = "call_id string, ref string, customer_id bigint, call_ts timestamp_ntz"
+    hot = streams.hot_references(spark.createDataFrame(calls, schema).repartition(4), share=0.1)
+    assert "T7" in hot and len(hot) <= 10
+    c, t = in_files(spark, calls, schema, 2), in_files(spark, txns, "txn_id string, customer_id bigint, end_ts timestamp_ntz", 2)
+    progress = scratch_path(spark, "p")
+    got = streams.run_append(streams.stream_call_link(c, t, hot=["T7"], salts=16), "l", checkpoint=progress)
+    assert got.count() == len(calls) and got.where("txn_id = 'T7'").count() == sum(1 for x in calls if x[1] == "T7")
+    held = spark.read.format("statestore").option("joinSide", "right").load(progress)
+    assert held.count() == len(txns) + 15
+
+
 def test_sessions_and_sliding_counts(spark):
     rows = [("k", T0 + timedelta(minutes=m), v) for m, v in [(0, 9.0), (5, 8.0), (7, 1.0), (30, 9.0), (400, 9.0)]]
     got = streams.run_append(
