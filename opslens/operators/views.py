@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -21,6 +21,21 @@ def preferred_database(spark: SparkSession, wanted: str = "logs", otherwise: str
     return wanted if spark.catalog.databaseExists(wanted) else otherwise
 
 
+def compat_views(spark: SparkSession, sources: Mapping[str, str], wanted: str = "logs", otherwise: str = "default") -> dict[str, str]:
+    """A view of every table under its old name (``sources``: old name -> table), in database ``wanted`` if there is one.
+
+    Returns old name -> full view name, which is what readers of the old names should take as their source.
+    """
+    database = preferred_database(spark, wanted, otherwise)
+    found = {}
+    for old, table in sources.items():
+        if not spark.catalog.tableExists(table):
+            raise ValueError(f"no table {table} for the view {old}")
+        found[old] = f"{database}.{old}"
+        spark.sql(f"CREATE OR REPLACE VIEW {found[old]} AS SELECT * FROM {table}")
+    return found
+
+
 def _slugs(regions: Sequence[str]) -> dict[str, str]:
     """Region -> its part of a view name; an error if two regions would share one."""
     slugs = {r: r.lower().replace(" ", "_").replace("-", "_") for r in regions}

@@ -61,7 +61,8 @@ def nearest_rank_window(df: DataFrame, keys: Sequence[str], x: str, p: float, ti
     wanted = df.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
         *keys, (F.least(n - 1, F.floor(n * F.lit(p))) + 1).alias("_r")
     )
-    return join_null_safe(rows, wanted, [*keys, "_r"]).select(*keys, F.col(x).alias("value"))
+    # One row per key: few keys reach the numbered rows where they are, which then need no shuffle.
+    return join_null_safe(rows, broadcast_if_small(frozen(wanted)), [*keys, "_r"]).select(*keys, F.col(x).alias("value"))
 
 
 def event_numbering(events: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,14 @@ PARAMETERS = {"incident_burst_interval_minutes": 20, "incident_burst_duration_mi
 BURST_MS = 60.0
 
 
+# Tables with the names they had before, and the roles that fill them.
+OLD_NAMES = {
+    "app_logs": ("legacy_app_logs", roles.logs), "trace_spans": ("trace_spans", roles.spans),
+    "network_circuit_metrics": ("network_circuit_metrics", roles.circuit_metrics), "infra_host_metrics": ("infra_host_metrics", roles.host_metrics),
+    "tso_calls": ("tso_calls", roles.calls),
+}
+
+
 def _csv(s: SparkSession, d: str, table: str, folder: str | None = None) -> str:
     path = f"{folder or scratch_path(s, 'csv')}/{FILE_PREFIX}{table}.csv"
     sinks.sink_csv_header(exports.EXPORTS[table](s, d), path)
@@ -144,6 +154,25 @@ def view_alias(s, d):
     return alias.groupBy("region").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def compat_views(s, d):
+    """Tables of a database of their own, read under their old names through views in the preferred database."""
+    home = scratch_path(s, "compat")
+    own, old = (f"{p}_{home.rsplit('-', 1)[1]}" for p in ("ops", "logs"))
+    for database in (own, old):
+        s.sql(f"CREATE DATABASE {database} LOCATION '{home}/{database}'")
+    sources = {}
+    for name, (alias, role) in OLD_NAMES.items():
+        role(s, d).write.parquet(f"{home}/{name}")
+        s.sql(f"CREATE TABLE {own}.{name} USING parquet LOCATION '{home}/{name}'")
+        sources[alias] = f"{own}.{name}"
+    found = views.compat_views(s, sources, wanted=old)
+    rows = [s.table(view).agg(F.lit(alias).alias("view_name"), F.count(F.lit(1)).alias("rows")) for alias, view in found.items()]
+    out = reduce(DataFrame.unionByName, rows)
+    for database in (own, old):  # the rows stay where they are; nothing of the names is left behind
+        s.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
 def view_region_shards(s, d):
     names = views.region_views(roles.logs(s, d), [r.region for r in roles.regions(s, d).collect()])
     return views.rows_through_region_views(s, names)
@@ -216,6 +245,7 @@ IO = {
     "sink_csv_header": sink_csv_header,
     "sink_json_report": sink_json_report,
     "view_alias": view_alias,
+    "compat_views": compat_views,
     "view_region_shards": view_region_shards,
     "view_daily_shards": view_daily_shards,
     "shard_inventory": lambda s, d: views.shard_inventory(roles.logs(s, d).withColumn("day", F.to_date("ts")), roles.regions(s, d)),

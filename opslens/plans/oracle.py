@@ -417,6 +417,10 @@ QUERIES = {
                  quantile_cont(value, 0.95) FILTER (ts >= TIMESTAMP '1998-06-01' AND ts < TIMESTAMP '2000-01-01') AS d
           FROM circuit_metrics WHERE src = 'ASIA' AND dst = 'EUROPE' GROUP BY circuit_id ORDER BY round(d / b, 2) DESC NULLS LAST, circuit_id LIMIT 5)))
       SELECT section, CAST(row_no AS INT) AS row_no, key, value FROM sec""",
+    "compat_views": " UNION ALL ".join(
+        f"SELECT '{n}' AS view_name, count(*) AS rows FROM {t}"
+        for n, t in [("legacy_app_logs", "logs"), ("trace_spans", "spans"), ("network_circuit_metrics", "circuit_metrics"),
+                     ("infra_host_metrics", "hosts"), ("tso_calls", "calls")]),
     "view_alias": "SELECT region, count(*) AS rows FROM logs GROUP BY region",
     "view_region_shards": "SELECT region, count(*) AS rows FROM logs GROUP BY region",
     "view_daily_shards": "," + SHARDS + " SELECT region, day, rows FROM shards",

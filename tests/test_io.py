@@ -129,6 +129,27 @@ def test_views(spark, sf_dir):
     assert (got[0].present, got[1].present, got[1].rows) == (True, False, 0) and got[0].rows > 0
 
 
+def test_old_names_in_the_preferred_database(spark):
+    mark = uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE new_{mark}")
+    spark.range(3).write.saveAsTable(f"new_{mark}.a")
+    assert views.compat_views(spark, {f"old_{mark}": f"new_{mark}.a"}, wanted=f"logs_{mark}") == {f"old_{mark}": f"default.old_{mark}"}
+    spark.sql(f"CREATE DATABASE logs_{mark}")
+    found = views.compat_views(spark, {"a": f"new_{mark}.a"}, wanted=f"logs_{mark}")
+    assert found == {"a": f"logs_{mark}.a"} and spark.table(found["a"]).count() == 3
+    with pytest.raises(ValueError, match="no table"):
+        views.compat_views(spark, {"b": f"new_{mark}.b"})
+    spark.sql(f"DROP VIEW default.old_{mark}")
+    for database in (f"new_{mark}", f"logs_{mark}"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_reports_of_too_many_rows_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(report, "MAX_ROWS", 5)
+    with pytest.raises(ValueError, match="more than 5 rows"):
+        report.write_json_report({"big": (spark.range(1000), ["id"])}, scratch_path(spark, "report"))
+
+
 def test_ingested_tables_are_partitioned_by_day(spark, sf_dir):
     io_catalog.ingest_directory(spark, sf_dir).collect()
     database = max((d.name for d in spark.catalog.listDatabases() if d.name.startswith("ops_")))
