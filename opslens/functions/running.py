@@ -68,6 +68,8 @@ def running(
     part: Sequence[str],
     order: Sequence[str],
     keep_slices: bool = False,
+    two_last: Mapping[str, tuple[Column, Column]] | None = None,
+    two_next: Mapping[str, tuple[Column, Column]] | None = None,
     **specs: Mapping[str, Column],
 ) -> DataFrame:
     """Add running columns, given as ``kind={name: column}``; ``df`` keeps its columns.
@@ -75,6 +77,8 @@ def running(
     sums: running sum up to this row. max_before: maximum over earlier rows.
     last / next: nearest non-null value at or before / at or after this row.
     last_before / next_after: the same without this row.
+    two_last / two_next, given as ``{name: (value, key)}``: struct(a, b), the nearest non-null value at or before / after this
+    row and the nearest one with another key than that.
     A ``df`` that still has ``_slice`` (``keep_slices``, with the same ``part``) is not sliced again.
     Totals are carried only for keys that lie across a slice edge, at most two for each slice.
     """
@@ -83,8 +87,10 @@ def running(
     if unknown:
         raise ValueError(f"unknown running kind: {', '.join(sorted(unknown))}")
     items = [(name, _KINDS[kind], col) for kind, cols in specs.items() for name, col in cols.items()]
+    pairs = [(name, forward, v, k) for forward, given in ((True, two_last), (False, two_next)) for name, (v, k) in (given or {}).items()]
     base = df if "_slice" in df.columns else sliced(df, part, order)
     base = base.withColumns({f"_i_{n}": c for n, _, c in items})
+    base = base.withColumns({f"_i_{n}": F.when(v.isNotNull(), F.struct(v.alias("v"), k.alias("k"))) for n, _, v, k in pairs})
     key = ["_slice", *part]
     up, down = [F.col(c).asc() for c in order], [F.col(c).desc() for c in order]
 
@@ -94,13 +100,45 @@ def running(
     rows = base.withColumns({
         f"_w_{n}": k.fold(F.col(f"_i_{n}")).over(frame(key, up if k.forward else down, k.inclusive)) for n, k, _ in items
     })
+    for n, forward, _, _ in pairs:
+        way = up if forward else down
+        rows = rows.withColumn(f"_p_{n}", _latest(F.col(f"_i_{n}")).over(frame(key, way, False)))
+        other = F.when(F.col(f"_p_{n}.k") != F.col(f"_i_{n}.k"), F.col(f"_p_{n}"))
+        rows = rows.withColumns({f"_a_{n}": _latest(F.col(f"_i_{n}")).over(frame(key, way, True)), f"_b_{n}": _latest(other).over(frame(key, way, True))})
     at = F.struct(*order)
-    per_slice = (join_null_safe(base, F.broadcast(_across(base, part)), part, "left_semi") if part else base).groupBy(*key).agg(*[k.total(F.col(f"_i_{n}"), at).alias(f"_t_{n}") for n, k, _ in items])
+    crossing = join_null_safe(base, F.broadcast(_across(base, part)), part, "left_semi") if part else base
+    per_slice = crossing.groupBy(*key).agg(*[k.total(F.col(f"_i_{n}"), at).alias(f"_t_{n}") for n, k, _ in items], F.lit(1).alias("_one"))
     by = part or [F.lit(1)]
     slices_up, slices_down = [F.col("_slice").asc()], [F.col("_slice").desc()]
     carried = per_slice.select(*key, *[
         k.fold(F.col(f"_t_{n}")).over(frame(by, slices_up if k.forward else slices_down, False)).alias(f"_c_{n}") for n, k, _ in items
     ])
+    for n, forward, _, _ in pairs:
+        carried = join_null_safe(carried, _two_carried(crossing, per_slice.select(*key), n, forward, part, at), key, "left")
     joined = join_null_safe(rows, F.broadcast(carried), key, "left")
     kept = [c for c in df.columns if c != "_slice"] + (["_slice"] if keep_slices else [])
-    return joined.select(*kept, *[k.combine(F.col(f"_w_{n}"), F.col(f"_c_{n}")).alias(n) for n, k, _ in items])
+    return joined.select(*kept, *[k.combine(F.col(f"_w_{n}"), F.col(f"_c_{n}")).alias(n) for n, k, _ in items], *[_two(n).alias(n) for n, *_ in pairs])
+
+
+def _two(n: str) -> Column:
+    """The slice's own two values, completed by the two carried into it."""
+    a, b, ca, cb = (F.col(f"_{x}_{n}") for x in ("a", "b", "ca", "cb"))
+    # Without a second value the slice's own ones all have the key of the first.
+    second = F.when(a.isNull(), cb).when(b.isNotNull(), b).when(ca["k"] != a["k"], ca).otherwise(cb)
+    return F.struct(F.coalesce(a, ca)["v"].alias("a"), second["v"].alias("b"))
+
+
+def _two_carried(base: DataFrame, slices: DataFrame, n: str, forward: bool, part: list[str], at: Column) -> DataFrame:
+    """(slice, part) with the two values that the slices before hand on: the nearest, and the nearest of another key."""
+    key, value, by = ["_slice", *part], F.col(f"_i_{n}"), part or [F.lit(1)]
+    of_key = base.where(value.isNotNull()).groupBy(*key, value["k"].alias("_k")).agg(
+        (F.max_by if forward else F.min_by)(value, at).alias("_v"), (F.max if forward else F.min)(at).alias("_at"))
+    rank = F.row_number().over(W.partitionBy(*key).orderBy(F.col("_at").desc() if forward else F.col("_at").asc()))
+    ends = of_key.withColumn("_nth", rank).where("_nth <= 2").groupBy(*key).agg(
+        *[F.max_by("_v", F.when(F.col("_nth") == i, 1)).alias(f"_t{i}") for i in (1, 2)])
+    # Also the slices without a value, which hand on what they got.
+    ends = join_null_safe(slices, ends, key, "left")
+    before = W.partitionBy(*by).orderBy(F.col("_slice").asc() if forward else F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.withColumn("_got", _latest(F.col("_t1")).over(before))
+    left = F.coalesce(F.col("_t2"), F.when(F.col("_got.k") != F.col("_t1.k"), F.col("_got")))
+    return ends.withColumn("_left", left).select(*key, F.col("_got").alias(f"_ca_{n}"), _latest(F.col("_left")).over(before).alias(f"_cb_{n}"))

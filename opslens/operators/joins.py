@@ -87,9 +87,9 @@ def decoy_candidates(
     """
     second = 1_000_000
     calls = frozen(calls.select("call_id", "region", "customer_id", "seq", micros("call_ts").alias("call_t")))
-    points = txns.select(
+    points = frozen(txns.select(
         "region", "customer_id", "seq", F.col("txn_id").alias("id"), micros("end_ts").alias("t"), F.lit(1).alias("k")
-    )
+    ))
     # offset (s), order against points at the same instant (0 before, 2 after), signs in both counts, tag
     edges = [
         (-horizon, 0, -1, 0, ""), (horizon, 2, 1, 0, ""), (-far, 0, 0, -1, ""), (-near, 2, 0, 1, "past"),
@@ -108,22 +108,18 @@ def decoy_candidates(
     order = ["t", "k", "seq"]
     stacked = points.unionByName(probes, allowMissingColumns=True)
 
-    # p1/n1: nearest point on either side; p2/n2: nearest one of another customer than p1/n1
-    seen = frozen(running(stacked, ["region"], order, keep_slices=True, last_before={"prior": me}, next_after={"later": me}))
-    changed_past, changed_next = F.col("prior.c") != F.col("customer_id"), F.col("later.c") != F.col("customer_id")
-    seen = running(
-        seen, ["region"], order, sums={"n": one}, last={"p1": me, "p2": F.when(is_point & changed_past, F.col("prior"))},
-        next={"n1": me, "n2": F.when(is_point & changed_next, F.col("later"))},
-    ).where(~is_point)
+    # The nearest point on either side and the nearest one of another customer than that.
+    customer = F.col("customer_id")
+    seen = running(stacked, ["region"], order, sums={"n": one}, two_last={"past": (me, customer)}, two_next={"ahead": (me, customer)}).where(~is_point)
     own = running(
         points.select("region", "customer_id", "seq", "t", "k").unionByName(probes.where("sa <> 0 OR sp <> 0"), allowMissingColumns=True),
         ["region", "customer_id"], order, sums={"n": one},
     ).where(~is_point)
 
-    def not_own(first, second_):
-        return F.when(F.col(f"{first}.c") != F.col("customer_id"), F.col(first)).otherwise(F.col(second_))
+    def not_own(side):
+        return F.when(F.col(f"{side}.a.c") != customer, F.col(f"{side}.a")).otherwise(F.col(f"{side}.b"))
 
-    nearest = F.when(F.col("tag").startswith("past"), not_own("p1", "p2")).when(F.col("tag").startswith("ahead"), not_own("n1", "n2"))
+    nearest = F.when(F.col("tag").startswith("past"), not_own("past")).when(F.col("tag").startswith("ahead"), not_own("ahead"))
     rows = seen.select("call_id", "call_t", "sa", "sp", "n", "tag", nearest.alias("o")).unionByName(
         own.select("call_id", (-F.col("sa")).alias("sa"), (-F.col("sp")).alias("sp"), "n"), allowMissingColumns=True
     )
@@ -226,15 +222,21 @@ def span_depths(spans: DataFrame) -> DataFrame:
 
     Pointer doubling: each span holds a span above it and how far that is. A round replaces it by the one that that
     span holds, so distances double and a chain of n spans takes about log2(n) rounds. Spans that still point upwards
-    when the distance exceeds the spans of the largest trace hang in a circle; they have no depth, nor have orphans.
+    when a round has reached no further span hang in a circle; they have no depth, nor have orphans.
     """
-    at_root = F.col("parent_no").isNull()
-    state = frozen(spans.select(
-        "trace_id", "span_no", F.col("parent_no").alias("up"), F.when(at_root, 0).otherwise(1).cast("bigint").alias("dist")).distinct())
-    longest = state.groupBy("trace_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    several = not state.groupBy("trace_id", "span_no").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    reach = 1
-    while reach <= longest and not state.where("up IS NOT NULL").isEmpty():
+    parent = F.col("parent_no")
+    per = frozen(spans.groupBy("trace_id", "span_no").agg(
+        F.min(parent).alias("up"), F.max(parent).alias("other"), F.count_if(parent.isNull()).alias("roots")))
+    several = not per.where("up <> other OR (roots > 0 AND up IS NOT NULL)").isEmpty()
+    state = spans.select("trace_id", "span_no", parent.alias("up")).distinct() if several else per.select("trace_id", "span_no", "up")
+    state = frozen(state.withColumn("dist", F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint")))
+    reached = -1
+    while True:
+        now, left = state.agg(F.count_if(F.col("up").isNull()), F.count_if(F.col("up").isNotNull())).first()
+        # Above a span that is too deep for this round hangs one that is not: if none is reached, none is left to reach.
+        if not left or now == reached:
+            break
+        reached = now
         above = state.select("trace_id", F.col("span_no").alias("up"), F.col("up").alias("up2"), F.col("dist").alias("dist2"))
         moved = state.where("up IS NOT NULL").join(above, ["trace_id", "up"]).select(
             "trace_id", "span_no", F.col("up2").alias("up"), (F.col("dist") + F.col("dist2")).alias("dist"))
@@ -242,7 +244,6 @@ def span_depths(spans: DataFrame) -> DataFrame:
         if several:  # ways that meet again are one
             state = state.groupBy("trace_id", "span_no", "up").agg(F.min("dist").alias("dist"))
         state = frozen(state)
-        reach *= 2
     found = state.where("up IS NULL")
     if several:
         found = found.groupBy("trace_id", "span_no").agg(F.min("dist").alias("dist"))

@@ -118,6 +118,29 @@ def test_running_kinds_with_a_hot_key_over_many_slices(spark):
             assert r["na"] == (after[0] if after else None)
 
 
+@pytest.mark.parametrize("part", [["g"], []])
+def test_two_latest_values_of_different_keys_over_many_slices(spark, part):
+    rng = random.Random(9)
+    rows = [("hot" if rng.random() < 0.8 else None, i, rng.choice("AAAAAAAAAAAAAAAAB" if i < 900 else "CD"), rng.choice([None, i])) for i in range(1500)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "g string, i int, k string, v int").repartition(4)
+        got = running(df, part, ["i"], two_last={"p": (F.col("v"), F.col("k"))}, two_next={"n": (F.col("v"), F.col("k"))}).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+    def two(seen):
+        seen = [r for r in seen if r[3] is not None]
+        first = seen[0] if seen else None
+        other = next((r for r in seen if r[2] != first[2]), None) if first else None
+        return tuple(r and r[3] for r in (first, other))
+
+    assert len(got) == len(rows)
+    for r in got:
+        mine = [x for x in rows if not part or x[0] == r.g]
+        assert (r.p.a, r.p.b) == two([x for x in reversed(mine) if x[1] <= r.i]) and (r.n.a, r.n.b) == two([x for x in mine if x[1] >= r.i])
+
+
 def test_running_over_one_global_order(spark):
     df = spark.range(2000, numPartitions=6).select(F.col("id").alias("i"))
     got = running(df, [], ["i"], sums={"s": F.lit(1)}).where("s <> i + 1").count()
