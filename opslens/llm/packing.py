@@ -2,8 +2,8 @@
 
 Documents are encoded once and cut into pieces; the pieces, with their ids, are written to the shared folder. Then
 only (number, length) is packed. Round one: each task packs its items best-fit, longest first. Nearly full bins are
-done. The others become items of the next round, whole, in fewer tasks, until one task has packed what is left or a
-round merges nothing. The bins of a later round are few, so the rounds are joined back from the last to the first.
+done. The others, all of them, become items of the next round, whole, in fewer tasks, until one task has packed what is left
+or hardly any two of them go together any more. The bins of a later round are few, so the rounds are joined back from the last to the first.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ from opslens.session import broadcast_if_small, frozen
 LENGTH, END = 2048, 0
 #: A bin with at most so much room left is done.
 SLACK = 8
-#: Items that one task packs, about; a tree node takes the open bins of FAN_IN tasks. A task hands on at most CARRY
-#: open bins, the emptiest ones; the rest are done as they are.
-TASK_ITEMS, FAN_IN, CARRY = 50_000, 16, 20_000
+#: Items that one task packs, about. All open bins of a round are items of the next one, in as few tasks as hold them.
+TASK_ITEMS = 50_000
+#: A round that merges a smaller share of its items is the last one.
+LEAST_MERGED = 0.01
 BATCH_BYTES = 4 << 20
 
 
@@ -102,7 +103,7 @@ def best_fit(sizes: list[int], length: int) -> tuple[list[int], list[int], list[
     return bins, offsets, fill
 
 
-def _round(number: int, length: int, slack: int, carry: int):
+def _round(number: int, length: int, slack: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -113,10 +114,7 @@ def _round(number: int, length: int, slack: int, carry: int):
         ids, sizes = ids[order], sizes[order]
         bins, offsets, fill = best_fit(sizes.tolist(), length)
         fill = np.array(fill)
-        still_open = np.flatnonzero(fill < length - slack)
-        still_open = still_open[np.lexsort([still_open, fill[still_open]])][:carry]
-        done = np.ones(len(fill), bool)
-        done[still_open] = False
+        done = fill >= length - slack
         name = (np.int64(number) << np.int64(56)) | (np.int64(TaskContext.get().partitionId()) << np.int64(32))
         bins = np.array(bins)
         for lo in range(0, len(ids), 100_000):
@@ -142,12 +140,13 @@ def places(items: DataFrame, length: int = LENGTH, slack: int = SLACK) -> DataFr
     schema = "item long, bin long, offset long, fill long, done boolean"
     while True:
         dealt = rest.repartition(tasks, "item") if tasks > 1 else rest.coalesce(1)
-        packed = frozen(dealt.mapInArrow(_round(number, length, slack, CARRY), schema))
+        packed = frozen(dealt.mapInArrow(_round(number, length, slack), schema))
         rounds.append(packed)
         still = packed.filter("not done").groupBy("bin").agg(F.max("fill").alias("fill")).select(F.col("bin").alias("item"), F.col("fill").alias("size"))
-        if tasks == 1 or still.isEmpty():
+        left = still.count() if tasks > 1 else 0
+        if not left or left > (1 - LEAST_MERGED) * n:
             break
-        rest, tasks, number = still, -(-tasks // FAN_IN), number + 1
+        rest, n, tasks, number = still, left, -(-left // TASK_ITEMS), number + 1
     out = rounds.pop().select("item", F.col("bin").alias("sequence_id"), "offset")
     while rounds:
         below = rounds.pop()

@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opslens.llm import balance, gnat, packing, queries, repair
 from opslens.llm.tokens import VOCABULARY, encoder
@@ -112,6 +113,18 @@ def test_balance_of_odd_rows(spark):
     assert sorted(map(tuple, balance.pack(docs.coalesce(1), window=2000).collect()), key=str) == sorted(map(tuple, out), key=str)
 
 
+def test_best_fit_hands_on_every_open_bin(spark, monkeypatch):
+    """Bins that are half full in every task find each other in later rounds, however many there are."""
+    monkeypatch.setattr(packing, "TASK_ITEMS", 100)
+    alone = spark.range(3000).select(F.col("id").alias("uid"), F.lit(60).cast("long").alias("length"))
+    got = packing.places(alone, 100, slack=2)
+    assert got.select("sequence_id").distinct().count() == 3000
+    # What fits them comes late in the order of ids, and is rare: later rounds must still meet it.
+    some = alone.unionByName(spark.range(3000, 3400).select(F.col("id").alias("uid"), F.lit(39).cast("long").alias("length")))
+    got = packing.places(some, 100, slack=2)
+    assert got.count() == 3400 and got.select("sequence_id").distinct().count() <= 3005
+
+
 # --- 12
 
 
