@@ -24,8 +24,9 @@ from opslens.session import broadcast_if_small, frozen
 LENGTH, END = 2048, 0
 #: A bin with at most so much room left is done.
 SLACK = 8
-#: Items that one task packs, about. All open bins of a round are items of the next one, in as few tasks as hold them.
-TASK_ITEMS = 50_000
+#: Items that one task packs at first, about. All open bins of a round are items of the next one; a tree node takes those of
+#: FAN_IN tasks, or fewer if these have more than NODE times TASK_ITEMS.
+TASK_ITEMS, FAN_IN, NODE = 50_000, 16, 4
 #: A round that merges a smaller share of its items is the last one.
 LEAST_MERGED = 0.01
 BATCH_BYTES = 4 << 20
@@ -146,7 +147,7 @@ def places(items: DataFrame, length: int = LENGTH, slack: int = SLACK) -> DataFr
         left = still.count() if tasks > 1 else 0
         if not left or left > (1 - LEAST_MERGED) * n:
             break
-        rest, n, tasks, number = still, left, -(-left // TASK_ITEMS), number + 1
+        rest, n, tasks, number = still, left, max(-(-tasks // FAN_IN), -(-left // (NODE * TASK_ITEMS))), number + 1
     out = rounds.pop().select("item", F.col("bin").alias("sequence_id"), "offset")
     while rounds:
         below = rounds.pop()
