@@ -4,13 +4,15 @@ Each page becomes a tree. Parts that are never article text (menus, forms, scrip
 Every node left gets a density: characters per tag, weighed down by the share of linked characters and tags. The sum
 of the densities of a node's children shows how much text it gathers. The lowest density on the way from the node with
 the largest sum up to the body is the page's threshold: under every node that reaches it, the subtree with the largest
-sum is content.
+sum is content. The density's logarithm has itself a logarithm as base; that base is taken as e at least, so links count
+for nothing in it where they are too few to lift it above e.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from itertools import accumulate
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 CUT = frozenset(
     "aside audio button canvas datalist dialog embed fieldset footer form frame frameset head iframe input label map menu "
     "meter nav noframes noscript object option output progress script select style svg template textarea title video".split())
+#: Of these, the ones whose words are part of the sentence when they stand in one.
+CONTROLS = frozenset("button label meter object output progress".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that begin and end a block of text.
@@ -44,6 +48,14 @@ MARKS = frozenset(
     "navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion "
     "related recommended recommendations replies reply search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription toast toolbar topbar widget".split())
+#: Words that go with them without saying what a part is.
+_PLAIN = frozenset(
+    "area bar block body bottom box button buttons container content form group icons inline inner item left link links list "
+    "message msg page panel right section site slot stories story text thread title top unit wrap wrapper".split())
+#: Elements of running text: such a word marks them only if nothing else is said in the same name ("ad-slot", not "ad-hoc").
+_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption".split())
+#: Names that mark readers' comments, however long they are.
+THREADS = frozenset("comment comments commentlist disqus replies reply".split())
 _HEADER = frozenset("header banner masthead topbar".split())
 _KEEP = frozenset("html body main article".split())
 
@@ -54,30 +66,39 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*)>""
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "cut", "marks", "chars", "links", "tags", "link_tags", "density", "total", "content")
+    __slots__ = ("tag", "parent", "children", "cut", "marks", "chars", "links", "tags", "link_tags", "density", "total", "content", "best", "thread",
+                 "inside", "says")
 
     def __init__(self, tag: str, parent: "_Node | None"):
         self.tag, self.parent = tag, parent
         self.children: list = []
         self.cut = False
+        self.thread = False
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        self.says: bool | None = None
         self.marks: frozenset[str] = frozenset()
 
 
-def _traits(attributes: str) -> tuple[frozenset[str], bool]:
-    """The marks among the words of class, id and role; whether the element is hidden."""
-    found, hidden = set(), False
+def _traits(attributes: str) -> tuple[frozenset[str], frozenset[str], bool]:
+    """The marks among the words of class, id and role; those of names that say nothing else; whether the element is hidden."""
+    found, whole, hidden = set(), set(), False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role"):
             found.update(_WORD.findall(value))
+            for token in value.split():
+                parts = set(_NAME.findall(token))
+                if parts <= MARKS | _HEADER | _PLAIN:
+                    whole |= parts
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             hidden = True
         elif name == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
-    return frozenset(found & (MARKS | _HEADER)), hidden
+    return frozenset(found & (MARKS | _HEADER)), frozenset(whole & (MARKS | _HEADER)), hidden
 
 
 class _Tree:
@@ -86,6 +107,7 @@ class _Tree:
     def __init__(self, page: str):
         self.root = _Node("html", None)
         self.nodes, self.open = [self.root], [self.root]
+        self.held: Counter[str] = Counter()  # open elements by tag
         at, n = 0, len(page)
         while at < n:
             lt = page.find("<", at)
@@ -125,11 +147,17 @@ class _Tree:
     def _text(self, data: str) -> None:
         self.open[-1].children.append(unescape(data) if "&" in data else data)
 
+    def _leave(self, i: int) -> None:
+        self.held.subtract(n.tag for n in self.open[i:])
+        del self.open[i:]
+
     def _end(self, kinds: frozenset[str], bounds: frozenset[str]) -> None:
+        if not any(self.held[k] for k in kinds):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i].tag
             if tag in kinds:
-                del self.open[i:]
+                self._leave(i)
                 return
             if tag in bounds:
                 return
@@ -138,9 +166,11 @@ class _Tree:
         if tag == "br":
             self.open[-1].children.append(" ")
             return
-        if tag == "html" or tag == "body" and any(n.tag == "body" for n in self.open):
+        if tag == "html" or tag == "body" and self.held["body"]:
             return
-        marks, hidden = _traits(attributes) if attributes else (frozenset(), False)
+        marks, whole, hidden = _traits(attributes) if attributes else (frozenset(), frozenset(), False)
+        if tag in _TEXT:
+            marks = whole
         block = tag in BLOCK
         if not (block or tag == "a" or tag in CUT or marks or hidden) or tag in VOID:
             return
@@ -156,16 +186,20 @@ class _Tree:
         node.cut = hidden
         if tag not in _KEEP:
             node.marks = marks
+        node.thread = bool(whole & THREADS) and tag not in ("html", "body", "main")
         self.open[-1].children.append(node)
         self.nodes.append(node)
         if not attributes.endswith("/") or block:
             self.open.append(node)
+            self.held[tag] += 1
 
     def _close(self, tag: str) -> None:
+        if not self.held[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             at = self.open[i].tag
             if at == tag:
-                del self.open[i:]
+                self._leave(i)
                 return
             if at in ("article", "main", "body", "table") and tag not in BLOCK or tag == "p" and at in _SCOPE:
                 return
@@ -219,14 +253,16 @@ def _spared(nodes: list[_Node], wraps: set[int]) -> set[int]:
 
 def _prune(nodes: list[_Node]) -> None:
     """Marks the nodes that are cut off. A form stays if it wraps the page's article, a marked element if it holds the
-    story; a header inside an article keeps its headings."""
-    wraps = set()
+    story; a header inside an article keeps its headings, a sentence its controls. Readers' comments go, however long."""
+    wraps, mains = set(), set()
     for n in nodes:
-        if n.tag in ("article", "main", "h1"):
-            up = n.parent
-            while up is not None and id(up) not in wraps:
-                wraps.add(id(up))
+        for names, above in ((("article", "main", "h1"), wraps), (("main",), mains)):
+            up = n.parent if n.tag in names else None
+            while up is not None and id(up) not in above:
+                above.add(id(up))
                 up = up.parent
+    for n in nodes[1:]:
+        n.cut |= n.thread and id(n) not in mains
     spared = _spared(nodes, wraps)
     for n in nodes[1:]:
         if n.cut or n.parent.cut:
@@ -235,14 +271,12 @@ def _prune(nodes: list[_Node]) -> None:
         if id(n) in spared and n.tag not in CUT and n.tag != "header":
             continue
         head = n.tag == "header" or bool(n.marks & _HEADER)
+        if n.tag in CONTROLS and not n.marks and _in_sentence(n):
+            continue
         if n.tag in CUT:
             n.cut = not (n.tag in ("form", "fieldset") and id(n) in wraps)
         elif head:
-            inside, up = False, n.parent
-            while up is not None:
-                inside |= up.tag in ("article", "main")
-                up = up.parent
-            if inside and id(n) in wraps:
+            if n.inside and id(n) in wraps:
                 n.children = [c for c in n.children if isinstance(c, _Node)]
                 for c in n.children:
                     c.cut |= not (c.tag in HEADINGS or id(c) in wraps)
@@ -252,6 +286,16 @@ def _prune(nodes: list[_Node]) -> None:
             n.cut = True
 
 
+def _in_sentence(n: _Node) -> bool:
+    """Whether the element stands in a text element beside words."""
+    up = n.parent
+    if up is None or up.tag not in _TEXT:
+        return False
+    if up.says is None:
+        up.says = any(isinstance(c, str) and not c.isspace() for c in up.children)
+    return up.says
+
+
 def _measure(nodes: list[_Node], body: _Node) -> None:
     for n in nodes:
         n.chars = n.links = n.tags = n.link_tags = 0
@@ -276,23 +320,16 @@ def _measure(nodes: list[_Node], body: _Node) -> None:
             plain = max(n.chars - n.links, 1)
             base = math.log(n.chars / plain * n.links + share * n.chars + math.e)
             ratio = n.chars / max(n.links, 1) * max(n.tags, 1) / max(n.link_tags, 1)
-            # The base is at least e, its logarithm at least 1; only a base of e itself would be divided by ln(e) = 1.
             n.density = n.chars / max(n.tags, 1) * max(math.log(max(ratio, 1.0)) / max(math.log(max(base, math.e)), 1.0), 0.0)
         if n.parent is not None:
             n.parent.total += n.density
         if not any(isinstance(c, _Node) and not c.cut for c in n.children):
             n.total = max(n.total, n.density)
-
-
-def _best(top: _Node) -> _Node:
-    """The node of the subtree with the largest sum; of equal ones the outermost."""
-    best, todo = top, [top]
-    while todo:
-        n = todo.pop()
-        if n.total > best.total:
-            best = n
-        todo.extend(c for c in n.children if isinstance(c, _Node) and not c.cut)
-    return best
+        # The node of its subtree with the largest sum; of equal ones the outermost, of those beside each other the last.
+        n.best = n
+        for c in reversed(n.children):
+            if isinstance(c, _Node) and not c.cut and c.best.total > n.best.total:
+                n.best = c.best
 
 
 def main_text(html: str | None) -> str:
@@ -303,7 +340,7 @@ def main_text(html: str | None) -> str:
     body = next((n for n in tree.nodes if n.tag == "body"), tree.root)
     _prune(tree.nodes)
     _measure(tree.nodes, body)
-    best = _best(body)
+    best = body.best
     limit, up = best.density, best
     while up is not body and up.parent is not None:
         up = up.parent
@@ -312,7 +349,7 @@ def main_text(html: str | None) -> str:
     while todo:
         n = todo.pop()
         if n.density >= limit:
-            _best(n).content = True
+            n.best.content = True
             todo.extend(c for c in n.children if isinstance(c, _Node) and not c.cut)
     return "\n\n".join(_blocks(body))
 
@@ -320,10 +357,10 @@ def main_text(html: str | None) -> str:
 def _blocks(body: _Node) -> Iterator[str]:
     """Blocks of text inside content nodes, in page order."""
     held: list[str] = []
-    todo: list = [(body, body.content)]
+    todo: list = [(body, body.content, False)]
     ends = object()
     while todo:
-        item, inside = todo.pop()
+        item, inside, story = todo.pop()
         if item is ends:
             if text := " ".join("".join(held).split()):
                 yield text
@@ -333,19 +370,20 @@ def _blocks(body: _Node) -> Iterator[str]:
                 held.append(item)
         elif not item.cut:
             inside = inside or item.content
+            story = story or item.tag == "article" and 2 * item.links < item.chars
             block = item.tag in BLOCK
             if block:
-                todo.append((ends, inside))
-            if not _link_list(item):
-                todo.extend((c, inside) for c in reversed(item.children))
+                todo.append((ends, inside, story))
+            if story or not _link_list(item):
+                todo.extend((c, inside, story) for c in reversed(item.children))
             if block:
-                todo.append((ends, inside))
+                todo.append((ends, inside, story))
     if text := " ".join("".join(held).split()):
         yield text
 
 
 def _link_list(n: _Node) -> bool:
-    """A list of links: three or more, and hardly any other text."""
+    """A list of links: three or more, and hardly any other text. Those of an article (sources, references) are its text."""
     return n.tag in ("ul", "ol", "div", "table", "dl", "section") and n.link_tags >= 3 and n.links >= 0.9 * n.chars
 
 
