@@ -27,8 +27,9 @@ from opslens.llm.common import components, forest
 from opslens.llm.vectors import lengths_agree, matrix, representatives, rows_of, usable
 from opslens.session import frozen
 
-#: Vectors of a shard, about, and the largest number of centres (broadcast: at most MAX_CENTRES vectors).
-SHARD, MAX_CENTRES = 1500, 16_384
+#: Vectors of a shard, about, whatever the overlap, and the largest number of centres (broadcast in single precision: at
+#: most MAX_CENTRES vectors). Beyond MAX_CENTRES * SHARD / overlap vectors the shards grow.
+SHARD, MAX_CENTRES = 1500, 32_768
 #: Shards of each vector, tried in order.
 OVERLAPS = (3, 6, 12)
 #: Kept neighbours of a vector and shard, its nearest and its random candidates, and the pruning factor.
@@ -38,7 +39,10 @@ WIDTH, SLACK = 12, 0.08
 AUDIT, RECALL = 256, 0.99
 #: Probes for each audited vector: vectors made at just the limit from it, which must share a shard with it.
 PROBES = 16
-_BLOCK = 256
+#: Rows searched together, and pairs whose vectors are held at a time.
+_BLOCK, _PAIRS = 256, 50_000
+#: What building, uniting and searching cost for a pair of a shard, against a pair of the full comparison, about.
+WORK = 8
 #: Bytes of vectors that are compared with all others at a time, and the rows of both sides of one product.
 SLICE_BYTES, _LEFT, _RIGHT = 32 << 20, 512, 4096
 
@@ -82,11 +86,51 @@ def prune(u: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def search(u: np.ndarray, graph: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) of rows found within ``limit``: greedy from medoid and own node, then on while in range."""
+def _dots(u: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products of the rows x with the rows y, some at a time: every row of a block may look at the same hub's neighbours."""
+    out = np.empty(len(x))
+    for lo in range(0, len(x), _PAIRS):
+        at = slice(lo, lo + _PAIRS)
+        out[at] = np.einsum("ij,ij->i", u[x[at]], u[y[at]])
+    return out
+
+
+class Graph:
+    """Adjacency lists end to end; a hub with very many neighbours makes no other list longer."""
+
+    def __init__(self, n: int, of: np.ndarray, to: np.ndarray):
+        self.count = np.bincount(of, minlength=n)
+        self.start = np.concatenate([[0], np.cumsum(self.count)])
+        self.to = to
+
+    def rows(self, nodes: np.ndarray) -> np.ndarray:
+        """The lists of some nodes as a matrix filled up with -1."""
+        place = np.arange(max(int(self.count[nodes].max(initial=0)), 1))
+        at = np.minimum(self.start[nodes][:, None] + place, max(len(self.to) - 1, 0))
+        has = place < self.count[nodes][:, None]
+        return np.where(has, self.to[at], -1) if len(self.to) else np.full(has.shape, -1)
+
+    def each(self, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in ``nodes``, neighbour) of all of them, about a million at a time."""
+        done = np.cumsum(self.count[nodes])
+        lo = 0
+        while lo < len(nodes):
+            base = done[lo] - self.count[nodes[lo]]
+            hi = max(lo + 1, int(np.searchsorted(done, base + (1 << 20), side="right")))
+            n = self.count[nodes[lo:hi]]
+            shift = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            yield np.repeat(np.arange(lo, hi), n), self.to[np.repeat(self.start[nodes[lo:hi]], n) + shift]
+            lo = hi
+
+
+def search(u: np.ndarray, graph: Graph, limit: float) -> np.ndarray:
+    """For each row the rows found within ``limit``, one bit each: greedy from medoid and own node, then on while in range.
+
+    A dense group of n rows takes n * n / 8 bytes; its pairs are listed for a block of rows at a time.
+    """
     n = len(u)
     medoid = int((u @ u.mean(0)).argmax())
-    found_q, found_v = [], []
+    found = np.zeros((n, -(-n // 8)), np.uint8)
     for lo in range(0, n, _BLOCK):
         q = np.arange(lo, min(n, lo + _BLOCK))
         m = len(q)
@@ -105,13 +149,13 @@ def search(u: np.ndarray, graph: np.ndarray, limit: float) -> tuple[np.ndarray,
             if not busy.any():
                 break
             done[own, at] = True
-            step = np.where(busy[:, None], graph[beam[own, at]], -1)
+            step = np.where(busy[:, None], graph.rows(beam[own, at]), -1)
             fresh = (step >= 0) & ~seen[own[:, None], step]
             a, b = np.nonzero(fresh)
             node = step[a, b]
             seen[a, node] = True
             sim = np.full(step.shape, -np.inf)
-            sim[a, b] = np.einsum("ij,ij->i", u[q[a]], u[node])
+            sim[a, b] = _dots(u, q[a], node)
             hit = sim[a, b] >= limit - SLACK
             pairs_q.append(a[hit])
             pairs_v.append(node[hit])
@@ -124,28 +168,36 @@ def search(u: np.ndarray, graph: np.ndarray, limit: float) -> tuple[np.ndarray,
         v = np.concatenate(pairs_v) if pairs_v else np.empty(0, int)
         s = np.concatenate(pairs_s) if pairs_s else np.empty(0)
         # In range (or nearly): look at their neighbours as long as new ones turn up.
+        hits = np.zeros((m, n), bool)
         while len(a):
             good = s >= limit
-            found_q.append(q[a[good]])
-            found_v.append(v[good])
+            hits[a[good], v[good]] = True
             next_a, next_v, next_s = [], [], []
-            for c in range(0, len(a), 50_000):
-                step = graph[v[c:c + 50_000]]
-                flat = np.repeat(a[c:c + 50_000], step.shape[1]) * n + step.ravel()
-                flat = np.unique(flat[step.ravel() >= 0])
+            for of, to in graph.each(v):
+                x = a[of]
+                new = ~seen[x, to]
+                flat = np.unique(x[new] * n + to[new])
                 x, y = flat // n, flat % n
-                new = ~seen[x, y]
-                x, y = x[new], y[new]
                 seen[x, y] = True
-                sim = np.einsum("ij,ij->i", u[q[x]], u[y])
+                sim = _dots(u, q[x], y)
                 hit = sim >= limit - SLACK
                 next_a.append(x[hit])
                 next_v.append(y[hit])
                 next_s.append(sim[hit])
             a, v, s = np.concatenate(next_a), np.concatenate(next_v), np.concatenate(next_s)
-    if not found_q:
-        return np.empty(0, int), np.empty(0, int)
-    return np.concatenate(found_q), np.concatenate(found_v)
+        found[q] = np.packbits(hits, axis=1)
+    return found
+
+
+def _either(found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs (row, other row) that one of the two has found, both ways, for a block of rows at a time."""
+    n = len(found)
+    for lo in range(0, n, _BLOCK):
+        hi = min(n, lo + _BLOCK)
+        mine = np.unpackbits(found[lo:hi], axis=1, count=n).view(bool)
+        theirs = np.unpackbits(found[:, lo // 8:-(-hi // 8)], axis=1, count=hi - lo).view(bool).T
+        a, b = np.nonzero(mine | theirs)
+        yield a + lo, b
 
 
 def meeting(u: np.ndarray, centres: np.ndarray, limit: float, overlap: int) -> float:
@@ -166,13 +218,21 @@ def meeting(u: np.ndarray, centres: np.ndarray, limit: float, overlap: int) -> f
     return met / (PROBES * len(u))
 
 
-def _steps(overlaps, u: np.ndarray, centres: np.ndarray, limit: float, recall: float, shard: int, total: int) -> list[int]:
-    """The overlaps to try: those with which enough probes meet their vector; beyond the given ones doubled, as long as the
-    shards make fewer pairs than comparing all vectors does."""
+def centres_for(overlap: int, total: int, shard: int) -> int:
+    """How many centres give shards of about ``shard`` rows when each vector lies in ``overlap`` of them."""
+    return 1 if total <= shard else min(MAX_CENTRES, -(-overlap * total // shard))
+
+
+def _steps(overlaps, total: int, shard: int) -> list[int]:
+    """The overlaps to try: the given ones, then doubled as long as the shards cost less than comparing all vectors does."""
     steps = list(overlaps)
-    while steps[-1] < len(centres) and (2 * steps[-1]) ** 2 * shard < total:
+
+    def cost(k: int) -> float:
+        return WORK * k * max(shard, k * total / centres_for(k, total, shard))
+
+    while steps[-1] < centres_for(steps[-1], total, shard) and cost(2 * steps[-1]) < total:
         steps.append(2 * steps[-1])
-    return [k for k in steps if meeting(u, centres, limit, k) >= recall]
+    return steps
 
 
 def _assign(centres, overlap: int):
@@ -181,10 +241,11 @@ def _assign(centres, overlap: int):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = centres.value
         k = min(overlap, len(c))
+        step = max(1, min(2048, (1 << 23) // len(c)))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
-                sim = _unit(matrix(part.column("v"))) @ c.T
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                sim = _unit(matrix(part.column("v"))).astype(c.dtype) @ c.T
                 shards = np.sort(np.argpartition(-sim, k - 1, axis=1)[:, :k], axis=1)
                 row = pa.array(np.repeat(np.arange(len(sim)), k))
                 yield pa.record_batch({
@@ -224,29 +285,23 @@ def _walk(limit: float):
         of, at = np.concatenate([of[inside], at[inside]]), np.concatenate([at[inside], of[inside]])
         pairs = np.unique(of * len(ids) + at)
         of, at = pairs // len(ids), pairs % len(ids)
-        degree = np.bincount(of, minlength=len(ids))
-        graph = np.full((len(ids), max(int(degree.max(initial=0)), 1)), -1, np.int64)
-        graph[of, np.arange(len(of)) - np.repeat(np.cumsum(degree) - degree, degree)] = at
-        a, b = search(_unit(v), graph, limit - 1e-6)
-        a, b = np.concatenate([a, b]), np.concatenate([b, a])
-        both = np.unique(a * len(ids) + b)
-        a, b = both // len(ids), both % len(ids)
         norms = np.sqrt(np.einsum("ij,ij->i", v, v))
-        ok = np.zeros(len(a), bool)
-        here = rows.column("shard")[0].as_py()
-        for lo in range(0, len(a), 100_000):
-            x, y = a[lo:lo + 100_000], b[lo:lo + 100_000]
-            ok[lo:lo + 100_000] = np.einsum("ij,ij->i", v[x], v[y]) / (norms[x] * norms[y]) >= limit
-        a, b = a[ok], b[ok]
         links = np.zeros(len(ids), np.int64)
-        for lo in range(0, len(a), 100_000):
-            x, y = a[lo:lo + 100_000], b[lo:lo + 100_000]
-            common = (shards[x][:, :, None] == shards[y][:, None, :]).any(2)
-            first = np.where(common, shards[x], np.iinfo(np.int64).max).min(1)
-            mine = first == here
-            links += np.bincount(x[mine], weights=copies[y[mine]], minlength=len(ids)).astype(np.int64)
+        here = rows.column("shard")[0].as_py()
+        fa = fb = np.empty(0, np.int64)
+        for a, b in _either(search(_unit(v), Graph(len(ids), of, at), limit - 1e-6)):
+            for lo in range(0, len(a), _PAIRS):
+                x, y = a[lo:lo + _PAIRS], b[lo:lo + _PAIRS]
+                ok = (x != y) & (np.einsum("ij,ij->i", v[x], v[y]) / (norms[x] * norms[y]) >= limit)
+                x, y = x[ok], y[ok]
+                if not len(x):
+                    continue
+                common = (shards[x][:, :, None] == shards[y][:, None, :]).any(2)
+                first = np.where(common, shards[x], np.iinfo(np.int64).max).min(1)
+                mine = first == here
+                links += np.bincount(x[mine], weights=copies[y[mine]], minlength=len(ids)).astype(np.int64)
+                fa, fb = forest(np.concatenate([fa, ids[x]]), np.concatenate([fb, ids[y]]))
         some = links > 0
-        fa, fb = forest(ids[a], ids[b]) if len(a) else (a, b)
         none = pa.nulls(len(fa), pa.int64())
         return pa.table({
             "vec_id": pa.chunked_array([pa.array(ids[some]), none]), "links": pa.chunked_array([pa.array(links[some]), none]),
@@ -265,7 +320,11 @@ def _exact(asked, limit: float):
         for batch in batches:
             if batch.num_rows:
                 v = matrix(batch.column("v"))
-                hit = x @ v.T / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(v, axis=1)) >= limit
+                own, theirs = np.linalg.norm(x, axis=1), np.linalg.norm(v, axis=1)
+                sim = x @ v.T / (own[:, None] * theirs)
+                hit = sim >= limit
+                i, j = np.nonzero(np.abs(sim - limit) < 1e-12)  # decided by the sum over one pair, as in the search
+                hit[i, j] = np.einsum("ij,ij->i", x[i], v[j]) / (own[i] * theirs[j]) >= limit
                 hit &= ids[:, None] != np.asarray(batch.column("vec_id"))[None, :]
                 n += hit @ np.asarray(batch.column("copies"))
         yield pa.record_batch({"vec_id": pa.array(ids), "true": pa.array(n)})
@@ -361,17 +420,22 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
     alone = base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if not total:
         return alone.withColumn("kept", F.col("vec_id").isNotNull())
-    wanted = min(MAX_CENTRES, max(1, -(-total // shard)))
+    steps = _steps(overlaps, total, shard)
+    wanted = max(centres_for(k, total, shard) for k in steps)
     draw = F.pmod(F.xxhash64("v", F.lit(2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = reps.filter(draw < wanted / total).select("vec_id", "v").toArrow()
-    centres = _unit(matrix(drawn.column("v"))) if drawn.num_rows else np.ones((1, lengths_agree(reps)))
-    centres = spark.sparkContext.broadcast(centres[np.argsort(np.asarray(drawn.column("vec_id")))] if drawn.num_rows else centres)
+    # A tenth more, since the draw's number varies; the centres of a smaller overlap are the first of those of a larger one.
+    drawn = reps.withColumn("draw", draw).filter(F.col("draw") < (1.1 * wanted + 20) / total).select("draw", "vec_id", "v").toArrow()
+    drawn = drawn.sort_by([("draw", "ascending"), ("vec_id", "ascending")])
+    every = _unit(matrix(drawn.column("v"))) if drawn.num_rows else np.ones((1, lengths_agree(reps)))
     sample = reps.orderBy(F.xxhash64("vec_id")).limit(AUDIT).toArrow()
     asked = spark.sparkContext.broadcast((np.asarray(sample.column("vec_id")), matrix(sample.column("v"))))
     truth = frozen(reps.mapInArrow(_exact(asked, limit), "vec_id long, true long").groupBy("vec_id").agg(F.sum("true").alias("true")))
     found = None
-    steps = _steps(overlaps, _unit(asked.value[1]), centres.value, limit, recall, shard, total)
     for overlap in steps:
+        chosen = every[:centres_for(overlap, total, shard)]
+        if meeting(_unit(asked.value[1]), chosen, limit, overlap) < recall:
+            continue
+        centres = spark.sparkContext.broadcast(chosen.astype(np.float32))
         placed = frozen(reps.select("vec_id", "copies", "v").mapInArrow(
             _assign(centres, overlap), "shard long, shards array<int>, vec_id long, copies long, v array<double>"))
         graph = placed.groupBy("shard").applyInArrow(_build, "vec_id long, near array<long>")
@@ -380,7 +444,7 @@ def near_duplicates(rows: DataFrame, limit: float = 0.9, recall: float = RECALL,
         links = found.filter("vec_id is not null").groupBy("vec_id").agg(F.sum("links").alias("links"))
         true, hit = truth.filter(F.col("true") > 0).join(links, "vec_id", "left").agg(
             F.count(F.lit(1)), F.count_if(F.coalesce("links", F.lit(0)) >= F.col("true"))).first()
-        if hit >= recall * true or len(centres.value) <= overlap:
+        if hit >= recall * true or len(chosen) <= overlap:
             break
     if found is None or hit < recall * true:
         said = f"{hit} of {true} vectors had all their links with {overlap}" if found is not None else f"probes are lost with {max(overlaps)}"
