@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,43 +86,47 @@ def decoy_candidates(
     No call-transaction pairs are formed: counts are differences of running counts, and
     the nearest is the last transaction in time order, or the last one of another customer.
     """
-    second = 1_000_000
-    calls = frozen(calls.select("call_id", "region", "customer_id", "seq", micros("call_ts").alias("call_t")))
+    # Rows are shuffled and written several times, so a probe holds no more than its call, its instant and its edge.
+    second, point = 1_000_000, 50
+    calls = frozen(calls.select(F.col("call_id").alias("id"), "region", "customer_id", micros("call_ts").alias("call_t")))
     points = frozen(txns.select(
-        "region", "customer_id", "seq", F.col("txn_id").alias("id"), micros("end_ts").alias("t"), F.lit(1).alias("k")
+        "region", "customer_id", "seq", F.col("txn_id").alias("id"), micros("end_ts").alias("t"), F.lit(point).cast("tinyint").alias("e")
     ))
-    # offset (s), order against points at the same instant (0 before, 2 after), signs in both counts, tag
-    edges = [
-        (-horizon, 0, -1, 0, ""), (horizon, 2, 1, 0, ""), (-far, 0, 0, -1, ""), (-near, 2, 0, 1, "past"),
-        (near, 0, 0, -1, "ahead"), (far, 2, 0, 1, ""), (0, 2, 0, 0, "past_any"), (0, 0, 0, 0, "ahead_any"),
-    ]
-    items = F.array(*[
-        F.struct(F.lit(o * second).alias("o"), F.lit(k).alias("k"), F.lit(a).alias("sa"), F.lit(b).alias("sp"), F.lit(g).alias("tag"))
-        for o, k, a, b, g in edges
-    ])
+    # number, which also orders (below 50 before points at the same instant, above behind): offset (s), signs in both counts, tag
+    edges = {
+        0: (-horizon, -1, 0, ""), 1: (-far, 0, -1, ""), 2: (near, 0, -1, "ahead"), 3: (0, 0, 0, "ahead_any"),
+        101: (horizon, 1, 0, ""), 102: (-near, 0, 1, "past"), 103: (far, 0, 1, ""), 104: (0, 0, 0, "past_any"),
+    }
+    counted = [n for n, (_, sa, sp, _) in edges.items() if sa or sp]
+
+    def of_edge(i):
+        value = {n: F.lit(e[i] * second).cast("bigint") if i == 0 else e[i] for n, e in edges.items()}
+        return reduce(lambda found, n: found.when(F.col("e") == n, value[n]), value, F)
+
+    items = F.array(*[F.lit(n).cast("tinyint") for n in edges])
     probes = calls.withColumn("e", F.explode(items)).select(
-        "call_id", "region", "customer_id", "seq", "call_t", (F.col("call_t") + F.col("e.o")).alias("t"), "e.k", "e.sa", "e.sp", "e.tag"
-    )
-    is_point = F.col("k") == 1
+        "region", "customer_id", "id", (F.col("call_t") + of_edge(0)).alias("t"), "e")
+    is_point = F.col("e") == point
     one = F.when(is_point, 1).otherwise(0)
     me = F.when(is_point, F.struct("t", "id", F.col("customer_id").alias("c")))
-    order = ["t", "k", "seq"]
+    order = ["t", "e", "seq"]  # probes without seq may tie, which no running value sees
     stacked = points.unionByName(probes, allowMissingColumns=True)
 
     # The nearest point on either side and the nearest one of another customer than that.
     customer = F.col("customer_id")
     seen = running(stacked, ["region"], order, sums={"n": one}, two_last={"past": (me, customer)}, two_next={"ahead": (me, customer)}).where(~is_point)
     own = running(
-        points.select("region", "customer_id", "seq", "t", "k").unionByName(probes.where("sa <> 0 OR sp <> 0"), allowMissingColumns=True),
+        points.drop("id").unionByName(probes.where(F.col("e").isin(counted)), allowMissingColumns=True),
         ["region", "customer_id"], order, sums={"n": one},
     ).where(~is_point)
 
     def not_own(side):
         return F.when(F.col(f"{side}.a.c") != customer, F.col(f"{side}.a")).otherwise(F.col(f"{side}.b"))
 
-    nearest = F.when(F.col("tag").startswith("past"), not_own("past")).when(F.col("tag").startswith("ahead"), not_own("ahead"))
-    rows = seen.select("call_id", "call_t", "sa", "sp", "n", "tag", nearest.alias("o")).unionByName(
-        own.select("call_id", (-F.col("sa")).alias("sa"), (-F.col("sp")).alias("sp"), "n"), allowMissingColumns=True
+    tag, at = of_edge(3), F.col("t") - of_edge(0)
+    nearest = F.when(tag.startswith("past"), not_own("past")).when(tag.startswith("ahead"), not_own("ahead"))
+    rows = seen.select("id", at.alias("call_t"), of_edge(1).alias("sa"), of_edge(2).alias("sp"), "n", tag.alias("tag"), nearest.alias("o")).unionByName(
+        own.select("id", (-of_edge(1)).alias("sa"), (-of_edge(2)).alias("sp"), "n"), allowMissingColumns=True
     )
     gap = F.abs(F.col("call_t") - F.col("o.t"))
 
@@ -129,7 +134,7 @@ def decoy_candidates(
         ok = F.col("tag").isin(*tags) & (gap <= limit * second)
         return F.min(F.when(ok, F.struct(gap.alias("gap"), F.col("o.id").alias("id"))))
 
-    return rows.groupBy("call_id").agg(
+    return rows.groupBy(F.col("id").alias("call_id")).agg(
         F.sum(F.col("sa") * F.col("n")).alias("candidates"), F.sum(F.col("sp") * F.col("n")).alias("preferred"),
         best(["past", "ahead"], far).alias("p"), best(["past_any", "ahead_any"], horizon).alias("a"),
     ).select(

@@ -102,6 +102,15 @@ def test_decoys_equal_brute_force_with_ties_and_hot_region(spark):
             assert r.nearest_txn_id in {x for g, x in pool if g == min(p[0] for p in pool)}
 
 
+def test_decoy_probes_are_narrow(spark, monkeypatch):
+    wide, run = [], joins.running
+    monkeypatch.setattr(joins, "running", lambda df, *a, **k: wide.append(set(df.columns)) or run(df, *a, **k))
+    t = spark.createDataFrame([(1, "T", "r", 1, T0)], "seq bigint, txn_id string, region string, customer_id bigint, end_ts timestamp_ntz")
+    c = spark.createDataFrame([(2, "C", "r", 2, T0 + timedelta(minutes=30))], "seq bigint, call_id string, region string, customer_id bigint, call_ts timestamp_ntz")
+    assert [tuple(r) for r in joins.decoy_candidates(c, t).collect()] == [("C", 1, 1, "T")]
+    assert len(wide) == 2 and all(w <= {"region", "customer_id", "seq", "id", "t", "e"} for w in wide)
+
+
 def test_spike_islands_break_at_calm_rows(spark):
     values = [1, 1, 9, 8, 1, 1, 7, 1, 1, 1, 9]
     rows = [("k", T0 + timedelta(minutes=i), float(v), i) for i, v in enumerate(values)]
