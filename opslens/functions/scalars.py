@@ -36,8 +36,11 @@ def seconds_between(later: str | Column, earlier: str | Column) -> Column:
 
 
 def number_or_zero(c: str | Column) -> Column:
-    """Text to double; empty, absent or unreadable text counts as 0."""
-    return F.coalesce(as_col(c).try_cast("double"), F.lit(0.0))
+    """Text to double; empty, absent or unreadable text counts as 0.
+
+    Empty text is common and not cast: each failed cast throws an exception inside.
+    """
+    return F.coalesce(F.when(as_col(c).cast("string") != "", as_col(c).try_cast("double")), F.lit(0.0))
 
 
 def text_or_empty(c: str | Column) -> Column:

@@ -20,7 +20,7 @@ def text(c):
 
 
 def app_logs(s: SparkSession, d: str) -> DataFrame:
-    logs = roles.logs(s, d)
+    logs = roles.logs(s, d, spread=True)
     return logs.select(
         shape.iso_micros("ts").alias("timestamp"), "region", F.concat(F.lit("prod-"), F.lower("region")).alias("cluster"), "service",
         F.concat(F.lit("host-"), (F.col("customer_id") % 48).cast("string")).alias("host"), "level", F.col("txn_id").alias("transaction_id"),
@@ -37,7 +37,7 @@ def trace_spans(s: SparkSession, d: str) -> DataFrame:
     def sid(c):
         return F.concat("trace_id", F.lit("/"), F.col(c).cast("string"))
 
-    return roles.spans(s, d).select(
+    return roles.spans(s, d, spread=True).select(
         shape.iso_micros("ts").alias("timestamp"), "trace_id", sid("span_no").alias("span_id"), F.coalesce(sid("parent_no"), F.lit("")).alias("parent_span_id"),
         F.col("txn_id").alias("transaction_id"), "region", "service", F.col("service").alias("operation"), "duration_ms", "status", "circuit_id",
     )

@@ -31,6 +31,8 @@ CONFOUNDERS = (
     ("any_maint", "*", "2024-01-06 00:00:00", "2024-01-06 18:00:00", 3),
 )
 
+#: Tasks a core that spread rows are dealt to at least.
+TASKS_PER_CORE = 3
 
 _schemas: dict[str, StructType] = {}
 
@@ -59,7 +61,8 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """One row per transaction; ``spread`` deals them out evenly, for writers that make much text of few small files."""
     people = (
         read(spark, sf_dir, "customer")
         .join(region_of(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -70,7 +73,10 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", F.col("value").alias("latency_ms"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
-    f = events.join(people, "customer_id").withColumns({
+    f = events.join(people, "customer_id")
+    if spread:
+        f = f.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
+    f = f.withColumns({
         "txn_id": F.format_string("TX-%s-%07d", F.date_format("start_ts", "yyyyMMddHHmmss"), F.col("seq")),
         "txn_type": F.concat(F.lit("type_"), (F.col("k") % 7).cast("string")),
         "impacted_type": F.col("k") % 7 < 2,
@@ -113,17 +119,17 @@ def confounders(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, c_region, c0, c1, priority)")
 
 
-def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flagged(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """facts with the incident and decoy flags."""
-    return shape.impacted_flags(facts(spark, sf_dir), windows(spark), confounders(spark), FOCUS_REGION)
+    return shape.impacted_flags(facts(spark, sf_dir, spread), windows(spark), confounders(spark), FOCUS_REGION)
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.lifecycle_explode(flagged(spark, sf_dir))
+def logs(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return shape.lifecycle_explode(flagged(spark, sf_dir, spread))
 
 
-def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape.span_explode(facts(spark, sf_dir))
+def spans(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return shape.span_explode(facts(spark, sf_dir, spread))
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,6 +117,20 @@ def small_text(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, compressed or not; None if it has none. The rest is not read."""
+    fs, at = file_system(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(at)
+    source = fs.open(at)
+    try:
+        text = codec.createInputStream(source) if codec is not None else source
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+        return line and line.removeprefix("\ufeff")
+    finally:
+        source.close()
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     fs, at = file_system(spark, path)
     to = fs.create(at, True)

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opslens.functions.scalars import number_or_zero
+from opslens.session import first_line
 from opslens.sources.schemas import FILE_PREFIX, TABLES, TableSpec
 from opslens.sources.sinks import bloom_options, by_day_and_key
 from opslens.streaming.streams import run_batches
 
-#: Tables that a directory load writes at the same time, and files of a micro-batch of a stream load.
-AT_ONCE, FILES = 4, 1000
+#: Tables that a directory load writes at the same time, files of a micro-batch of a stream load, and files opened for their header at a time.
+AT_ONCE, FILES, LOOKS = 4, 1000, 16
 MALFORMED = "fields do not match the header"
 
 
@@ -55,12 +56,14 @@ def ingest_csv_typed(spark: SparkSession, path: str, ddl: str, line_breaks: bool
 
 
 def _files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """Header line -> files; only these lines and the file names reach the driver."""
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
-    first = lines.withColumn("_at", F.monotonically_increasing_id()).groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
+    """Header line -> files; only these lines and the file names reach the driver, and nothing behind the lines is read."""
+    jvm = spark._jvm
+    files = sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in spark.read.text(path).inputFiles())
     found: dict[str, list[str]] = {}
-    for r in first.orderBy("file_path").collect():
-        found.setdefault(r.header.rstrip("\r"), []).append(r.file_path)
+    with ThreadPoolExecutor(LOOKS) as pool:
+        for file, header in zip(files, pool.map(lambda f: first_line(spark, f), files), strict=True):
+            if header is not None:
+                found.setdefault(header.rstrip("\r"), []).append(file)
     if not found:
         raise ValueError(f"no CSV text under {path}")
     return found

@@ -264,3 +264,34 @@ def test_a_directory_load_reads_each_table_once(spark, tmp_path, monkeypatch):
     got = csv_tables.ingest_directory(spark, str(tmp_path), db, scratch_path(spark, "once")).collect()
     assert [tuple(r) for r in got] == [("tso_calls", 2)]
     assert len(plans) == 1 and plans[0]._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_headers_are_read_without_a_job_over_the_text(spark, tmp_path):
+    import gzip
+
+    write(tmp_path / "t" / "1 a.csv", "a,n\r\nx,1\r\n")
+    write(tmp_path / "t" / "2.csv", "\ufeffa,n\nx,1\n")
+    write(tmp_path / "t" / "3.csv", "n,a")
+    write(tmp_path / "t" / "4.csv", "")
+    (tmp_path / "t" / "5.csv.gz").write_bytes(gzip.compress(b"n,a\n2,y\n"))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = csv_tables._files_by_header(spark, str(tmp_path / "t"))
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    assert {h: [f.rsplit("/", 1)[1] for f in files] for h, files in found.items()} == {"a,n": ["1 a.csv", "2.csv"], "n,a": ["3.csv", "5.csv.gz"]}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    with pytest.raises(ValueError, match="no CSV text"):
+        csv_tables._files_by_header(spark, str(tmp_path / "t" / "4.csv"))
+
+
+def test_empty_numbers_are_not_cast(spark):
+    df = spark.createDataFrame([("",), (None,), ("x",), (" 7 ",)], "n string").repartition(1)
+    out = csv_tables.derive_ingest_columns(df, {}, ("n",))
+    assert [r.n_f64 for r in out.orderBy("n").collect()] == [0.0, 0.0, 7.0, 0.0]
+    assert "CASE WHEN" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("table", ["app_logs", "trace_spans"])
+def test_text_of_small_input_is_written_by_many_tasks(spark, sf_dir, table):
+    assert exports.EXPORTS[table](spark, sf_dir).rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
