@@ -49,9 +49,9 @@ _KINDS = {
 }
 
 
-def sliced(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame:
+def sliced(df: DataFrame, part: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Frozen range partitions of ``df`` with their number in ``_slice``; ``order`` must be unique per key."""
-    ranged = df.repartitionByRange(*part, *order)
+    ranged = df.repartitionByRange(slices, *part, *order) if slices else df.repartitionByRange(*part, *order)
     return frozen(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
@@ -70,6 +70,7 @@ def running(
     keep_slices: bool = False,
     two_last: Mapping[str, tuple[Column, Column]] | None = None,
     two_next: Mapping[str, tuple[Column, Column]] | None = None,
+    slices: int | None = None,
     **specs: Mapping[str, Column],
 ) -> DataFrame:
     """Add running columns, given as ``kind={name: column}``; ``df`` keeps its columns.
@@ -80,6 +81,8 @@ def running(
     two_last / two_next, given as ``{name: (value, key)}``: struct(a, b), the nearest non-null value at or before / after this
     row and the nearest one with another key than that.
     A ``df`` that still has ``_slice`` (``keep_slices``, with the same ``part``) is not sliced again.
+    ``slices`` sets their number and that of the tasks; without it both follow the shuffled bytes, and tasks of narrow rows,
+    which are much larger in memory, sort on disk.
     Totals are carried only for keys that lie across a slice edge, at most two for each slice.
     """
     part, order = list(part), list(order)
@@ -88,7 +91,7 @@ def running(
         raise ValueError(f"unknown running kind: {', '.join(sorted(unknown))}")
     items = [(name, _KINDS[kind], col) for kind, cols in specs.items() for name, col in cols.items()]
     pairs = [(name, forward, v, k) for forward, given in ((True, two_last), (False, two_next)) for name, (v, k) in (given or {}).items()]
-    base = df if "_slice" in df.columns else sliced(df, part, order)
+    base = df if "_slice" in df.columns else sliced(df, part, order, slices)
     base = base.withColumns({f"_i_{n}": c for n, _, c in items})
     base = base.withColumns({f"_i_{n}": F.when(v.isNotNull(), F.struct(v.alias("v"), k.alias("k"))) for n, _, v, k in pairs})
     key = ["_slice", *part]
@@ -97,7 +100,8 @@ def running(
     def frame(by, ordering, inclusive):
         return W.partitionBy(*by).orderBy(*ordering).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
 
-    rows = base.withColumns({
+    dealt = base.repartition(slices, *key) if slices else base
+    rows = dealt.withColumns({
         f"_w_{n}": k.fold(F.col(f"_i_{n}")).over(frame(key, up if k.forward else down, k.inclusive)) for n, k, _ in items
     })
     for n, forward, _, _ in pairs:

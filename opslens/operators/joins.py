@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from opslens.functions.running import running
 from opslens.functions.scalars import grid_floor, is_absent, micros, ratio, seconds_between, share_of
 from opslens.session import broadcast_if_small, frozen
 
+#: Rows of a slice of the decoys' running values; a task that sorts so many needs no disk.
+SLICE_ROWS = 250_000
 # Noise classes of a call's reference and the link class each one should produce.
 EXPECTED_CLASS = {"clean": "tp", "missing": "fn", "fabricated": "fp", "wrong_customer": "wrong_link"}
 
@@ -111,13 +114,14 @@ def decoy_candidates(
     me = F.when(is_point, F.struct("t", "id", F.col("customer_id").alias("c")))
     order = ["t", "e", "seq"]  # probes without seq may tie, which no running value sees
     stacked = points.unionByName(probes, allowMissingColumns=True)
+    slices = ceil((points.count() + len(edges) * calls.count()) / SLICE_ROWS) or 1
 
     # The nearest point on either side and the nearest one of another customer than that.
     customer = F.col("customer_id")
-    seen = running(stacked, ["region"], order, sums={"n": one}, two_last={"past": (me, customer)}, two_next={"ahead": (me, customer)}).where(~is_point)
+    seen = running(stacked, ["region"], order, sums={"n": one}, two_last={"past": (me, customer)}, two_next={"ahead": (me, customer)}, slices=slices).where(~is_point)
     own = running(
         points.drop("id").unionByName(probes.where(F.col("e").isin(counted)), allowMissingColumns=True),
-        ["region", "customer_id"], order, sums={"n": one},
+        ["region", "customer_id"], order, sums={"n": one}, slices=slices,
     ).where(~is_point)
 
     def not_own(side):

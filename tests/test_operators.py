@@ -111,6 +111,14 @@ def test_decoy_probes_are_narrow(spark, monkeypatch):
     assert len(wide) == 2 and all(w <= {"region", "customer_id", "seq", "id", "t", "e"} for w in wide)
 
 
+def test_decoy_slices_follow_the_rows(spark, monkeypatch):
+    given, run = [], joins.running
+    monkeypatch.setattr(joins, "SLICE_ROWS", 100)
+    monkeypatch.setattr(joins, "running", lambda df, *a, **k: given.append(k["slices"]) or run(df, *a, **k))
+    test_decoys_equal_brute_force_with_ties_and_hot_region(spark)
+    assert given == [14, 14]  # 400 points and 8 probes of 120 calls
+
+
 def test_spike_islands_break_at_calm_rows(spark):
     values = [1, 1, 9, 8, 1, 1, 7, 1, 1, 1, 9]
     rows = [("k", T0 + timedelta(minutes=i), float(v), i) for i, v in enumerate(values)]
