@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from opslens.functions.scalars import ntz
 from opslens.operators import joins, rollups, shape, views
 from opslens.plans import exports, report, roles
-from opslens.session import frozen, scratch_path
+from opslens.session import frozen, scratch_path, shuffles_freed
 from opslens.sources import csv_tables, sinks, truth
 from opslens.sources.schemas import FILE_PREFIX, TABLES
 from opslens.streaming import streams
 
 LATENESS_SECONDS = 1800
+#: Rows of a compressed text file at most, about 40 MB of text.
+FILE_ROWS = 200_000
 # Parameters recorded in the truth document.
 PARAMETERS = {"incident_burst_interval_minutes": 20, "incident_burst_duration_minutes": [4, 7]}
 BURST_MS = 60.0
@@ -29,9 +31,9 @@ OLD_NAMES = {
 }
 
 
-def _csv(s: SparkSession, d: str, table: str, folder: str | None = None) -> str:
+def _csv(s: SparkSession, d: str, table: str, folder: str | None = None, **how) -> str:
     path = f"{folder or scratch_path(s, 'csv')}/{FILE_PREFIX}{table}.csv"
-    sinks.sink_csv_header(exports.EXPORTS[table](s, d), path)
+    sinks.sink_csv_header(exports.EXPORTS[table](s, d), path, **how)
     return path
 
 
@@ -42,8 +44,9 @@ def ingest_csv_typed(s, d):
 
 def ingest_directory(s, d):
     folder, home = scratch_path(s, "inbox"), scratch_path(s, "tables")
-    for table in TABLES:
-        _csv(s, d, table, folder)
+    with shuffles_freed(s):
+        for table in TABLES:  # all of their text lies there before the first is loaded
+            _csv(s, d, table, folder, compression="gzip", max_rows=FILE_ROWS)
     database = "ops_" + home.rsplit("-", 1)[1]
     s.sql(f"CREATE DATABASE {database} LOCATION '{home}'")
     return csv_tables.ingest_directory(s, folder, database, home)

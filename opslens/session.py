@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +80,25 @@ def frozen(df: DataFrame) -> DataFrame:
     return staged(df, "frozen")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """While it holds, the shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+
+    For several large writes one after the other, whose shuffles would else lie on the disks side by side. A DataFrame that
+    is run again meanwhile computes its shuffles again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, True)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows; reads no more than one row past the bound."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opslens.functions.scalars import number_or_zero
-from opslens.session import first_line
+from opslens.session import first_line, shuffles_freed
 from opslens.sources.schemas import FILE_PREFIX, TABLES, TableSpec
 from opslens.sources.sinks import bloom_options, by_day_and_key
 from opslens.streaming.streams import run_batches
@@ -223,7 +223,7 @@ def ingest_directory(
 ) -> DataFrame:
     """Append every ``<prefix><table>.csv`` of a folder to the table it names; returns (table_name, rows) of this load.
 
-    Rows are counted while they are written. A few tables are written at the same time.
+    Rows are counted while they are written. A few tables are written at the same time; the shuffle files of each go when it is done.
 
     A name without a declared schema is an error before anything is written. With
     ``insert_only`` each table must exist; else it is created below ``location``.
@@ -246,7 +246,7 @@ def ingest_directory(
         ordered.select(*spark.table(target).columns).write.insertInto(target)
         return n, seen.get.get("rows", 0)
 
-    with ThreadPoolExecutor(AT_ONCE) as pool:
+    with shuffles_freed(spark), ThreadPoolExecutor(AT_ONCE) as pool:
         counts = list(pool.map(load, names))
     return spark.createDataFrame(counts, "table_name string, rows bigint")
 

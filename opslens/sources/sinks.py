@@ -37,9 +37,18 @@ def bloom_options(cols: Sequence[str]) -> dict[str, str]:
     return {k: v for c in cols for k, v in ((f"parquet.bloom.filter.enabled#{c}", "true"), (f"parquet.bloom.filter.fpp#{c}", "0.01"))}
 
 
-def sink_csv_header(df: DataFrame, out: str) -> None:
-    """Headered CSV with empty fields for absent values."""
-    df.write.option("header", True).option("emptyValue", "").option("nullValue", "").option("escape", '"').csv(out)
+def sink_csv_header(df: DataFrame, out: str, compression: str | None = None, max_rows: int | None = None) -> None:
+    """Headered CSV with empty fields for absent values.
+
+    ``compression`` names a codec, of which the fastest level is used. A compressed file is read by one task, whatever its size;
+    ``max_rows`` bounds the rows of each.
+    """
+    writer = df.write.option("header", True).option("emptyValue", "").option("nullValue", "").option("escape", '"')
+    if compression:
+        writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    if max_rows:
+        writer = writer.option("maxRecordsPerFile", max_rows)
+    writer.csv(out)
 
 
 def sink_truth(calls: DataFrame, confounders: Sequence[dict], incident: dict, out: str, per_part: int = 5000, about: dict | None = None) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opslens.operators import views
 from opslens.plans import catalog, exports, io_catalog, report, roles
-from opslens.session import scratch_path
+from opslens.session import scratch_path, shuffles_freed
 from opslens.sources import csv_tables, sinks, truth
 from opslens.sources.schemas import TABLES
 from opslens.streaming import streams
@@ -295,3 +295,61 @@ def test_empty_numbers_are_not_cast(spark):
 @pytest.mark.parametrize("table", ["app_logs", "trace_spans"])
 def test_text_of_small_input_is_written_by_many_tasks(spark, sf_dir, table):
     assert exports.EXPORTS[table](spark, sf_dir).rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
+
+
+def test_compressed_text_is_bounded_by_file_and_read_back(spark, tmp_path):
+    rows = [(f"c{i}", "" if i % 3 else 'a,"b"', i) for i in range(10)]
+    df = spark.createDataFrame(rows, "id string, note string, n int").repartition(1)
+    sinks.sink_csv_header(df, str(tmp_path / "t"), compression="gzip", max_rows=4)
+    files = [f.name for f in (tmp_path / "t").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    back = csv_tables.ingest_csv_typed(spark, str(tmp_path / "t"), "id string, note string, n int")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_the_text_of_a_directory_load_is_compressed(spark, tmp_path, monkeypatch):
+    def small(table):
+        names = [f.name for f in csv_tables._schema(TABLES[table].columns)]
+        of_time = set(TABLES[table].times)
+        return spark.createDataFrame([tuple("2024-01-01T00:00:00Z" if n in of_time else "7" for n in names)] * 2, names)
+
+    monkeypatch.setattr(io_catalog.exports, "EXPORTS", {t: lambda s, d, t=t: small(t) for t in TABLES})
+    monkeypatch.setattr(io_catalog, "scratch_path", lambda s, name: str(tmp_path / f"{name}-{uuid.uuid4().hex[:12]}"))
+    got = io_catalog.ingest_directory(spark, "none").collect()
+    assert {tuple(r) for r in got} == {(t, 2) for t in TABLES}
+    (inbox,) = tmp_path.glob("inbox-*")
+    for table in TABLES:
+        parts = [f.name for f in (inbox / f"clickhouse-{table}.csv").iterdir() if f.name.startswith("part-")]
+        assert parts and all(f.endswith(".csv.gz") for f in parts)
+
+
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_shuffle_files_go_when_a_write_ends(spark, tmp_path):
+    import glob
+    import time
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before = files()
+    with shuffles_freed(spark):
+        spark.range(1000).repartition(7).write.csv(str(tmp_path / "freed"))
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(FREED, None) is None
+    assert spark.read.csv(str(tmp_path / "freed")).count() == 1000
+
+
+def test_a_directory_load_frees_its_shuffles(spark, tmp_path, monkeypatch):
+    seen, ordered = [], csv_tables.by_day_and_key
+    monkeypatch.setattr(csv_tables, "by_day_and_key", lambda df, *a: seen.append(spark.conf.get(FREED, None)) or ordered(df, *a))
+    write(tmp_path / "clickhouse-tso_calls.csv", calls_csv([{"call_id": "a"}]))
+    db = "d" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {db}")
+    csv_tables.ingest_directory(spark, str(tmp_path), db, scratch_path(spark, "freed"))
+    assert seen == ["true"] and spark.conf.get(FREED, None) is None
