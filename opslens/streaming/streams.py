@@ -162,8 +162,9 @@ def run_batches(
     With ``out`` and ``checkpoint`` a later run goes on where this one ended; the two belong together as in ``run_append``.
     """
     spark = df.sparkSession
-    out, checkpoint = out or scratch_path(spark, name), checkpoint or scratch_path(spark, f"{name}-progress")
-    own = claim(spark, out, checkpoint)
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-progress")
+    own = not out or claim(spark, out, checkpoint)  # nothing else can have written a fresh folder
+    out = out or scratch_path(spark, name)
     with _watched(spark):
         q = (
             df.writeStream.outputMode(mode).trigger(availableNow=True)
