@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +45,8 @@ def ingest_csv_typed(s, d):
 
 def ingest_directory(s, d):
     folder, home = scratch_path(s, "inbox"), scratch_path(s, "tables")
-    with shuffles_freed(s):
-        for table in TABLES:  # all of their text lies there before the first is loaded
-            _csv(s, d, table, folder, compression="gzip", max_rows=FILE_ROWS)
+    with shuffles_freed(s), ThreadPoolExecutor(csv_tables.AT_ONCE) as pool:  # all of their text lies there before the first is loaded
+        list(pool.map(lambda table: _csv(s, d, table, folder, compression="gzip", max_rows=FILE_ROWS), TABLES))
     database = "ops_" + home.rsplit("-", 1)[1]
     s.sql(f"CREATE DATABASE {database} LOCATION '{home}'")
     return csv_tables.ingest_directory(s, folder, database, home)

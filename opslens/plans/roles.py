@@ -170,7 +170,8 @@ def circuit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").alias("ts"),
         F.col("l_extendedprice").alias("value"),
     )
-    rows = items.join(orders, "l_orderkey").join(dst, "o_custkey").join(src, "l_suppkey")
+    # Orders meet their customers first, so that the many shipments are shuffled once.
+    rows = items.join(orders.join(dst, "o_custkey"), "l_orderkey").join(src, "l_suppkey")
     return rows.where(F.col("src") != F.col("dst")).select(
         "src", "dst", circuit_name(F.col("src"), F.col("dst"), F.col("l_suppkey") % 7).alias("circuit_id"), "ts", "value",
         "l_orderkey", "l_linenumber", "l_partkey",

@@ -353,3 +353,9 @@ def test_a_directory_load_frees_its_shuffles(spark, tmp_path, monkeypatch):
     spark.sql(f"CREATE DATABASE {db}")
     csv_tables.ingest_directory(spark, str(tmp_path), db, scratch_path(spark, "freed"))
     assert seen == ["true"] and spark.conf.get(FREED, None) is None
+
+
+def test_shipments_are_joined_to_orders_that_have_met_their_customers(spark, sf_dir):
+    joins = [x for x in roles.circuit_metrics(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    of_order, of_customer = (next(i for i, x in enumerate(joins) if key in x) for key in ("l_orderkey", "o_custkey"))
+    assert of_order < of_customer  # outer joins come first: no shipment takes part in the customers' join
